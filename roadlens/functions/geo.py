@@ -13,12 +13,13 @@ from .cleaning import _c, ColumnOrName
 # WGS84 semi-major axis (spherical Mercator, EPSG:3857) and degree length.
 EARTH_A = 6378137.0
 KM_PER_DEGREE = 111.0
+DEG2RAD = math.pi / 180.0
 
 
 def mercator(lon: ColumnOrName, lat: ColumnOrName) -> tuple[Column, Column]:
     """EPSG:4326 -> EPSG:3857."""
-    lam = F.radians(_c(lon))
-    phi = F.radians(_c(lat))
+    lam = _c(lon) * DEG2RAD
+    phi = _c(lat) * DEG2RAD
     return (F.lit(EARTH_A) * lam,
             F.lit(EARTH_A) * F.ln(F.tan(F.lit(math.pi / 4) + phi / 2)))
 
@@ -85,8 +86,9 @@ def point_in_ring(px: ColumnOrName, py: ColumnOrName, ring: ColumnOrName) -> Col
     def step(acc, i):
         a = r[i]
         b = r[(i + 1) % n]
-        crosses = ((a["y"] > py) != (b["y"] > py)) & (
-            px < (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"])
+        # the division only runs when the edge straddles the ray (CASE is lazy)
+        crosses = F.when((a["y"] > py) != (b["y"] > py),
+                         px < (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"]).otherwise(F.lit(False))
         return acc + F.when(crosses, 1).otherwise(0)
 
     return (F.aggregate(idx, F.lit(0), step) % 2) == 1

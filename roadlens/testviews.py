@@ -286,9 +286,9 @@ FROM (SELECT *, x0 + 50 + (p_partkey*37) % 450 AS x1, y0 + (p_partkey*53) % 900
 
 # the two straight pieces of every segment polyline
 SQL_VIEWS["segment_pieces"] = """
-SELECT segment_id, 0 AS piece, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by FROM segments
+SELECT segment_id, 0 AS piece, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS b_y FROM segments
 UNION ALL
-SELECT segment_id, 1 AS piece, x1 AS ax, y1 AS ay, x2 AS bx, y2 AS by FROM segments
+SELECT segment_id, 1 AS piece, x1 AS ax, y1 AS ay, x2 AS bx, y2 AS b_y FROM segments
 """
 
 SQL_VIEWS["stations"] = """
@@ -323,7 +323,7 @@ FROM (SELECT c_custkey AS road_event_id,
 SQL_VIEWS["county_edges"] = f"""
 SELECT county_id, county_name, k,
        cx + [{', '.join(map(str, HEX_DX))}][k + 1] AS ax, cy + [{', '.join(map(str, HEX_DY))}][k + 1] AS ay,
-       cx + [{', '.join(map(str, HEX_DX))}][(k + 1) % 6 + 1] AS bx, cy + [{', '.join(map(str, HEX_DY))}][(k + 1) % 6 + 1] AS by
+       cx + [{', '.join(map(str, HEX_DX))}][(k + 1) % 6 + 1] AS bx, cy + [{', '.join(map(str, HEX_DY))}][(k + 1) % 6 + 1] AS b_y
 FROM (SELECT n_nationkey AS county_id, n_name AS county_name,
              CAST(4000 + 8000 * (n_nationkey % 5) AS DOUBLE) AS cx,
              CAST(4000 + 8000 * (n_nationkey // 5) AS DOUBLE) AS cy FROM nation),
