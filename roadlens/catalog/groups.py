@@ -328,7 +328,8 @@ def county_stats(spark, d):
     """H4 + G4: totals, injury/fatal counts and rates, span and crashes/day
     in one aggregate (no self-join); zero-day spans give null (Q14)."""
     from ..operators.aggregates import county_stats as cs
-    return cs(V.crashes(spark, d))
+    r = cs(V.crashes(spark, d))
+    return r.withColumns({c: r6(c) for c in ("avg_severity", "injury_rate", "crashes_per_day")})
 
 
 # --------------------------------------------------------------- I*

@@ -169,9 +169,8 @@ def county_stats(crashes: DataFrame, county: str = "county", ts: str = "start_ti
         F.count(F.lit(1)).alias("total_crashes"),
         F.sum(F.when(s >= injury_min, 1).otherwise(0)).cast("long").alias("injury_crashes"),
         F.sum(F.when(s == fatal, 1).otherwise(0)).cast("long").alias("fatal_crashes"),
-        F.bround(F.avg(s), 6).alias("avg_severity"),
-        F.bround(F.avg(F.when(s >= injury_min, 1.0).otherwise(0.0)), 6).alias("injury_rate"),
+        F.avg(s).alias("avg_severity"),
+        F.avg(F.when(s >= injury_min, 1.0).otherwise(0.0)).alias("injury_rate"),
         F.min(ts).alias("first_crash_date"), F.max(ts).alias("last_crash_date"))
     g = g.withColumn("days_covered", duration_days("last_crash_date", "first_crash_date"))
-    return g.withColumn("crashes_per_day", F.bround(F.try_divide(F.col("total_crashes"),
-                                                                 F.nullif(F.col("days_covered"), F.lit(0))), 6))
+    return g.withColumn("crashes_per_day", F.try_divide(F.col("total_crashes"), F.nullif(F.col("days_covered"), F.lit(0))))

@@ -341,7 +341,7 @@ SELECT l_suppkey AS road_event_id,
        CAST(20 + l_partkey % 80 AS DOUBLE) AS temperature_f,
        CAST(l_orderkey % 30 AS DOUBLE) AS wind_mph,
        'Road ' || CAST(l_suppkey % 37 AS VARCHAR) AS road_name,
-       24.0 * (1 + l_suppkey % 30) AS duration_hr,
+       CAST(24.0 * (1 + l_suppkey % 30) AS DOUBLE) AS duration_hr,
        {_case('l_suppkey % 5', VEHICLE_IMPACT_BY_MOD5)} AS vehicle_impact,
        25.0 + ((l_suppkey*7919) % 12000) / 1000.0 AS latitude,
        -107.0 + ((l_suppkey*6007) % 14000) / 1000.0 AS longitude
