@@ -1 +1,326 @@
-"""(filled in below)"""
+"""Learning queries (P1-P21, X9). Fitted-statistic operators (imputation,
+scaling, encoding, voting, DBSCAN) have SQL oracles; trained models are
+rows-only with invariants checked in pytest."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from .. import testviews as V
+from ..operators import evaluate as O
+from ..operators import learn as P
+from ..operators import splits as N
+from ..sources.readers import shared_dir
+from .base import query, r6
+from .groups import CF_SQL, cf
+
+NUMERIC = ["hour", "day_of_week", "month", "temperature_f", "visibility_mi", "x", "y"]
+CATEGORICAL = ["weather_category", "city"]
+LABEL = "high_severity"
+
+
+def ml_base(spark, d):
+    """Crash features with a temporal split: train <= 1998, val 1999, test after."""
+    c = cf(spark, d).withColumn("split", F.when(F.col("year") <= 1998, "train").when(F.col("year") == 1999, "val")
+                                .otherwise("test"))
+    return c.withColumn(LABEL, F.col(LABEL).cast("double"))
+
+
+TRAIN_SQL = f"WITH cf AS ({CF_SQL}), tr AS (SELECT * FROM cf WHERE year <= 1998)"
+
+
+@query("median_impute", TRAIN_SQL + """
+SELECT id, coalesce(temperature_f, (SELECT median(temperature_f) FROM tr)) AS temperature_f,
+       coalesce(visibility_mi, (SELECT median(visibility_mi) FROM tr)) AS visibility_mi FROM cf""", ("crashes",))
+def median_impute(spark, d):
+    """Train-fitted exact medians applied to every split."""
+    b = ml_base(spark, d)
+    return P.median_impute(b.where(F.col("split") == "train"), b, ["temperature_f", "visibility_mi"]).select(
+        "id", "temperature_f", "visibility_mi")
+
+
+@query("mean_impute", TRAIN_SQL + """
+SELECT id, round_even(coalesce(temperature_f, (SELECT avg(temperature_f) FROM tr)), 6) AS temperature_f,
+       round_even(coalesce(visibility_mi, (SELECT avg(visibility_mi) FROM tr)), 6) AS visibility_mi FROM cf""",
+       ("crashes",))
+def mean_impute(spark, d):
+    """ML ``Imputer(strategy='mean')`` fitted on train."""
+    b = ml_base(spark, d)
+    out = P.mean_impute(b.where(F.col("split") == "train"), b, ["temperature_f", "visibility_mi"])
+    return out.select("id", r6("temperature_f").alias("temperature_f"), r6("visibility_mi").alias("visibility_mi"))
+
+
+@query("standard_scale", TRAIN_SQL + """
+SELECT id, round_even((temperature_f - (SELECT avg(temperature_f) FROM tr)) / (SELECT stddev_pop(temperature_f) FROM tr), 6) AS temperature_f,
+       round_even((visibility_mi - (SELECT avg(visibility_mi) FROM tr)) / (SELECT stddev_pop(visibility_mi) FROM tr), 6) AS visibility_mi
+FROM cf""", ("crashes",))
+def standard_scale(spark, d):
+    """Population-std scaling fitted on train."""
+    b = ml_base(spark, d)
+    out = P.standard_scale(b.where(F.col("split") == "train"), b, ["temperature_f", "visibility_mi"])
+    return out.select("id", r6("temperature_f").alias("temperature_f"), r6("visibility_mi").alias("visibility_mi"))
+
+
+@query("one_hot", f"""WITH cf AS ({CF_SQL})
+SELECT id, {', '.join(f"CAST(coalesce(weather_category = '{v}', false) AS INTEGER) AS weather_category_{v}"
+                      for v in ('cloudy', 'fog', 'rain', 'snow'))} FROM cf""", ("crashes",))
+def one_hot(spark, d):
+    """Drop-first one-hot of the training categories."""
+    b = ml_base(spark, d)
+    o = P.one_hot(b.where(F.col("split") == "train"), b, "weather_category")
+    return o.select("id", *[f"weather_category_{v}" for v in ("cloudy", "fog", "rain", "snow")])
+
+
+@query("label_encode", """
+SELECT id, CAST(dense_rank() OVER (ORDER BY county) - 1 AS INTEGER) AS county_code FROM crashes""", ("crashes",))
+def label_encode(spark, d):
+    """P5: alphabetical codes."""
+    return P.label_encode(V.crashes(spark, d).select("id", "county"), "county", "county_code").select("id", "county_code")
+
+
+@query("feature_pipeline")
+def feature_pipeline(spark, d):
+    """Imputer + scaler + indexer + one-hot + assembler (rows: one
+    feature vector per crash, fitted on train)."""
+    from pyspark.ml import Pipeline
+    b = ml_base(spark, d)
+    m = Pipeline(stages=P.feature_pipeline(NUMERIC, CATEGORICAL)).fit(b.where(F.col("split") == "train"))
+    t = m.transform(b)
+    return t.select("id", "split", F.size(vector_to_array("features")).alias("n_features"))
+
+
+def _auc(df, label, p):
+    return O.roc_auc(df.withColumn(label, F.col(label).cast("int")), label, p)
+
+
+def _fit_eval(spark, d, kind, **params):
+    b = ml_base(spark, d)
+    train = P.with_balanced_weight(b.where(F.col("split") == "train").withColumn(
+        "_y", F.col(LABEL).cast("int")), "_y").drop("_y")
+    m = P.fit_classifier(train, NUMERIC, CATEGORICAL, LABEL, kind, weight="weight", **params)
+    scored = P.probability(m.transform(b.where(F.col("split") == "test")))
+    return m, scored
+
+
+@query("logistic_regression")
+def logistic_regression(spark, d):
+    """Balanced-weight logistic regression; test AUC (exact)."""
+    _, s = _fit_eval(spark, d, "logistic")
+    return _auc(s, LABEL, "p").withColumn("model", F.lit("logistic_regression"))
+
+
+@query("random_forest")
+def random_forest(spark, d):
+    """Random forest classifier; test AUC and importances count."""
+    _, s = _fit_eval(spark, d, "random_forest", numTrees=50, maxDepth=10)
+    return _auc(s, LABEL, "p").withColumn("model", F.lit("random_forest"))
+
+
+@query("boosted_trees")
+def boosted_trees(spark, d):
+    """Gradient-boosted trees with validation-set stopping."""
+    b = ml_base(spark, d)
+    tv = b.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
+    m = P.fit_classifier(tv, NUMERIC, CATEGORICAL, LABEL, "gbt", maxIter=20, maxDepth=4,
+                         validationIndicatorCol="is_val")
+    s = P.probability(m.transform(b.where(F.col("split") == "test")))
+    return _auc(s, LABEL, "p").withColumn("model", F.lit("gbt"))
+
+
+def _segment_ml(spark, d):
+    s = V.segments(spark, d).join(V.counts(spark, d), "segment_id")
+    from ..functions.cleaning import to_numeric_null_token
+    return s.select("segment_id", to_numeric_null_token("speed_limit").alias("speed_limit"),
+                    F.col("through_lanes").cast("double").alias("through_lanes"),
+                    F.col("f_system").cast("double").alias("f_system"), F.col("aadt").cast("double").alias("aadt"),
+                    F.col("y").cast("double").alias("y"),
+                    F.when(N.mix("segment_id") < 800000, "train").otherwise("test").alias("split"))
+
+
+@query("count_regressors")
+def count_regressors(spark, d):
+    """Random forest, GBT and Poisson regressors on segment
+    crash counts; one regression report row per model (test split)."""
+    s = _segment_ml(spark, d)
+    num = ["speed_limit", "through_lanes", "f_system", "aadt"]
+    out = None
+    for kind, params in (("random_forest", {"numTrees": 30, "maxDepth": 8}), ("gbt", {"maxIter": 20}),
+                         ("poisson", {"regParam": 1.0})):
+        m = P.fit_regressor(s.where(F.col("split") == "train"), num, [], "y", kind, **params)
+        pred = m.transform(s.where(F.col("split") == "test")).withColumn("yhat", F.greatest(F.col("prediction"), F.lit(0.0)))
+        r = O.regression_report(pred, "y", "yhat").select(F.lit(kind).alias("model"), "rmse", "mae", "poisson_deviance")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("zero_inflated_poisson")
+def zero_inflated_poisson(spark, d):
+    """ZIP by EM; llf trace must not decrease; AIC and BIC."""
+    s = _segment_ml(spark, d).na.fill({"speed_limit": 0.0})
+    s = VectorAssembler(inputCols=["speed_limit", "through_lanes", "f_system"], outputCol="features").transform(s)
+    scored, trace = P.zero_inflated_poisson(s, "features", "y", max_rounds=15, tol=1e-4)
+    n = scored.count()
+    ic = P.information_criteria(trace[-1], 2 * 4, n)
+    monotone = all(b >= a - 1e-6 * abs(a) for a, b in zip(trace, trace[1:]))
+    return scored.agg(F.avg("mean").alias("mean_fitted"), F.avg("pi").alias("mean_pi")).select(
+        "*", F.lit(ic["llf"]).alias("llf"), F.lit(ic["aic"]).alias("aic"), F.lit(ic["bic"]).alias("bic"),
+        F.lit(len(trace)).alias("rounds"), F.lit(int(monotone)).alias("llf_monotone"))
+
+
+@query("calibrate")
+def calibrate(spark, d):
+    """Isotonic and Platt calibration fitted on validation scores; Brier
+    before / after on the validation set."""
+    b = ml_base(spark, d)
+    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, CATEGORICAL, LABEL, "logistic")
+    val = P.probability(m.transform(b.where(F.col("split") == "val"))).select("id", LABEL, "p")
+    out = O.brier_score(val, LABEL, "p").select(F.lit("raw").alias("method"), "brier_score")
+    for method in ("isotonic", "platt"):
+        f = P.calibrate(val, "p", LABEL, method)
+        out = out.unionByName(O.brier_score(f(val), LABEL, "p_cal").select(F.lit(method).alias("method"), "brier_score"))
+    return out
+
+
+@query("hyperparameter_search")
+def hyperparameter_search(spark, d):
+    """5-fold CV (stratified folds from N4) over a grid; one row
+    per parameter set with the mean fold AUC."""
+    b = ml_base(spark, d).where(F.col("split") == "train")
+    b = N.stratified_kfold(b, LABEL, "id", 5)
+    _, rows = P.cross_validate(b, NUMERIC, CATEGORICAL, LABEL, "fold", {"regParam": [0.0, 0.1], "maxIter": [20]})
+    return b.agg(F.count(F.lit(1)).alias("train_rows")).select(
+        "train_rows", F.explode(F.array(*[F.struct(F.lit(str(p)).alias("params"), F.lit(a).alias("mean_auc"))
+                                          for p, a in rows])).alias("r")).select("train_rows", "r.*")
+
+
+@query("learning_curve")
+def learning_curve(spark, d):
+    """Test AUC against growing train fractions (N1-style mix order)."""
+    b = ml_base(spark, d)
+    test = b.where(F.col("split") == "test")
+    out = None
+    for frac in (0.25, 0.5, 1.0):
+        tr = b.where((F.col("split") == "train") & (N.mix("id") < int(frac * N.MIX_MOD)))
+        m = P.fit_classifier(tr, NUMERIC, CATEGORICAL, LABEL, "logistic", maxIter=50)
+        a = _auc(P.probability(m.transform(test)), LABEL, "p").select(F.lit(frac).alias("train_fraction"), "auc")
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+@query("voting", """
+SELECT id, round_even((0.0 + p + ((id * 7919) % 1000) / 1000.0) / 2, 6) AS p_vote FROM scored""", ("scored",))
+def voting(spark, d):
+    """Soft voting = mean of two members' probabilities (second member:
+    an independent deterministic scorer of the same rows)."""
+    s = V.scored(spark, d).withColumn("p2", ((F.col("id") * 7919) % 1000) / 1000.0)
+    return P.voting(s, ["p", "p2"]).select("id", r6("p_vote").alias("p_vote"))
+
+
+@query("stacking")
+def stacking(spark, d):
+    """Meta logistic regression on out-of-fold member scores."""
+    from pyspark.ml.classification import LogisticRegression
+    s = V.scored(spark, d).withColumn("p2", ((F.col("id") * 7919) % 1000) / 1000.0)
+    s = N.stratified_kfold(s, "y", "id", 5).withColumn("y", F.col("y").cast("double"))
+    v = VectorAssembler(inputCols=["p", "p2"], outputCol="meta").transform(s)
+    m = LogisticRegression(featuresCol="meta", labelCol="y").fit(v.where(F.col("fold") != 0))
+    out = P.probability(m.transform(v.where(F.col("fold") == 0)))
+    return _auc(out.withColumn("y", F.col("y").cast("int")), "y", "p")
+
+
+@query("kmeans")
+def kmeans(spark, d):
+    """Elbow (inertia for k = 2..9) plus the k = 4 cluster sizes."""
+    from pyspark.ml.clustering import KMeans
+    pts = VectorAssembler(inputCols=["px", "py"], outputCol="f").transform(V.planar(spark, d))
+    costs = P.kmeans_elbow(pts, "f")
+    m = KMeans(k=4, seed=42, featuresCol="f").fit(pts)
+    sizes = m.transform(pts).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.select(F.lit("k4_size").alias("kind"), F.col("cluster").cast("long").alias("k"),
+                        F.col("n").cast("double").alias("value")).unionByName(
+        pts.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
+            F.struct(F.lit("inertia").alias("kind"), F.lit(k).cast("long").alias("k"), F.lit(c).alias("value"))
+            for k, c in costs])).alias("r")).select("r.*"))
+
+
+DBSCAN_SQL = """WITH RECURSIVE
+nb AS (SELECT a.vec_id AS a, b.vec_id AS b FROM planar a JOIN planar b
+       ON sqrt(power(a.px - b.px, 2) + power(a.py - b.py, 2)) <= 0.5),
+core AS (SELECT a FROM nb GROUP BY a HAVING count(*) >= 5),
+ce AS (SELECT nb.a, nb.b FROM nb JOIN core c1 ON nb.a = c1.a JOIN core c2 ON nb.b = c2.a),
+reach(a, b) AS (SELECT a, b FROM ce UNION SELECT reach.a, ce.b FROM reach JOIN ce ON reach.b = ce.a),
+lab AS (SELECT a, min(b) AS label FROM reach GROUP BY a),
+border AS (SELECT nb.a, min(lab.label) AS bl FROM nb JOIN lab ON nb.b = lab.a GROUP BY nb.a)
+SELECT p.vec_id, CAST(coalesce(lab.label, border.bl, -1) AS BIGINT) AS cluster
+FROM planar p LEFT JOIN lab ON p.vec_id = lab.a LEFT JOIN border ON p.vec_id = border.a"""
+
+
+@query("dbscan", DBSCAN_SQL, ("planar",))
+def dbscan(spark, d):
+    """DBSCAN eps 0.5, min_samples 5, canonical labels (smallest core
+    id of the component), noise -1."""
+    return P.dbscan(V.planar(spark, d), "vec_id", "px", "py", 0.5, 5)
+
+
+@query("pca2")
+def pca2(spark, d):
+    """Two principal components of the scaled 64-d embeddings
+    (rows; invariants: component variances descending)."""
+    e = V.planar(spark, d).join(
+        spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", array_to_vector(
+            F.transform("embedding", lambda v: v.cast("double"))).alias("emb")), "vec_id")
+    return P.pca2(e, "emb").select("vec_id", "pc1", "pc2")
+
+
+@query("batch_score")
+def batch_score(spark, d):
+    """P20: save the fitted pipeline, reload it, score every crash, apply the
+    threshold and dispatch tier; reload must reproduce the scores."""
+    from ..functions.features import score_to_decision
+    b = ml_base(spark, d)
+    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, CATEGORICAL, LABEL, "logistic", maxIter=50)
+    m2 = P.save_and_reload(m, shared_dir(spark, "model"))
+    s1 = P.probability(m.transform(b)).select("id", F.col("p").alias("p1"))
+    s2 = P.probability(m2.transform(b)).select("id", "p")
+    dec = score_to_decision("p", 0.5)
+    return s2.join(s1, "id").select("id", "p", dec["prediction"].alias("prediction"),
+                                    dec["dispatch_tier"].alias("dispatch_tier"),
+                                    (F.abs(F.col("p") - F.col("p1")) < 1e-12).cast("int").alias("reload_equal"))
+
+
+@query("tree_importance")
+def tree_importance(spark, d):
+    """Ranked random-forest importances of the numeric features with a
+    family tag."""
+    b = ml_base(spark, d)
+    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, [], LABEL, "random_forest",
+                         numTrees=30, maxDepth=6)
+    fam = {"hour": "temporal", "day_of_week": "temporal", "month": "temporal", "temperature_f": "weather",
+           "visibility_mi": "weather", "x": "location", "y": "location"}
+    rows = P.feature_importances(m, NUMERIC, fam)
+    return b.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.lit(v).alias("importance"), F.lit(f).alias("family"))
+        for n, v, f in rows])).alias("r")).select("r.*")
+
+
+LEAKAGE_FORBIDDEN = ["severity", "end_time", "end_lat", "end_lng"]
+
+
+@query("train_and_report")
+def train_and_report(spark, d):
+    """Leakage check -> P6 -> P7 -> P12 (Platt) -> O8 -> O1 report on
+    the test split."""
+    b = ml_base(spark, d)
+    leaked = [c for c in NUMERIC + CATEGORICAL if c in LEAKAGE_FORBIDDEN]
+    if leaked:
+        raise ValueError(f"leakage features in the feature list: {leaked}")
+    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, CATEGORICAL, LABEL, "logistic", maxIter=50)
+    val = P.probability(m.transform(b.where(F.col("split") == "val")))
+    cal = P.calibrate(val, "p", LABEL, "platt")
+    best = O.optimal_threshold(O.threshold_sweep(cal(val).withColumn(LABEL, F.col(LABEL).cast("int")), LABEL, "p_cal"))
+    t = best.where(F.col("metric") == "f1").first()["threshold"]
+    test = cal(P.probability(m.transform(b.where(F.col("split") == "test")))).withColumn(LABEL, F.col(LABEL).cast("int"))
+    rep = O.classification_report(test, LABEL, "p_cal", t)
+    return rep.select("*", _auc(test, LABEL, "p_cal").select("auc").scalar().alias("auc"))

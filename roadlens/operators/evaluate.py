@@ -142,11 +142,10 @@ def regression_report(df: DataFrame, y: str, yhat: str, eps: float = 1e-10) -> D
     (predictions floored at eps; the y = 0 term is 2*yhat), means, zero
     shares, and top-10 % enrichment."""
     yc, pc = F.col(y).cast("double"), F.greatest(F.col(yhat).cast("double"), F.lit(eps))
-    ybar = df.select(F.avg(y)).scalar()
     dev = F.when(yc == 0, 2 * pc).otherwise(2 * (yc * F.ln(yc / pc) - yc + pc))
     base = df.agg(
         F.sqrt(F.avg(F.pow(yc - F.col(yhat), 2))).alias("rmse"), F.avg(F.abs(yc - F.col(yhat))).alias("mae"),
-        (1 - F.sum(F.pow(yc - F.col(yhat), 2)) / F.sum(F.pow(yc - ybar, 2))).alias("r2"),
+        (1 - F.sum(F.pow(yc - F.col(yhat), 2)) / (F.var_pop(yc) * F.count(yc))).alias("r2"),
         F.when(F.count_if(yc == 0) == 0, F.avg(F.abs(F.try_divide(yc - F.col(yhat), yc))) * 100).alias("mape"),
         F.avg(dev).alias("poisson_deviance"), F.avg(yhat).alias("mean_pred"), F.avg(yc).alias("mean_true"),
         F.avg(F.when(F.col(yhat) == 0, 1.0).otherwise(0.0)).alias("pred_zero_share"),

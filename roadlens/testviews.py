@@ -398,6 +398,8 @@ def with_views(body: str, *names: str) -> str:
     body = body.strip()
     if not ctes:
         return body
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
