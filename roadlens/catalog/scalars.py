@@ -380,10 +380,10 @@ def interaction_features(spark, d):
 
 
 RULE_SQL = """CAST(least(greatest(
-    CASE WHEN adverse_weather = 1 THEN 0.25 ELSE 0 END + CASE WHEN low_visibility = 1 THEN 0.20 ELSE 0 END
-  + CASE WHEN hour >= 22 OR hour <= 4 THEN 0.15 ELSE 0 END + CASE WHEN is_rush_hour = 1 THEN 0.10 ELSE 0 END
-  + CASE WHEN is_weekend = 1 AND (hour >= 22 OR hour <= 4) THEN 0.15 ELSE 0 END
-  + CASE WHEN coalesce(speed, 0) > 65 THEN 0.15 ELSE 0 END + CASE WHEN coalesce(aadt, 0) > 50000 THEN 0.10 ELSE 0 END, 0), 1) AS DOUBLE)"""
+    CASE WHEN adverse_weather = 1 THEN CAST(0.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END + CASE WHEN low_visibility = 1 THEN CAST(0.20 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+  + CASE WHEN hour >= 22 OR hour <= 4 THEN CAST(0.15 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END + CASE WHEN is_rush_hour = 1 THEN CAST(0.10 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+  + CASE WHEN is_weekend = 1 AND (hour >= 22 OR hour <= 4) THEN CAST(0.15 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+  + CASE WHEN coalesce(speed, 0) > 65 THEN CAST(0.15 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END + CASE WHEN coalesce(aadt, 0) > 50000 THEN CAST(0.10 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END, 0), 1) AS DOUBLE)"""
 
 CRASH_FEATURE_SQL = f"""
 SELECT id, hour, is_weekend, visibility_mi,
