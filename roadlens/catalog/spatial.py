@@ -99,7 +99,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round_even(d, 6), st
 SELECT id, statn_id, round_even(d, 3) AS distance FROM r WHERE rn = 1""", ("crashes", "stations"))
 def nearest_unbounded(spark, d):
     """nearest station with no limit (doubling-radius rounds)."""
-    n = S.nearest_unbounded(V.crashes(spark, d), V.stations(spark, d), "id", "statn_id", 500.0)
+    n = S.nearest_unbounded(V.crashes(spark, d), V.stations(spark, d), "id", "statn_id")
     return n.select("id", "statn_id", r6("distance", 3).alias("distance"))
 
 
@@ -309,7 +309,7 @@ FROM nn JOIN cnt USING (id)""", ("crashes", "workzones"))
 def workzone_proximity(spark, d):
     """F4 nearest work zone (unbounded) -> F6 count within 1 km -> L1."""
     c, w = V.crashes(spark, d), V.workzones(spark, d)
-    nn = S.nearest_unbounded(c, w, "id", "road_event_id", 500.0)
+    nn = S.nearest_unbounded(c, w, "id", "road_event_id")
     cnt = S.count_within(c, w, "id", "road_event_id", 1000.0, out="wz_count_1km")
     j = nn.join(cnt, "id")
     return j.select("id", r6("distance", 3).alias("wz_nearest_distance_m"), "wz_count_1km",

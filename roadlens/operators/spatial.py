@@ -123,34 +123,50 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def nearest_unbounded(left: DataFrame, right: DataFrame, left_key: str, right_key: str, start_radius: float,
-                      lx: str = "x", ly: str = "y", rx: str = "x", ry: str = "y", ties: str = "first") -> DataFrame:
+def nearest_unbounded(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                      start_radius: float | None = None, lx: str = "x", ly: str = "y", rx: str = "x", ry: str = "y",
+                      ties: str = "first") -> DataFrame:
     """nearest right point with no distance limit. Rounds of the grid join
     with a doubling radius run on the still-unmatched left rows; a hit at
-    radius r is final because everything outside r is farther. Rounds stop
-    when nothing is left or the radius exceeds the diagonal of the joint
-    extent (then the right side is empty). Each round is checkpointed."""
-    ext = left.select(F.col(lx).alias("x"), F.col(ly).alias("y")).unionByName(
-        right.select(F.col(rx).alias("x"), F.col(ry).alias("y"))).agg(
-        F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-    if ext[0] is None:
-        return left.select(left_key).withColumns({right_key: F.lit(None), "distance": F.lit(None).cast("double")})
-    diag = max(((ext[1] - ext[0]) ** 2 + (ext[3] - ext[2]) ** 2) ** 0.5, 1.0)
-    remaining = _checkpoint(left.select(left_key, lx, ly))
+    radius r is final because everything outside r is farther. The first
+    radius is the expected nearest-neighbour spacing sqrt(area / n_right)
+    (from one aggregate over both sides), so dense data finishes in one or
+    two rounds. Each round is ONE left-outer grid join, checkpointed
+    (reliable, shared folder) and split into final matches and the rows
+    left for the next round. Rounds stop when nothing is left or the radius
+    exceeds the diagonal of the joint extent (the right side is empty)."""
+    pts = left.select(F.col(lx).alias("x"), F.col(ly).alias("y"), F.lit(0).alias("r")).unionByName(
+        right.select(F.col(rx).alias("x"), F.col(ry).alias("y"), F.lit(1).alias("r")))
+    ext = pts.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.sum("r")).first()
+    key_type = right.schema[right_key].dataType
+    if ext[0] is None or not ext[4]:
+        return left.select(left_key).withColumns({right_key: F.lit(None).cast(key_type),
+                                                  "distance": F.lit(None).cast("double")})
+    w, h = ext[1] - ext[0], ext[3] - ext[2]
+    diag = max((w * w + h * h) ** 0.5, 1.0)
+    r = float(start_radius or max((max(w, 1.0) * max(h, 1.0) / ext[4]) ** 0.5, 1.0))
+    rem = _checkpoint(_prep_points(left, left_key, lx, ly, "_l"))
+    R0 = _prep_points(right, right_key, rx, ry, "_r")
     found = []
-    r = float(start_radius)
     while True:
-        m = _checkpoint(nearest_within(remaining, right, left_key, right_key, r, lx, ly, rx, ry, ties, how="inner"))
-        found.append(m)
-        remaining = _checkpoint(remaining.join(m.select(left_key), left_key, "left_anti"))
-        if remaining.isEmpty() or r > diag:
+        L = rem.withColumns({"_cx": _cell(F.col("_lx"), r), "_cy": _cell(F.col("_ly"), r)})
+        R = _replicate_3x3(R0, "_rx", "_ry", r)
+        dist = planar_distance("_lx", "_ly", "_rx", "_ry")
+        j = L.join(R, (L["_cx"] == R["_cx"]) & (L["_cy"] == R["_cy"]) & (dist <= r), "left").select(
+            "_lkey", "_lx", "_ly", "_rkey", F.when(F.col("_rkey").isNotNull(), dist).alias("distance"),
+            L["_cx"], L["_cy"])
+        ranked = _checkpoint(_rank_nearest(j, "_lkey", "_rkey", ties))
+        found.append(ranked.where(F.col("_rkey").isNotNull()).select(
+            F.col("_lkey").alias(left_key), F.col("_rkey").alias(right_key), "distance"))
+        rem = ranked.where(F.col("_rkey").isNull()).select("_lkey", "_lx", "_ly")
+        if rem.isEmpty() or r > diag:
             break
         r *= 2
     out = found[0]
     for m in found[1:]:
         out = out.unionByName(m)
-    rest = remaining.select(left_key).withColumns({right_key: F.lit(None).cast(out.schema[right_key].dataType),
-                                                  "distance": F.lit(None).cast("double")})
+    rest = rem.select(F.col("_lkey").alias(left_key)).withColumns({right_key: F.lit(None).cast(key_type),
+                                                                   "distance": F.lit(None).cast("double")})
     return out.unionByName(rest)
 
 

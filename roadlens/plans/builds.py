@@ -37,7 +37,7 @@ def build_crash_table(crashes: DataFrame, segments: DataFrame, stations: DataFra
                           F.col("f_system").alias("hpms_functional_class"), F.col("aadt").cast("double").alias("hpms_aadt"))
     road = road.join(seg, "segment_id", "left").withColumnRenamed("segment_id", "hpms_segment_id") \
         .withColumnRenamed("distance", "hpms_distance_m")
-    st = S.nearest_unbounded(c, stations, "id", "statn_id", 500.0)
+    st = S.nearest_unbounded(c, stations, "id", "statn_id")
     st = st.join(stations.select("statn_id", F.col("aadt")), "statn_id", "left").select(
         "id", "aadt", F.col("distance").alias("distance_to_aadt_m"))
     t = c.join(road, "id").join(st, "id")
