@@ -93,8 +93,11 @@ def point_line_pairs(points: DataFrame, lines: DataFrame, point_key: str, line_k
                      radius: float, px: str = "x", py: str = "y", cell: float | None = None,
                      how: str = "inner") -> DataFrame:
     """All (point, line) pairs within ``radius`` with the minimum distance
-    over the line's pieces: ``point_key, line_key, distance, _cx, _cy``."""
-    size = float(cell or radius)
+    over the line's pieces: ``point_key, line_key, distance, _cx, _cy``.
+    Default cell side is 2 x radius: road pieces are usually longer than the
+    radius, and a cell equal to the radius replicates each piece to many
+    cells (measured: 2x faster at sf0.1 than cell = radius)."""
+    size = float(cell or 2 * radius)
     P = _prep_points(points, point_key, px, py, "_p")
     P = P.withColumns({"_cx": _cell(F.col("_px"), size), "_cy": _cell(F.col("_py"), size)})
     Lc = polyline_cells(lines, line_key, geometry, radius, size).withColumnRenamed(line_key, "_lkey")
