@@ -204,3 +204,49 @@ def workzone_model_table(spark, d):
 def workzone_features(spark, d):
     """H2: per-zone count, means, first meta row and the q75 high-risk flag."""
     return workzone_model_table(spark, d)
+
+
+NEAR_ALL_SQL = SEGMENT_TABLE_SQL.split("e AS (")[0].rstrip().rstrip(",")
+
+
+@query("crashes_per_segment", NEAR_ALL_SQL + """
+SELECT segment_id, CAST(crash_count AS BIGINT) AS crash_count, CAST(high_severity_count AS BIGINT) AS high_severity_count
+FROM per""", ("crashes", "segments", "segment_pieces"))
+def crashes_per_segment(spark, d):
+    """H1: crashes and high-severity crashes per road segment (every tied
+    nearest segment within 100 m counts)."""
+    from ..functions import features as E
+    from ..operators import aggregates as H
+    from ..operators import spatial as S
+    c = V.crashes(spark, d).withColumn("high_severity", E.severity_target("severity", F.year("start_time")))
+    near = S.nearest_line_within(c, V.segments(spark, d), "id", "segment_id", "geometry", 100.0, ties="all", how="inner")
+    return H.crashes_per_segment(near.join(c.select("id", "high_severity"), "id"), "segment_id", "high_severity")
+
+
+@query("dimension_lookup", """
+SELECT c.id, s.sunrise, s.sunset FROM crashes c LEFT JOIN suntimes s
+  ON round_even(c.lat, 1) = s.lat_r AND round_even(c.lng, 1) = s.lng_r AND CAST(c.start_time AS DATE) = s.date""",
+       ("crashes", "suntimes"))
+def dimension_lookup(spark, d):
+    """Lookup on derived keys (half-even rounded lat/lng, date)."""
+    from ..operators.joins import dimension_lookup as lookup
+    c = V.crashes(spark, d)
+    j = lookup(c, V.suntimes(spark, d), [F.bround("lat", 1), F.bround("lng", 1), F.to_date("start_time")],
+               ["lat_r", "lng_r", "date"])
+    return j.select("id", "sunrise", "sunset")
+
+
+@query("vmt_and_rates", """
+SELECT segment_id, round_even(aadt * miles * 365, 6) AS vmt_annual,
+       round_even(coalesce(y / nullif(aadt * miles * 365 / 1e8, 0), 0.0), 6) AS crash_rate_per_100m_vmt
+FROM (SELECT segment_id, aadt, y, (0.0 + sqrt(power(x1 - x0, 2) + power(y1 - y0, 2)) + sqrt(power(x2 - x1, 2) + power(y2 - y1, 2))) / 1609.34 AS miles
+      FROM segments JOIN counts USING (segment_id))""", ("segments", "counts"))
+def vmt_and_rates(spark, d):
+    """Annual VMT and crashes per 100 M VMT (0 when undefined)."""
+    from ..functions import features as E
+    from ..functions import geo as GEO
+    s = V.segments(spark, d).join(V.counts(spark, d), "segment_id").withColumn(
+        "miles", GEO.polyline_length("geometry") / GEO.METRES_PER_MILE)
+    r = E.vmt_and_rates("aadt", "miles", "y", "y")
+    return s.select("segment_id", r6(r["vmt_annual"]).alias("vmt_annual"),
+                    r6(r["crash_rate_per_100m_vmt"]).alias("crash_rate_per_100m_vmt"))

@@ -314,3 +314,56 @@ def workzone_proximity(spark, d):
     j = nn.join(cnt, "id")
     return j.select("id", r6("distance", 3).alias("wz_nearest_distance_m"), "wz_count_1km",
                     bin_right_closed("wz_count_1km", *TRAINING["wz_density"]).alias("wz_density_cat"))
+
+
+def _tm_sql(lon: str, lat: str) -> tuple[str, str]:
+    a, f = GEO.WGS84
+    p = GEO.UTM14N
+    e2 = f * (2 - f)
+    ep2 = e2 / (1 - e2)
+    d2r = repr(GEO.DEG2RAD)
+    phi = f"({lat} * {d2r})"
+    n_ = f"({a!r} / sqrt(1 - {e2!r} * sin({phi}) * sin({phi})))"
+    t = f"(tan({phi}) * tan({phi}))"
+    c = f"({ep2!r} * cos({phi}) * cos({phi}))"
+    A = f"(({lon} - ({p['lon0']!r})) * {d2r} * cos({phi}))"
+    m = (f"({a!r} * (({1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256!r}) * {phi}"
+         f" - ({3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024!r}) * sin(2 * {phi})"
+         f" + ({15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024!r}) * sin(4 * {phi})"
+         f" - ({35 * e2 ** 3 / 3072!r}) * sin(6 * {phi})))")
+    x = (f"({p['fe']!r} + {p['k0']!r} * {n_} * ({A} + (1 - {t} + {c}) * power({A}, 3) / 6"
+         f" + (5 - 18 * {t} + {t} * {t} + 72 * {c} - 58 * {ep2!r}) * power({A}, 5) / 120))")
+    y = (f"({p['fn']!r} + {p['k0']!r} * ({m} + {n_} * tan({phi}) * ({A} * {A} / 2"
+         f" + (5 - {t} + 9 * {c} + 4 * {c} * {c}) * power({A}, 4) / 24"
+         f" + (61 - 58 * {t} + {t} * {t} + 600 * {c} - 330 * {ep2!r}) * power({A}, 6) / 720)))")
+    return x, y
+
+
+def _albers_sql(lon: str, lat: str) -> tuple[str, str]:
+    k = GEO.albers_constants()
+    p = GEO.TX_ALBERS
+    e, n = k["e"], k["n"]
+    s = f"sin({lat} * {GEO.DEG2RAD!r})"
+    q = f"({1 - e * e!r} * ({s} / (1 - {e * e!r} * {s} * {s}) - {1 / (2 * e)!r} * ln((1 - {e!r} * {s}) / (1 + {e!r} * {s}))))"
+    rho = f"({k['a']!r} * sqrt({k['C']!r} - {n!r} * {q}) / {n!r})"
+    theta = f"({n!r} * ({lon} - ({p['lon0']!r})) * {GEO.DEG2RAD!r})"
+    return f"({p['fe']!r} + {rho} * sin({theta}))", f"({p['fn']!r} + {k['rho0']!r} - {rho} * cos({theta}))"
+
+
+_TMX, _TMY = _tm_sql("lng", "lat")
+_ALX, _ALY = _albers_sql("lng", "lat")
+
+
+@query("project_utm", f"SELECT id, round_even({_TMX}, 3) AS ux, round_even({_TMY}, 3) AS uy FROM crashes", ("crashes",))
+def project_utm(spark, d):
+    """EPSG:4326 -> EPSG:32614 (UTM 14N, ellipsoidal transverse Mercator)."""
+    x, y = GEO.transverse_mercator("lng", "lat")
+    return V.crashes(spark, d).select("id", r6(x, 3).alias("ux"), r6(y, 3).alias("uy"))
+
+
+@query("project_albers", f"SELECT id, round_even({_ALX}, 3) AS ax, round_even({_ALY}, 3) AS ay FROM crashes",
+       ("crashes",))
+def project_albers(spark, d):
+    """EPSG:4326 -> EPSG:3083 (Texas Centric Albers equal area, GRS80)."""
+    x, y = GEO.albers("lng", "lat")
+    return V.crashes(spark, d).select("id", r6(x, 3).alias("ax"), r6(y, 3).alias("ay"))

@@ -92,3 +92,75 @@ def point_in_ring(px: ColumnOrName, py: ColumnOrName, ring: ColumnOrName) -> Col
         return acc + F.when(crosses, 1).otherwise(0)
 
     return (F.aggregate(idx, F.lit(0), step) % 2) == 1
+
+
+# Ellipsoids and projection parameters (fixed values, public EPSG definitions).
+WGS84 = (6378137.0, 1 / 298.257223563)
+GRS80 = (6378137.0, 1 / 298.257222101)
+UTM14N = {"lon0": -99.0, "k0": 0.9996, "fe": 500000.0, "fn": 0.0}                      # EPSG:32614
+TX_ALBERS = {"lat1": 27.5, "lat2": 35.0, "lat0": 18.0, "lon0": -100.0,                 # EPSG:3083
+             "fe": 1500000.0, "fn": 6000000.0}
+
+
+def transverse_mercator(lon: ColumnOrName, lat: ColumnOrName, lon0: float = UTM14N["lon0"],
+                        k0: float = UTM14N["k0"], fe: float = UTM14N["fe"], fn: float = UTM14N["fn"],
+                        ellipsoid=WGS84) -> tuple[Column, Column]:
+    """EPSG:4326 -> transverse Mercator (UTM zone 14N by default), the
+    ellipsoidal series of Snyder (1987), eq. 8-9 to 8-10 (sub-mm inside a
+    zone)."""
+    a, f = ellipsoid
+    e2 = f * (2 - f)
+    ep2 = e2 / (1 - e2)
+    phi = _c(lat) * DEG2RAD
+    s, co = F.sin(phi), F.cos(phi)
+    n_ = F.lit(a) / F.sqrt(1 - e2 * s * s)
+    t = F.tan(phi) * F.tan(phi)
+    c = ep2 * co * co
+    A = (_c(lon) - lon0) * DEG2RAD * co
+    m = a * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256) * phi
+             - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024) * F.sin(2 * phi)
+             + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024) * F.sin(4 * phi)
+             - (35 * e2 ** 3 / 3072) * F.sin(6 * phi))
+    x = fe + k0 * n_ * (A + (1 - t + c) * F.pow(A, 3) / 6 + (5 - 18 * t + t * t + 72 * c - 58 * ep2) * F.pow(A, 5) / 120)
+    y = fn + k0 * (m + n_ * F.tan(phi) * (A * A / 2 + (5 - t + 9 * c + 4 * c * c) * F.pow(A, 4) / 24
+                                          + (61 - 58 * t + t * t + 600 * c - 330 * ep2) * F.pow(A, 6) / 720))
+    return x, y
+
+
+def _albers_q(sinphi, e):
+    """Snyder eq. 3-12 (works for Columns and floats)."""
+    if isinstance(sinphi, Column):
+        return (1 - e * e) * (sinphi / (1 - e * e * sinphi * sinphi)
+                              - 1 / (2 * e) * F.ln((1 - e * sinphi) / (1 + e * sinphi)))
+    return (1 - e * e) * (sinphi / (1 - e * e * sinphi * sinphi)
+                          - 1 / (2 * e) * math.log((1 - e * sinphi) / (1 + e * sinphi)))
+
+
+def albers(lon: ColumnOrName, lat: ColumnOrName, p: dict = TX_ALBERS, ellipsoid=GRS80) -> tuple[Column, Column]:
+    """EPSG:4326 -> Albers equal-area conic (Texas Centric, EPSG:3083
+    by default), Snyder (1987) eq. 14-1 to 14-6 on the ellipsoid. The
+    projection constants are computed once in Python."""
+    a, f = ellipsoid
+    e = math.sqrt(f * (2 - f))
+    m = lambda ph: math.cos(ph) / math.sqrt(1 - e * e * math.sin(ph) ** 2)
+    p1, p2, p0 = (math.radians(p["lat1"]), math.radians(p["lat2"]), math.radians(p["lat0"]))
+    q1, q2, q0 = (_albers_q(math.sin(v), e) for v in (p1, p2, p0))
+    n = (m(p1) ** 2 - m(p2) ** 2) / (q2 - q1)
+    cc = m(p1) ** 2 + n * q1
+    rho0 = a * math.sqrt(cc - n * q0) / n
+    q = _albers_q(F.sin(_c(lat) * DEG2RAD), e)
+    rho = F.lit(a) * F.sqrt(cc - n * q) / n
+    theta = n * (_c(lon) - p["lon0"]) * DEG2RAD
+    return p["fe"] + rho * F.sin(theta), p["fn"] + rho0 - rho * F.cos(theta)
+
+
+def albers_constants(p: dict = TX_ALBERS, ellipsoid=GRS80) -> dict:
+    """The derived Albers constants (n, C, rho0, e) for SQL twins and tests."""
+    a, f = ellipsoid
+    e = math.sqrt(f * (2 - f))
+    m = lambda ph: math.cos(ph) / math.sqrt(1 - e * e * math.sin(ph) ** 2)
+    p1, p2, p0 = (math.radians(p["lat1"]), math.radians(p["lat2"]), math.radians(p["lat0"]))
+    q1, q2, q0 = (_albers_q(math.sin(v), e) for v in (p1, p2, p0))
+    n = (m(p1) ** 2 - m(p2) ** 2) / (q2 - q1)
+    cc = m(p1) ** 2 + n * q1
+    return {"n": n, "C": cc, "rho0": a * math.sqrt(cc - n * q0) / n, "e": e, "a": a}
