@@ -31,25 +31,43 @@ def _prep_points(df: DataFrame, key: str, x: str, y: str, prefix: str) -> DataFr
                      F.col(y).cast("double").alias(f"{prefix}y"))
 
 
-def _replicate_3x3(df: DataFrame, xcol: str, ycol: str, size: float) -> DataFrame:
+def _replicate_3x3(df: DataFrame, xcol: str, ycol: str, size: float, salt: int = 1) -> DataFrame:
     cx, cy = _cell(F.col(xcol), size), _cell(F.col(ycol), size)
     nb = F.explode(F.array(*[F.struct((cx + dx).alias("_cx"), (cy + dy).alias("_cy")) for dx, dy in NEIGHBOURS]))
-    return df.select("*", nb.alias("_c")).select(*df.columns, "_c._cx", "_c._cy")
+    out = df.select("*", nb.alias("_c")).select(*df.columns, "_c._cx", "_c._cy")
+    return _replicate_salt(out, salt)
+
+
+def _replicate_salt(df: DataFrame, salt: int) -> DataFrame:
+    """Copy every row to each salt value 0..salt-1 (right / replicated side)."""
+    if salt <= 1:
+        return df.withColumn("_salt", F.lit(0))
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+
+
+def _salt_of(key: str, salt: int) -> Column:
+    """Salt of a left row: a hash of its key, so a hot cell is spread over
+    ``salt`` join partitions while each left row still meets every right
+    row of its cell exactly once."""
+    return F.lit(0) if salt <= 1 else F.pmod(F.xxhash64(F.col(key)), F.lit(salt)).cast("int")
 
 
 def within_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, radius: float,
                  lx: str = "x", ly: str = "y", rx: str = "x", ry: str = "y",
-                 cell: float | None = None, how: str = "inner") -> DataFrame:
+                 cell: float | None = None, how: str = "inner", salt: int = 1) -> DataFrame:
     """all (left, right) pairs with distance <= radius, plus the distance.
     Output columns: ``left_key, right_key, distance, _cx, _cy``; with
-    ``how='left'`` unmatched left rows appear once with null right columns."""
+    ``how='left'`` unmatched left rows appear once with null right columns.
+    ``salt > 1`` spreads every cell over that many join partitions (left rows
+    by key hash, right rows copied per salt) for data with very hot cells."""
     size = float(cell or radius)
     assert size >= radius, "cell side must be >= radius for the 3x3 neighbourhood to be complete"
     L = _prep_points(left, left_key, lx, ly, "_l")
-    L = L.withColumns({"_cx": _cell(F.col("_lx"), size), "_cy": _cell(F.col("_ly"), size)})
-    R = _replicate_3x3(_prep_points(right, right_key, rx, ry, "_r"), "_rx", "_ry", size)
+    L = L.withColumns({"_cx": _cell(F.col("_lx"), size), "_cy": _cell(F.col("_ly"), size),
+                       "_salt": _salt_of("_lkey", salt)})
+    R = _replicate_3x3(_prep_points(right, right_key, rx, ry, "_r"), "_rx", "_ry", size, salt)
     dist = planar_distance("_lx", "_ly", "_rx", "_ry")
-    j = L.join(R, (L["_cx"] == R["_cx"]) & (L["_cy"] == R["_cy"]) & (dist <= radius), how)
+    j = L.join(R, (L["_cx"] == R["_cx"]) & (L["_cy"] == R["_cy"]) & (L["_salt"] == R["_salt"]) & (dist <= radius), how)
     return j.select(F.col("_lkey").alias(left_key), F.col("_rkey").alias(right_key),
                     F.when(F.col("_rkey").isNotNull(), dist).alias("distance"), L["_cx"], L["_cy"])
 
@@ -67,13 +85,13 @@ def _rank_nearest(pairs: DataFrame, left_key: str, right_key: str, ties: str) ->
 
 def nearest_within(left: DataFrame, right: DataFrame, left_key: str, right_key: str, max_distance: float,
                    lx: str = "x", ly: str = "y", rx: str = "x", ry: str = "y", ties: str = "first",
-                   how: str = "left", cell: float | None = None) -> DataFrame:
+                   how: str = "left", cell: float | None = None, salt: int = 1) -> DataFrame:
     """nearest right point per left row within ``max_distance`` (Q7:
     ``ties='all'`` keeps every tied right row, ``'first'`` the lowest right
     key). ``how='left'`` keeps unmatched left rows (right key and distance
     null) without a second join back: the grid join itself is a left outer
     join with the distance in its condition."""
-    pairs = within_pairs(left, right, left_key, right_key, max_distance, lx, ly, rx, ry, cell, how)
+    pairs = within_pairs(left, right, left_key, right_key, max_distance, lx, ly, rx, ry, cell, how, salt)
     return _rank_nearest(pairs, left_key, right_key, ties)
 
 
@@ -91,7 +109,7 @@ def polyline_cells(lines: DataFrame, key: str, geometry: str, pad: float, size:
 
 def point_line_pairs(points: DataFrame, lines: DataFrame, point_key: str, line_key: str, geometry: str,
                      radius: float, px: str = "x", py: str = "y", cell: float | None = None,
-                     how: str = "inner") -> DataFrame:
+                     how: str = "inner", salt: int = 1) -> DataFrame:
     """All (point, line) pairs within ``radius`` with the minimum distance
     over the line's pieces: ``point_key, line_key, distance, _cx, _cy``.
     Default cell side is 2 x radius: road pieces are usually longer than the
@@ -99,10 +117,13 @@ def point_line_pairs(points: DataFrame, lines: DataFrame, point_key: str, line_k
     cells (measured: 2x faster at sf0.1 than cell = radius)."""
     size = float(cell or 2 * radius)
     P = _prep_points(points, point_key, px, py, "_p")
-    P = P.withColumns({"_cx": _cell(F.col("_px"), size), "_cy": _cell(F.col("_py"), size)})
-    Lc = polyline_cells(lines, line_key, geometry, radius, size).withColumnRenamed(line_key, "_lkey")
+    P = P.withColumns({"_cx": _cell(F.col("_px"), size), "_cy": _cell(F.col("_py"), size),
+                       "_salt": _salt_of("_pkey", salt)})
+    Lc = _replicate_salt(polyline_cells(lines, line_key, geometry, radius, size).withColumnRenamed(line_key, "_lkey"),
+                         salt)
     dist = point_piece_distance("_px", "_py", "ax", "ay", "bx", "by")
-    j = P.join(Lc, (P["_cx"] == Lc["_cx"]) & (P["_cy"] == Lc["_cy"]) & (dist <= radius), how)
+    j = P.join(Lc, (P["_cx"] == Lc["_cx"]) & (P["_cy"] == Lc["_cy"]) & (P["_salt"] == Lc["_salt"]) & (dist <= radius),
+               how)
     # a point sees a line through several pieces: keep the minimum per pair;
     # grouping by the point's cell too keeps the join's partitioning
     g = j.groupBy(P["_cx"], P["_cy"], "_pkey", "_lkey").agg(F.min(dist).alias("distance"))
@@ -111,9 +132,9 @@ def point_line_pairs(points: DataFrame, lines: DataFrame, point_key: str, line_k
 
 def nearest_line_within(points: DataFrame, lines: DataFrame, point_key: str, line_key: str, geometry: str,
                         max_distance: float, px: str = "x", py: str = "y", ties: str = "all",
-                        how: str = "left", cell: float | None = None) -> DataFrame:
+                        how: str = "left", cell: float | None = None, salt: int = 1) -> DataFrame:
     """nearest polyline per point within ``max_distance``."""
-    pairs = point_line_pairs(points, lines, point_key, line_key, geometry, max_distance, px, py, cell, how)
+    pairs = point_line_pairs(points, lines, point_key, line_key, geometry, max_distance, px, py, cell, how, salt)
     pairs = pairs.withColumn("distance", F.when(F.col(line_key).isNotNull(), F.col("distance")))
     return _rank_nearest(pairs, point_key, line_key, ties)
 

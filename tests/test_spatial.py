@@ -67,3 +67,17 @@ def test_spatial_plans_have_no_nested_loop_or_python(spark):
     for df in (S.within_pairs(L, R, "l_id", "r_id", 100.0), S.nearest_within(L, R, "l_id", "r_id", 100.0)):
         p = _plan(df)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "PythonUDF" not in p
+
+
+def test_salted_joins_equal_unsalted(spark):
+    # a hot cell: half of the left points sit in one 150 m cell
+    L, lr = _points(spark, 200, 8, "l")
+    hot = spark.createDataFrame([(1000 + i, 10.0 + i % 7, 20.0 + i % 5) for i in range(200)], "l_id long, x double, y double")
+    L = L.unionByName(hot)
+    R, rr = _points(spark, 100, 9, "r")
+    a = {(r.l_id, r.r_id) for r in S.within_pairs(L, R, "l_id", "r_id", 150.0).collect()}
+    b = {(r.l_id, r.r_id) for r in S.within_pairs(L, R, "l_id", "r_id", 150.0, salt=4).collect()}
+    assert a == b
+    n1 = {(r.l_id, r.r_id) for r in S.nearest_within(L, R, "l_id", "r_id", 150.0).collect()}
+    n4 = {(r.l_id, r.r_id) for r in S.nearest_within(L, R, "l_id", "r_id", 150.0, salt=4).collect()}
+    assert n1 == n4
