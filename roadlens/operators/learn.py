@@ -61,11 +61,10 @@ def one_hot(train: DataFrame, df: DataFrame, column: str, drop_first: bool = Tru
 
 
 def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """P5: alphabetical code (``dense_rank - 1`` over the distinct values,
-    joined back; the window runs over distinct values only)."""
-    codes = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn(
-        out or f"{column}_code", (F.row_number().over(Window.orderBy(column)) - 1).cast("int"))
-    return df.join(codes, column, "left")
+    """P5: alphabetical code (``dense_rank - 1``) computed over the distinct
+    values with range partitions and prefix offsets, then joined back."""
+    from .ranking import dense_codes
+    return df.join(dense_codes(df, column, out or f"{column}_code"), column, "left")
 
 
 # ---------------------------------------------------------------- P6-P10

@@ -143,6 +143,23 @@ def quantile_flag(df: DataFrame, column: str, q: float, out: str = "flag") -> Da
     return df.withColumn(out, F.coalesce(F.col(column) >= t, F.lit(False)).cast("int"))
 
 
+def dense_codes(df: DataFrame, column: str, out: str, partitions: int = 64) -> DataFrame:
+    """Alphabetical 0-based code of every distinct value of ``column`` for any
+    orderable type, distributed: distinct values are range-partitioned
+    (partition k holds only values below partition k+1), the partition id
+    is frozen by a reliable checkpoint, per-partition counts (<= partitions
+    rows) get a prefix sum, and the window ranks inside one partition only."""
+    from .spatial import _checkpoint
+    vals = df.select(column).where(F.col(column).isNotNull()).distinct()
+    ranged = _checkpoint(vals.repartitionByRange(partitions, column).withColumn("_pid", F.spark_partition_id()))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
+    w = Window.partitionBy("_pid").orderBy(column)
+    return (ranged.join(F.broadcast(offs), "_pid")
+            .select(column, (F.col("_off") + F.row_number().over(w) - 1).cast("int").alias(out)))
+
+
 __all__ = ["bin_right_closed", "dedup_keep_first", "dedup_full", "duplicate_count", "centered_rolling_mean",
            "group_first", "top_n", "top_n_or_other", "frequency_bucket", "prefix_offsets",
            "temporal_order_split", "bin_equal_width", "bin_quantile", "quantile_flag"]
