@@ -31,13 +31,18 @@ def build_crash_table(crashes: DataFrame, segments: DataFrame, stations: DataFra
     c = c.withColumn("high_severity", E.severity_target("severity", F.year("start_time")))
     c = C.drop_columns_if_present(c, ["severity", "end_time", "end_lat", "end_lng"])
     c = I.dedup_keep_first(c, ["id"], ["start_time"])
-    road = S.nearest_line_within(c, segments, "id", "segment_id", "geometry", road_radius, ties="first")
+    # I7 / I8 statistics on the crash rows themselves (the joins below are
+    # 1:1 per crash), so the spatial joins are not recomputed for them
+    c = I.top_n_or_other(c, "county", 20, out="county_top20")
+    c = I.frequency_bucket(c, "city", 1000, 100, out="city_size_category")
+    pts = c.select("id", "x", "y")
+    road = S.nearest_line_within(pts, segments, "id", "segment_id", "geometry", road_radius, ties="first")
     seg = segments.select(F.col("segment_id"), D.to_numeric_null_token("speed_limit").alias("hpms_speed_limit"),
                           F.col("through_lanes").cast("double").alias("hpms_lanes"),
                           F.col("f_system").alias("hpms_functional_class"), F.col("aadt").cast("double").alias("hpms_aadt"))
     road = road.join(seg, "segment_id", "left").withColumnRenamed("segment_id", "hpms_segment_id") \
         .withColumnRenamed("distance", "hpms_distance_m")
-    st = S.nearest_unbounded(c, stations, "id", "statn_id")
+    st = S.nearest_unbounded(pts, stations, "id", "statn_id")
     st = st.join(stations.select("statn_id", F.col("aadt")), "statn_id", "left").select(
         "id", "aadt", F.col("distance").alias("distance_to_aadt_m"))
     t = c.join(road, "id").join(st, "id")
@@ -56,8 +61,6 @@ def build_crash_table(crashes: DataFrame, segments: DataFrame, stations: DataFra
         "lane_category": bin_right_closed("hpms_lanes", *TRAINING["lanes"], na_label=na_label),
         "road_class": F.coalesce(F.col("hpms_functional_class").cast("string"), F.lit(na_label)),
     }).withColumn("region", E.concat_region("lat_zone", "lng_zone"))
-    t = I.top_n_or_other(t, "county", 20, out="county_top20")
-    t = I.frequency_bucket(t, "city", 1000, 100, out="city_size_category")
     ranges = split_ranges or {
         "train": ("1995-01-01 00:00:00", "1998-12-31 23:59:59"), "val": ("1999-01-01 00:00:00", "1999-12-31 23:59:59"),
         "test": ("2000-01-01 00:00:00", "2000-12-31 23:59:59")}
