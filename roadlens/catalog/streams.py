@@ -28,7 +28,8 @@ def _land_events(spark, d, chunks: int = 4, resend_first: bool = True) -> str:
     order = list(range(chunks)) + ([0] if resend_first else [])
     for i, c in enumerate(order):
         part = e.where((F.col("event_id") >= c * step) & (F.col("event_id") < (c + 1) * step))
-        part.write.mode("overwrite").option("timestampFormat", R.TS_FORMAT).json(f"{land}/part-{i:04d}")
+        # one file per delivery so a one-file-per-trigger stream replays deliveries in time order
+        part.coalesce(1).write.mode("overwrite").option("timestampFormat", R.TS_FORMAT).json(f"{land}/part-{i:04d}")
     return land
 
 

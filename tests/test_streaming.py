@@ -9,7 +9,10 @@ SCHEMA = "event_id long, ts timestamp, event_type string, value double"
 
 
 def _land(spark, base, i, rows):
-    spark.createDataFrame(rows, SCHEMA).write.option("timestampFormat", R.TS_FORMAT).json(f"{base}/f{i}")
+    # one file per delivery, written in order: the file source then replays deliveries in order
+    import time
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.option("timestampFormat", R.TS_FORMAT).json(f"{base}/f{i}")
+    time.sleep(0.05)
 
 
 def test_window_late_rows(spark):
