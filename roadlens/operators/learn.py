@@ -250,39 +250,75 @@ def voting(df: DataFrame, members: list[str], out: str = "p_vote") -> DataFrame:
 
 def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples: int = 5,
            max_rounds: int = 10_000) -> DataFrame:
-    """DBSCAN as distributed DataFrame steps.
-    1. eps-neighbourhoods by the grid self-join (self pair included);
-    2. core points: at least ``min_samples`` neighbours;
-    3. clusters = connected components of the core-core graph, by iterated
-       min-label propagation (each round one join + groupBy min, checkpointed,
-       stops when no label changes);
-    4. border points take the lowest cluster label of their core neighbours;
-       everything else is noise (-1).
-    Cluster labels are canonical: the smallest core key of the component."""
-    pairs = within_pairs(points, points.select(F.col(key).alias("_rk2"), F.col(x).alias("_x2"), F.col(y).alias("_y2")),
-                         key, "_rk2", eps, x, y, "_x2", "_y2").drop("_cx", "_cy", "distance")
-    deg = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_deg"))
-    core = _checkpoint(deg.where(F.col("_deg") >= min_samples).select(key))
-    edges = (pairs.join(core, key, "left_semi")
-             .join(core.withColumnRenamed(key, "_rk2"), "_rk2", "left_semi").where(F.col(key) != F.col("_rk2")))
-    edges = _checkpoint(edges.select(F.col(key).alias("src"), F.col("_rk2").alias("dst")))
-    labels = core.select(F.col(key).alias("node"), F.col(key).alias("label"))
+    """Exact DBSCAN on a grid of sub-cells with side eps / sqrt(2), so
+    that any two points of one sub-cell are within eps.
+    1. A sub-cell with at least ``min_samples`` points is all core: no pairs
+       are enumerated inside it (a hot cell costs one count).
+    2. Points of sparse sub-cells (fewer than ``min_samples`` points) are
+       replicated to their 5x5 neighbourhood and paired with the points
+       there: at most 25 * (min_samples - 1) replicas meet any cell, so the
+       pairs grow linearly with a hot neighbour, never quadratically.
+    3. Clusters are the connected components of the graph of sub-cells that
+       hold core points; two such cells are linked when a core pair within
+       eps crosses them (candidates pruned to points within eps of the other
+       cell's rectangle). Components come from iterated min-label
+       propagation, checkpointed every round, until no label changes.
+    4. Border points take the lowest cluster label among their core
+       neighbours; the rest is noise (-1). Labels are canonical: the
+       smallest core key of the component."""
+    from .spatial import _cell
+    s = eps / math.sqrt(2)
+    dist = lambda ax, ay, bx, by: F.sqrt(F.pow(F.col(ax) - F.col(bx), 2) + F.pow(F.col(ay) - F.col(by), 2))
+    P = _checkpoint(points.select(F.col(key).alias("_k"), F.col(x).cast("double").alias("_x"),
+                                  F.col(y).cast("double").alias("_y"))
+                    .withColumns({"_gx": _cell(F.col("_x"), s), "_gy": _cell(F.col("_y"), s)}))
+    cnt = P.groupBy("_gx", "_gy").agg(F.count(F.lit(1)).alias("_n"))
+    Pn = P.join(cnt, ["_gx", "_gy"])
+    sparse = Pn.where(F.col("_n") < min_samples).drop("_n")
+    near = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3)]
+    rep = sparse.select(F.col("_k").alias("_sk"), F.col("_x").alias("_sx"), F.col("_y").alias("_sy"), F.explode(
+        F.array(*[F.struct((F.col("_gx") + dx).alias("_tx"), (F.col("_gy") + dy).alias("_ty")) for dx, dy in near]))
+        .alias("_t")).select("_sk", "_sx", "_sy", "_t._tx", "_t._ty")
+    other = P.select(F.col("_k").alias("_ok"), F.col("_x").alias("_ox"), F.col("_y").alias("_oy"),
+                     F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"))
+    sp_pairs = _checkpoint(rep.join(other, ["_tx", "_ty"]).where(dist("_sx", "_sy", "_ox", "_oy") <= eps)
+                           .select("_sk", "_ok"))
+    sp_core = sp_pairs.groupBy("_sk").agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") >= min_samples)
+    core = _checkpoint(Pn.where(F.col("_n") >= min_samples).drop("_n").unionByName(
+        sparse.join(sp_core.select(F.col("_sk").alias("_k")), "_k", "left_semi")))
+    cid = lambda gx, gy: F.struct(F.col(gx).alias("gx"), F.col(gy).alias("gy"))
+    labels = core.groupBy(cid("_gx", "_gy").alias("node")).agg(F.min("_k").alias("label"))
+
+    def rect_dist(tx, ty):
+        lo_x, hi_x = F.col(tx) * s, (F.col(tx) + 1) * s
+        lo_y, hi_y = F.col(ty) * s, (F.col(ty) + 1) * s
+        ddx = F.greatest(lo_x - F.col("_x"), F.lit(0.0), F.col("_x") - hi_x)
+        ddy = F.greatest(lo_y - F.col("_y"), F.lit(0.0), F.col("_y") - hi_y)
+        return F.sqrt(ddx * ddx + ddy * ddy)
+
+    repc = core.select("_k", "_x", "_y", "_gx", "_gy", F.explode(F.array(*[
+        F.struct((F.col("_gx") + dx).alias("_tx"), (F.col("_gy") + dy).alias("_ty"))
+        for dx, dy in near if (dx, dy) != (0, 0)])).alias("_t")).select("_k", "_x", "_y", "_gx", "_gy", "_t._tx", "_t._ty")
+    repc = repc.where(rect_dist("_tx", "_ty") <= eps)
+    ocore = core.select(F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), F.col("_gx").alias("_tx"),
+                        F.col("_gy").alias("_ty"))
+    edges = _checkpoint(repc.join(ocore, ["_tx", "_ty"]).where(dist("_x", "_y", "_ox", "_oy") <= eps)
+                        .select(cid("_gx", "_gy").alias("src"), cid("_tx", "_ty").alias("dst")).distinct())
     for _ in range(max_rounds):
-        prop = edges.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(
-            F.min("label").alias("_nl"))
-        nxt = labels.join(prop.withColumnRenamed("src", "node"), "node", "left").select(
-            "node", F.least("label", F.coalesce("_nl", "label")).alias("label"), F.col("label").alias("_old"))
-        nxt = _checkpoint(nxt)
+        prop = edges.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("label").alias("_nl"))
+        nxt = _checkpoint(labels.join(prop.withColumnRenamed("src", "node"), "node", "left").select(
+            "node", F.least("label", F.coalesce("_nl", "label")).alias("label"), F.col("label").alias("_old")))
         changed = nxt.where(F.col("label") != F.col("_old")).limit(1).count()
         labels = nxt.drop("_old")
         if changed == 0:
             break
     else:
         raise RuntimeError("DBSCAN label propagation did not converge")
-    core_lab = labels.withColumnRenamed("node", "_rk2")
-    border = (pairs.join(core_lab, "_rk2").groupBy(key).agg(F.min("label").alias("_bl")))
-    out = points.select(key).join(labels.withColumnRenamed("node", key), key, "left").join(border, key, "left")
-    return out.select(key, F.coalesce("label", "_bl", F.lit(-1)).cast("long").alias("cluster"))
+    core_lab = core.select("_k", cid("_gx", "_gy").alias("node")).join(labels, "node").select("_k", "label")
+    border = (sp_pairs.join(core_lab.select(F.col("_k").alias("_ok"), F.col("label").alias("_bl")), "_ok")
+              .groupBy("_sk").agg(F.min("_bl").alias("_bl")))
+    out = (P.select("_k").join(core_lab, "_k", "left").join(border.withColumnRenamed("_sk", "_k"), "_k", "left"))
+    return out.select(F.col("_k").alias(key), F.coalesce("label", "_bl", F.lit(-1)).cast("long").alias("cluster"))
 
 
 # ---------------------------------------------------------------- P20-P21
