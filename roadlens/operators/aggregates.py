@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quantile(col, p, accuracy: int | None = None) -> Column:
+    """Exact linear-interpolated percentile (pandas/``quantile_cont``
+    semantics; memory per group bounded by the distinct values), or with
+    ``accuracy`` the bounded-memory sketch ``percentile_approx`` for
+    continuous high-cardinality columns at scale."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.percentile(c, p) if accuracy is None else F.percentile_approx(c, p, accuracy)
+
+
 def rate_by_group(df: DataFrame, key: str | list[str], target: str, rate: str = "rate",
                   n: str = "n") -> DataFrame:
     """H5: mean of a 0/1 target and the row count per key; null keys are
@@ -33,7 +42,8 @@ def crashes_per_segment(pairs: DataFrame, key: str, target: str) -> DataFrame:
 
 
 def workzone_features(df: DataFrame, zone: str, count_col: str, mean_cols: dict[str, str],
-                      meta_cols: list[str], order_col: str, q: float = 0.75) -> DataFrame:
+                      meta_cols: list[str], order_col: str, q: float = 0.75,
+                      accuracy: int | None = None) -> DataFrame:
     """H2: count + means per zone, the first meta row per zone (by an explicit
     order column, via ``min_by`` so a hot zone is reduced map-side), and
     ``high_risk = count >= quantile(count, q)`` with the quantile as a scalar
@@ -41,7 +51,7 @@ def workzone_features(df: DataFrame, zone: str, count_col: str, mean_cols: dict[
     meta = F.min_by(F.struct(*[F.col(c) for c in meta_cols]), F.col(order_col)).alias("_meta")
     aggs = [F.count(count_col).alias("crash_count")] + [F.avg(src).alias(dst) for src, dst in mean_cols.items()]
     per = df.groupBy(zone).agg(meta, *aggs).select(zone, "_meta.*", *[a for a in ["crash_count", *mean_cols.values()]])
-    q75 = per.select(F.percentile("crash_count", q)).scalar()
+    q75 = per.select(quantile("crash_count", q, accuracy)).scalar()
     return per.withColumn("high_risk", (F.col("crash_count") >= q75).cast("int"))
 
 
@@ -84,7 +94,7 @@ def resample_counts(df: DataFrame, ts: str, unit: str = "day") -> DataFrame:
     return cal.join(counts, "period", "left").select("period", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
+def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max and zero share per
     column in long form (one aggregate, then stack)."""
     aggs = []
@@ -92,8 +102,8 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         x = F.col(c).cast("double")
         aggs.append(F.struct(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.percentile(x, 0.25).alias("p25"),
-            F.percentile(x, 0.5).alias("p50"), F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max"),
+            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), quantile(x, 0.25, accuracy).alias("p25"),
+            quantile(x, 0.5, accuracy).alias("p50"), quantile(x, 0.75, accuracy).alias("p75"), F.max(x).alias("max"),
             (F.count_if(x == 0) / F.count(F.lit(1))).alias("zero_share")).alias(c))
     one = df.agg(*aggs)
     return one.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s")).select("s.*")
@@ -137,12 +147,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         {"lo": lo + F.col("bin") * width, "hi": lo + (F.col("bin") + 1) * width})
 
 
-def box_stats(df: DataFrame, group: str, column: str) -> DataFrame:
+def box_stats(df: DataFrame, group: str, column: str, accuracy: int | None = None) -> DataFrame:
     """Quartiles per category, 1.5 IQR whiskers, outlier count (second
     pass joined on the per-category quartile table)."""
     x = F.col(column)
     base = df.where(F.col(group).isNotNull() & x.isNotNull())
-    q = base.groupBy(group).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    q = base.groupBy(group).agg(quantile(x, [0.25, 0.5, 0.75], accuracy).alias("q"))
     q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumns({"lower_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})

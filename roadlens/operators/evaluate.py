@@ -81,10 +81,11 @@ def brier_score(df: DataFrame, y: str, p: str) -> DataFrame:
     return df.agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier_score"))
 
 
-def top_decile_report(df: DataFrame, y: str, p: str, q: float = 0.9) -> DataFrame:
+def top_decile_report(df: DataFrame, y: str, p: str, q: float = 0.9, accuracy: int | None = None) -> DataFrame:
     """Rows with p >= the q-quantile: count, precision (mean label) and
     enrichment over the overall mean (0 when the overall mean is 0)."""
-    t = df.select(F.percentile(p, q)).scalar()
+    from .aggregates import quantile
+    t = df.select(quantile(p, q, accuracy)).scalar()
     overall = df.select(F.avg(y)).scalar()
     top = df.where(F.col(p) >= t)
     return top.agg(F.count(F.lit(1)).alias("top_count"), F.coalesce(F.avg(y), F.lit(0.0)).alias("top_mean")) \

@@ -25,9 +25,11 @@ from .spatial import _checkpoint, within_pairs
 
 # ---------------------------------------------------------------- P1-P5
 
-def median_impute(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact train medians (scalar subqueries) filled into any split."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), train.select(F.median(c)).scalar())
+def median_impute(train: DataFrame, df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+    """Train medians (scalar subqueries; exact, or a bounded sketch with
+    ``accuracy``) filled into any split."""
+    from .aggregates import quantile
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), train.select(quantile(c, 0.5, accuracy)).scalar())
                            for c in columns})
 
 

@@ -79,11 +79,13 @@ def compare_splits(df: DataFrame, split: str, target: str, drift: float = 0.05)
     return g.withColumn("max_rate_diff", spread).withColumn("drift", (F.col("max_rate_diff") > drift).cast("int"))
 
 
-def percentile_outliers(df: DataFrame, columns: list[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+def percentile_outliers(df: DataFrame, columns: list[str], lo: float = 0.01, hi: float = 0.99,
+                        accuracy: int | None = None) -> DataFrame:
     """M8: rows outside [p1, p99] per column (percentiles as scalar subqueries)."""
     parts = []
     for c in columns:
-        q = df.select(F.percentile(c, F.array(F.lit(lo), F.lit(hi)))).scalar()
+        from .aggregates import quantile
+        q = df.select(quantile(c, [lo, hi], accuracy)).scalar()
         parts.append(df.agg(F.count_if((F.col(c) < q[0]) | (F.col(c) > q[1])).alias("outliers"))
                      .select(F.lit(c).alias("column"), q[0].alias("p_lo"), q[1].alias("p_hi"), "outliers"))
     out = parts[0]

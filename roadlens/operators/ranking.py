@@ -119,27 +119,30 @@ def bin_equal_width(df: DataFrame, column: str, k: int, out: str = "bin") -> Dat
     return df.withColumn(out, F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(idx))
 
 
-def quantile_edges(df: DataFrame, column: str, q: int) -> Column:
-    """Sorted distinct quantile edges (exact, linearly interpolated)."""
+def quantile_edges(df: DataFrame, column: str, q: int, accuracy: int | None = None) -> Column:
+    """Sorted distinct quantile edges (exact and linearly interpolated, or a
+    bounded sketch with ``accuracy``)."""
+    from .aggregates import quantile
     probs = [j / q for j in range(q + 1)]
-    return F.sort_array(F.array_distinct(df.select(F.percentile(column, probs)).scalar()))
+    return F.sort_array(F.array_distinct(df.select(quantile(column, probs, accuracy)).scalar()))
 
 
-def bin_quantile(df: DataFrame, column: str, q: int, out: str = "bin") -> DataFrame:
+def bin_quantile(df: DataFrame, column: str, q: int, out: str = "bin", accuracy: int | None = None) -> DataFrame:
     """L3: ``qcut(q, duplicates='drop')``: bin i = (e_i, e_{i+1}], the first
     bin includes its lower edge; equal values always share a bin. The bin is
     the number of inner edges below x (edges 1 .. size-2 of the distinct
     sorted edge array)."""
     x = F.col(column)
-    e = quantile_edges(df, column, q)
+    e = quantile_edges(df, column, q, accuracy)
     idx = sum((F.when((F.lit(j) < F.size(e) - 1) & (x > F.get(e, j)), 1).otherwise(0) for j in range(1, q)),
               F.lit(0))
     return df.withColumn(out, F.when(x.isNull(), F.lit(None)).otherwise(idx))
 
 
-def quantile_flag(df: DataFrame, column: str, q: float, out: str = "flag") -> DataFrame:
+def quantile_flag(df: DataFrame, column: str, q: float, out: str = "flag", accuracy: int | None = None) -> DataFrame:
     """L4: ``x >= quantile(x, q)``."""
-    t = df.select(F.percentile(column, q)).scalar()
+    from .aggregates import quantile
+    t = df.select(quantile(column, q, accuracy)).scalar()
     return df.withColumn(out, F.coalesce(F.col(column) >= t, F.lit(False)).cast("int"))
 
 
