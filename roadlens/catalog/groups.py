@@ -562,5 +562,6 @@ def group_kfold(spark, d):
 
 @query("permute_labels")
 def permute_labels(spark, d):
-    """N6 (rows + invariant: the label multiset is unchanged)."""
-    return N.permute_labels(V.scored(spark, d).select("id", "y"), "id", "y")
+    """N6 (rows + invariant: the label multiset is unchanged): crash labels
+    re-paired with other crashes (the key must be unique: crash ids are)."""
+    return N.permute_labels(cf(spark, d).select("id", "high_severity"), "id", "high_severity")

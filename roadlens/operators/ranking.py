@@ -3,8 +3,8 @@
 Scale notes: one key may hold a third of all rows, so "first row per key" is
 a ``min_by`` aggregate (partial aggregation collapses a hot key on every
 mapper) instead of a window that would sort the whole hot key in one task.
-Global orders are computed by ``prefix_offsets``: range buckets plus a
-prefix sum over the (small) bucket table."""
+Global orders are computed by ``prefix_offsets``: range partitions on the
+whole order tuple plus a prefix sum over the (small) partition table."""
 
 from __future__ import annotations
 
@@ -75,18 +75,18 @@ def frequency_bucket(df: DataFrame, column: str, large: int = 1000, medium: int
     return j.withColumn(out, F.when(n > large, "large").when(n > medium, "medium").otherwise("small")).drop("_cnt")
 
 
-def prefix_offsets(df: DataFrame, order: str | list[str], sums: list[str], buckets: int = 64) -> DataFrame:
+def prefix_offsets(df: DataFrame, order: str | list[str], sums: list[str], partitions: int | None = None) -> DataFrame:
     """Exclusive running sums of ``sums`` in ``order`` (ascending; the order
-    tuple must be unique), computed distributed: rows are range-bucketed by a
-    percentile grid of the first (numeric) order column, bucket totals
-    (``buckets`` rows) get a prefix sum, and within each bucket a window adds
-    the local running sum. No step holds more than one bucket in a task."""
+    tuple must be unique), computed distributed: rows are range-partitioned
+    on the whole order tuple (Spark's sampled range bounds, so even a value
+    of the first column holding a third of the rows is split by the next
+    column), the partition id is frozen with a reliable checkpoint, the
+    per-partition totals (one row per partition) get a prefix sum, and a
+    window adds the running sum inside each partition only."""
+    from .spatial import _checkpoint
     order = [order] if isinstance(order, str) else list(order)
-    o = F.col(order[0])
-    grid = df.select(F.percentile_approx(o, [i / buckets for i in range(1, buckets)], 10000)).scalar()
-    # a comparison ladder instead of a lambda: subqueries may not sit in one
-    b = sum((F.when(o > F.get(grid, i), 1).otherwise(0) for i in range(buckets - 1)), F.lit(0))
-    t = df.withColumn("_b", b)
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
+    t = _checkpoint(df.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id()))
     tot = t.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_b", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}") for c in sums])

@@ -79,7 +79,8 @@ def group_split(df: DataFrame, group: str, test_share: float = 0.2, salt: int =
 def permute_labels(df: DataFrame, key: str, label: str, salt: int = 7) -> DataFrame:
     """Pair each row with the label of another row (a fixed permutation
     of the labels): rank rows by key and by mix, join rank to rank. Both ranks
-    are computed with bucketed prefix offsets."""
+    are computed with range-partitioned prefix offsets; ``key`` must be
+    unique."""
     from .ranking import prefix_offsets
     one = df.select(key, label).withColumn("_one", F.lit(1))
     by_key = prefix_offsets(one.select(key, "_one"), key, ["_one"]).select(key, F.col("before__one").alias("_r"))

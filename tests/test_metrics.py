@@ -38,3 +38,12 @@ def test_zero_division_and_single_class(spark):
     best = {r.metric: r.threshold for r in O.optimal_threshold(O.threshold_sweep(df, "y", "p")).collect()}
     # f1 is 0 everywhere -> default 0.5; accuracy jumps to 1 at the first grid point above 0.2
     assert best["f1"] == 0.5 and best["accuracy"] == 0.25
+
+
+def test_permute_labels_keeps_label_multiset(spark):
+    from roadlens.operators.splits import permute_labels
+    df = spark.createDataFrame([(i, i % 3) for i in range(300)], "id long, y int")
+    out = permute_labels(df, "id", "y").collect()
+    assert sorted(r.id for r in out) == list(range(300))
+    assert sorted(r.permuted_y for r in out) == sorted(i % 3 for i in range(300))
+    assert sum(r.y != r.permuted_y for r in out) > 0
