@@ -76,6 +76,19 @@ WITH e AS (SELECT list_sort(list_distinct(quantile_cont(aadt, [0, 0.2, 0.4, 0.6,
 SELECT segment_id, len(list_filter(edges[2:len(edges) - 1], lambda v: aadt > v)) AS bin FROM segments, e"""
 
 
+@query("rate_by_fixed_bin", f"""WITH cf AS ({CF_SQL})
+SELECT temp_category, CAST(count(*) AS BIGINT) AS n, round_even(avg(high_severity), 6) AS rate FROM (
+  SELECT high_severity, CASE WHEN temperature_f IS NULL OR isnan(temperature_f) THEN NULL
+    WHEN temperature_f <= 32 THEN 'freezing' WHEN temperature_f <= 50 THEN 'cold' WHEN temperature_f <= 70 THEN 'mild'
+    WHEN temperature_f <= 90 THEN 'warm' ELSE 'hot' END AS temp_category FROM cf)
+WHERE temp_category IS NOT NULL GROUP BY temp_category""", ("crashes",))
+def rate_by_fixed_bin(spark, d):
+    """H6 over L1: high-severity rate per fixed-edge temperature bin."""
+    from ..functions.binning import TRAINING, bin_right_closed
+    c = cf(spark, d).withColumn("temp_category", bin_right_closed("temperature_f", *TRAINING["temp"]))
+    return H.rate_by_group(c, "temp_category", "high_severity").select("temp_category", "n", r6("rate").alias("rate"))
+
+
 @query("bin_quantile", QBIN_SQL, ("segments",))
 def bin_quantile(spark, d):
     """L3: 5 quantile bins of segment AADT (qcut, duplicate edges dropped)."""
@@ -366,7 +379,7 @@ FROM daily WINDOW w AS (ORDER BY date ROWS BETWEEN 15 PRECEDING AND 14 FOLLOWING
 def centered_rolling_mean(spark, d):
     """I4: 30-day centred mean of daily counts."""
     daily = V.crashes(spark, d).groupBy(F.to_date("start_time").alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    r = I.centered_rolling_mean(daily, "date", "n", 30)
+    r = I.centered_rolling_mean(daily, "date", "n")
     return r.select("date", "n", r6("rolling_mean").alias("rolling_mean"))
 
 

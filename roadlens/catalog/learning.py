@@ -189,7 +189,11 @@ def hyperparameter_search(spark, d):
     per parameter set with the mean fold AUC."""
     b = ml_base(spark, d).where(F.col("split") == "train")
     b = N.stratified_kfold(b, LABEL, "id", 5)
-    _, rows = P.cross_validate(b, NUMERIC, CATEGORICAL, LABEL, "fold", {"regParam": [0.0, 0.1], "maxIter": [20]})
+    _, rows = P.cross_validate(b, NUMERIC, [], LABEL, "fold", {"regParam": [0.0, 0.1], "maxIter": [20]})
+    _, rnd = P.cross_validate(b, NUMERIC, [], LABEL, "fold",
+                              {"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5], "maxIter": [20]},
+                              n_random=2)
+    rows = [({"search": "grid", **p}, a) for p, a in rows] + [({"search": "random", **p}, a) for p, a in rnd]
     return b.agg(F.count(F.lit(1)).alias("train_rows")).select(
         "train_rows", F.explode(F.array(*[F.struct(F.lit(str(p)).alias("params"), F.lit(a).alias("mean_auc"))
                                           for p, a in rows])).alias("r")).select("train_rows", "r.*")

@@ -212,7 +212,7 @@ def calibrate(val_scored: DataFrame, score: str, label: str, method: str = "isot
 
 
 def cross_validate(train: DataFrame, numeric, categorical, label: str, fold_col: str, grid: dict,
-                   folds: int = 5, parallelism: int = 4, seed: int = 42):
+                   folds: int = 5, parallelism: int = 4, seed: int = 42, n_random: int | None = None):
     """K-fold CV over a param grid with a user fold column (the
     folds come from N4/N5), AUC metric; returns the CV model and a table
     of (params, mean AUC)."""
@@ -222,6 +222,10 @@ def cross_validate(train: DataFrame, numeric, categorical, label: str, fold_col:
     for name, values in grid.items():
         b = b.addGrid(getattr(lr, name), values)
     maps = b.build()
+    if n_random is not None and n_random < len(maps):
+        # random search: a seeded sample of the grid's parameter maps
+        import random
+        maps = random.Random(seed).sample(maps, n_random)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(labelCol=label),
                         foldCol=fold_col, numFolds=folds, parallelism=parallelism, seed=seed)
     model = cv.fit(train)
