@@ -216,6 +216,8 @@ def cross_validate(train: DataFrame, numeric, categorical, label: str, fold_col:
     """K-fold CV over a param grid with a user fold column (the
     folds come from N4/N5), AUC metric; returns the CV model and a table
     of (params, mean AUC)."""
+    # every fold fit re-reads its input: materialise it once (reliable checkpoint)
+    train = _checkpoint(train.select(*numeric, *categorical, label, fold_col))
     lr = LogisticRegression(labelCol=label, featuresCol="features")
     pipe = Pipeline(stages=feature_pipeline(numeric, categorical) + [lr])
     b = ParamGridBuilder()

@@ -59,4 +59,5 @@ def prepare(spark: SparkSession) -> None:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
