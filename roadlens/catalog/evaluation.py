@@ -3,8 +3,6 @@ regression) views (O1-O11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from .. import testviews as V
 from ..operators import evaluate as O
 from .base import query, r6

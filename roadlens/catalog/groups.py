@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .. import testviews as V
 from ..functions import features as E
 from ..functions import temporal as T
-from ..functions.cleaning import to_numeric_null_token
 from ..operators import aggregates as H
 from ..operators import joins as G
 from ..operators import ranking as I
