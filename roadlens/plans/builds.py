@@ -35,7 +35,9 @@ def build_crash_table(crashes: DataFrame, segments: DataFrame, stations: DataFra
     # 1:1 per crash), so the spatial joins are not recomputed for them
     c = I.top_n_or_other(c, "county", 20, out="county_top20")
     c = I.frequency_bucket(c, "city", 1000, 100, out="city_size_category")
-    pts = c.select("id", "x", "y")
+    # both spatial joins read the narrow point set; materialise it once
+    # (three columns, reliable checkpoint) instead of recomputing the crash base
+    pts = S._checkpoint(c.select("id", "x", "y"))
     road = S.nearest_line_within(pts, segments, "id", "segment_id", "geometry", road_radius, ties="first")
     seg = segments.select(F.col("segment_id"), D.to_numeric_null_token("speed_limit").alias("hpms_speed_limit"),
                           F.col("through_lanes").cast("double").alias("hpms_lanes"),
