@@ -53,11 +53,12 @@ def _missing_sql():
     return " UNION ALL ".join(parts)
 
 
-@query("missing_profile", _missing_sql(), ("crashes",))
+@query("missing_profile", f"""SELECT *, CASE WHEN pct > 95 THEN 'critical' WHEN pct > 80 THEN 'high' WHEN pct > 50 THEN 'medium'
+ELSE 'low' END AS grade FROM ({_missing_sql()})""", ("crashes",))
 def missing_profile(spark, d):
-    """M4."""
+    """M4: missing count, percent, > 50 % alert and severity grade."""
     m = M.missing_profile(V.crashes(spark, d), MISSING_COLS)
-    return m.select("column", "missing", r6("pct").alias("pct"), "alert")
+    return m.select("column", "missing", r6("pct").alias("pct"), "alert", M.missing_grade(F.col("pct")).alias("grade"))
 
 
 FAMILIES = {"weather": ["weather_condition", "temperature_f", "visibility_mi"], "location": ["county", "lat"]}

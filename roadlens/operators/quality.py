@@ -38,8 +38,14 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None, alert: floa
         return x.isNull() | F.isnan(x) if dtypes[c] in ("double", "float") else x.isNull()
     one = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(miss(c)).alias(c) for c in cols])
     long = one.unpivot(["_rows"], cols, "column", "missing")
-    return long.select("column", "missing", (F.col("missing") * 100.0 / F.col("_rows")).alias("pct"),
-                       (F.col("missing") * 100.0 / F.col("_rows") > alert).cast("int").alias("alert"))
+    pct = F.col("missing") * 100.0 / F.col("_rows")
+    return long.select("column", "missing", pct.alias("pct"), (pct > alert).cast("int").alias("alert"))
+
+
+def missing_grade(pct: Column) -> Column:
+    """M4: severity grade of a missing share: > 95 % critical, > 80 % high,
+    > 50 % medium, else low."""
+    return (F.when(pct > 95, "critical").when(pct > 80, "high").when(pct > 50, "medium").otherwise("low"))
 
 
 def completeness_by_family(profile: DataFrame, families: dict[str, list[str]]) -> DataFrame:

@@ -81,3 +81,11 @@ def test_salted_joins_equal_unsalted(spark):
     n1 = {(r.l_id, r.r_id) for r in S.nearest_within(L, R, "l_id", "r_id", 150.0).collect()}
     n4 = {(r.l_id, r.r_id) for r in S.nearest_within(L, R, "l_id", "r_id", 150.0, salt=4).collect()}
     assert n1 == n4
+
+
+@pytest.mark.parametrize("name", ["build_segment_table", "county_risk", "roc_auc", "threshold_sweep",
+                                  "what_if_variants", "space_time_match", "point_in_polygon", "range_interval_join"])
+def test_composed_plans_have_no_nested_loop_or_python(spark, name):
+    import __spark_entry__ as E
+    p = _plan(E.queries()[name](spark, "/root/testdata/sf0.001"))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "PythonUDF" not in p
