@@ -77,8 +77,9 @@ def build_segment_table(segments: DataFrame, crashes: DataFrame, years=(1995, 20
     s = segments.withColumn("speed_limit_num", D.to_numeric_null_token("speed_limit"))
     c = C.filter_years(crashes, "start_time", *years)
     c = c.withColumn("high_severity", E.severity_target("severity", F.year("start_time")))
-    near = S.nearest_line_within(c, segments, "id", "segment_id", "geometry", radius, ties="all", how="inner")
-    matched = near.join(c.select("id", "high_severity"), "id")
+    pts = S._checkpoint(c.select("id", "x", "y", "high_severity"))
+    near = S.nearest_line_within(pts, segments, "id", "segment_id", "geometry", radius, ties="all", how="inner")
+    matched = near.join(pts.select("id", "high_severity"), "id")
     per = H.crashes_per_segment(matched, "segment_id", "high_severity")
     t = G.left_equi_join(s, per, ["segment_id"], {"crash_count": 0, "high_severity_count": 0})
     t = t.withColumn("length_miles", GEO.polyline_length("geometry") / GEO.METRES_PER_MILE)

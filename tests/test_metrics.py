@@ -47,3 +47,13 @@ def test_permute_labels_keeps_label_multiset(spark):
     assert sorted(r.id for r in out) == list(range(300))
     assert sorted(r.permuted_y for r in out) == sorted(i % 3 for i in range(300))
     assert sum(r.y != r.permuted_y for r in out) > 0
+
+
+def test_prefix_offsets_hot_first_column(spark):
+    # a third of the rows share one timestamp: ranks must still be exact
+    from roadlens.operators.ranking import prefix_offsets
+    rows = [(i, 5 if i % 3 == 0 else i, 1) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, t long, one int")
+    got = {r.id: r.before_one for r in prefix_offsets(df, ["t", "id"], ["one"], partitions=8).collect()}
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    assert got == {r[0]: k for k, r in enumerate(order)}
