@@ -51,7 +51,8 @@ def _write_feed(spark, d):
 FEED_SQL = """
 SELECT road_event_id, lng AS lon, lat, CAST(start_date AS TIMESTAMP) AS start_ts,
        CASE WHEN road_event_id % 6 = 0 THEN NULL ELSE CAST(end_date AS TIMESTAMP) END AS end_ts,
-       coalesce(CASE WHEN road_event_id % 4 = 0 THEN NULL ELSE upper(trim(county_name)) END, 'SUB_' || county) AS county_name
+       coalesce(CASE WHEN road_event_id % 4 = 0 THEN NULL ELSE upper(trim(county_name)) END, 'SUB_' || county) AS county_name,
+       road_name || ', FM ' || CAST(county AS VARCHAR) AS road_names
 FROM workzones WHERE road_event_id % 17 <> 0"""
 
 
@@ -61,7 +62,7 @@ def read_json_feed(spark, d):
     without coordinates dropped, county fallback)."""
     f = A.read_json_feed(spark, _write_feed(spark, d), FEED_SCHEMA)
     return f.select("road_event_id", "lon", "lat", F.col("start_ts").cast("timestamp_ntz").alias("start_ts"),
-                    F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "county_name")
+                    F.col("end_ts").cast("timestamp_ntz").alias("end_ts"), "county_name", "road_names")
 
 
 @query("flatten_json", """

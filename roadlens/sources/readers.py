@@ -40,6 +40,10 @@ def read_json_feed(spark: SparkSession, path: str, schema: StructType | str, dat
         "end_ts": to_timestamp_coerce("end_date", date_fmt),
         "county_name": F.coalesce(F.col(county), F.col(fallback)),
     })
+    if "core_details" in raw.columns:
+        # A5: road names list -> one text, 'Unknown' when absent or empty
+        names = F.concat_ws(", ", F.col("core_details.road_names"))
+        out = out.withColumn("road_names", F.when(names == "", F.lit("Unknown")).otherwise(names))
     return out.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
 
 

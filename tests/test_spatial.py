@@ -83,7 +83,7 @@ def test_salted_joins_equal_unsalted(spark):
     assert n1 == n4
 
 
-@pytest.mark.parametrize("name", ["build_segment_table", "county_risk", "roc_auc", "threshold_sweep",
+@pytest.mark.parametrize("name", ["build_crash_table", "build_segment_table", "county_risk", "roc_auc", "threshold_sweep",
                                   "what_if_variants", "space_time_match", "point_in_polygon", "range_interval_join"])
 def test_composed_plans_have_no_nested_loop_or_python(spark, name):
     import __spark_entry__ as E
