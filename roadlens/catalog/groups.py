@@ -277,9 +277,9 @@ SELECT CAST(count(DISTINCT road_event_id) AS BIGINT) AS zones, CAST(count(DISTIN
        CAST(count(DISTINCT vehicle_impact) AS BIGINT) AS impacts FROM wzcrash""", ("wzcrash",))
 def distinct_count(spark, d):
     """H21 (exact; ``approx_count_distinct`` is the at-scale option)."""
-    w = V.wzcrash(spark, d)
-    return w.agg(F.count_distinct("road_event_id").alias("zones"), F.count_distinct("road_name").alias("roads"),
-                 F.count_distinct("vehicle_impact").alias("impacts"))
+    w = V.wzcrash(spark, d).select(F.col("road_event_id").alias("zones"), F.col("road_name").alias("roads"),
+                                   F.col("vehicle_impact").alias("impacts"))
+    return H.distinct_count(w, ["zones", "roads", "impacts"])
 
 
 @query("date_span", """

@@ -161,6 +161,13 @@ def box_stats(df: DataFrame, group: str, column: str, accuracy: int | None = Non
     return q.join(out, group)
 
 
+def distinct_count(df: DataFrame, columns: list[str], approx_rsd: float | None = None) -> DataFrame:
+    """Distinct values per column in one aggregate; exact by default,
+    ``approx_rsd`` switches to the HyperLogLog++ sketch for huge columns."""
+    f = (lambda c: F.count_distinct(c)) if approx_rsd is None else (lambda c: F.approx_count_distinct(c, approx_rsd))
+    return df.agg(*[f(c).alias(c) for c in columns])
+
+
 def mode_value(df: DataFrame, column: str) -> DataFrame:
     """Most frequent value, ties -> smallest value. ``groupBy`` then a
     top-1 (TakeOrdered keeps one row per partition)."""
