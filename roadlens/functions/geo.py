@@ -164,3 +164,50 @@ def albers_constants(p: dict = TX_ALBERS, ellipsoid=GRS80) -> dict:
     n = (m(p1) ** 2 - m(p2) ** 2) / (q2 - q1)
     cc = m(p1) ** 2 + n * q1
     return {"n": n, "C": cc, "rho0": a * math.sqrt(cc - n * q0) / n, "e": e, "a": a}
+
+
+def inverse_transverse_mercator(x: ColumnOrName, y: ColumnOrName, lon0: float = UTM14N["lon0"],
+                                k0: float = UTM14N["k0"], fe: float = UTM14N["fe"], fn: float = UTM14N["fn"],
+                                ellipsoid=WGS84) -> tuple[Column, Column]:
+    """transverse Mercator (UTM 14N by default) -> EPSG:4326, footpoint
+    latitude series of Snyder (1987), eq. 8-18 to 8-25."""
+    a, f = ellipsoid
+    e2 = f * (2 - f)
+    ep2 = e2 / (1 - e2)
+    e1 = (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    mu = ((_c(y) - fn) / k0) / (a * (1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256))
+    p1 = (mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * F.sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * F.sin(4 * mu)
+          + (151 * e1 ** 3 / 96) * F.sin(6 * mu) + (1097 * e1 ** 4 / 512) * F.sin(8 * mu))
+    s1, c1_ = F.sin(p1), F.cos(p1)
+    c1 = ep2 * c1_ * c1_
+    t1 = F.tan(p1) * F.tan(p1)
+    n1 = F.lit(a) / F.sqrt(1 - e2 * s1 * s1)
+    r1 = a * (1 - e2) / F.pow(1 - e2 * s1 * s1, 1.5)
+    d = (_c(x) - fe) / (n1 * k0)
+    lat = p1 - (n1 * F.tan(p1) / r1) * (d * d / 2 - (5 + 3 * t1 + 10 * c1 - 4 * c1 * c1 - 9 * ep2) * F.pow(d, 4) / 24
+                                       + (61 + 90 * t1 + 298 * c1 + 45 * t1 * t1 - 252 * ep2 - 3 * c1 * c1)
+                                       * F.pow(d, 6) / 720)
+    lon = lon0 * DEG2RAD + (d - (1 + 2 * t1 + c1) * F.pow(d, 3) / 6
+                            + (5 - 2 * c1 + 28 * t1 - 3 * c1 * c1 + 8 * ep2 + 24 * t1 * t1) * F.pow(d, 5) / 120) / c1_
+    return lon / DEG2RAD, lat / DEG2RAD
+
+
+def inverse_albers(df, x: str, y: str, lon_out: str = "lon", lat_out: str = "lat", p: dict = TX_ALBERS,
+                   ellipsoid=GRS80, iterations: int = 6):
+    """Albers equal-area (EPSG:3083 by default) -> EPSG:4326 on a
+    DataFrame, Snyder (1987) eq. 14-8 to 14-11. The latitude iteration
+    (3-16) is applied as one column per step, so each step references the
+    previous column instead of re-expanding it (the expression stays linear
+    in the number of iterations)."""
+    k = albers_constants(p, ellipsoid)
+    a, e, n, cc, rho0 = k["a"], k["e"], k["n"], k["C"], k["rho0"]
+    xx, yy = F.col(x) - p["fe"], rho0 - (F.col(y) - p["fn"])
+    t = df.withColumns({"_rho": F.sqrt(xx * xx + yy * yy), "_theta": F.atan2(xx, yy)})
+    t = t.withColumn("_q", (cc - F.col("_rho") * F.col("_rho") * n * n / (a * a)) / n)
+    t = t.withColumn("_phi", F.asin(F.col("_q") / 2))
+    for _ in range(iterations):
+        sp = F.sin("_phi")
+        t = t.withColumn("_phi", F.col("_phi") + F.pow(1 - e * e * sp * sp, 2) / (2 * F.cos("_phi")) * (
+            F.col("_q") / (1 - e * e) - sp / (1 - e * e * sp * sp) + 1 / (2 * e) * F.ln((1 - e * sp) / (1 + e * sp))))
+    return (t.withColumns({lon_out: p["lon0"] + F.col("_theta") / n / DEG2RAD, lat_out: F.col("_phi") / DEG2RAD})
+            .drop("_rho", "_theta", "_q", "_phi"))
