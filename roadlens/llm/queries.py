@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import minhash, token_counts, token_store
+from . import hnsw, minhash, token_counts, token_store, toxicity
 from .common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,11 +40,11 @@ def vocabulary(name: str) -> str:
 @query("op3_minhash_near_dedup", sql="""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                   '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+                                                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
-    ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s FROM words),
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
 items AS (SELECT doc_id, unnest(s) AS x, len(s) AS n FROM sets),
 pairs AS (
   SELECT a.doc_id AS u, b.doc_id AS v FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
@@ -64,7 +64,35 @@ def _store(spark, sf_dir):
     return token_store.token_digest(token_store.read_store(spark, target))
 
 
+#: The remainder that holds documents out of all learning from labels.
+_CRC5 = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+
+
+@query("op6_toxicity")
+def _toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.filter(_CRC5 != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", (_CRC5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
+
+
 @query("op8_token_counts")
 def _counts(spark, sf_dir):
     return (token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
             .withColumn("over_limit", F.col("n_tokens") > 4096))
+
+
+@query("op10_embedding_near_dedup", sql="""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT links.v, reach.root FROM reach JOIN links ON links.u = reach.node)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE u = e.vec_id) AS n_links, r.root AS component_id, e.vec_id = r.root AS kept
+FROM embeddings e JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = e.vec_id""")
+def _vectors(spark, sf_dir):
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
