@@ -125,6 +125,21 @@ def _link(x, adj, nodes, cand, sims):
         adj[targets[a:a + 2048]] = _diverse(x, c[a:a + 2048], w[a:a + 2048], keep)
 
 
+def _enter_all(adj: np.ndarray) -> None:
+    """Every node that no other one points to takes the last place of its
+    nearest neighbour whose occupant can be spared."""
+    into = np.bincount(adj[adj >= 0], minlength=len(adj))
+    for node in np.flatnonzero(into == 0):
+        for near in adj[node][adj[node] >= 0]:
+            last = adj[near, -1]
+            if last < 0 or into[last] > 1:
+                adj[near, -1] = node
+                into[node] += 1
+                if last >= 0:
+                    into[last] -= 1
+                break
+
+
 def _entries(x, layers, q, upto):
     """Where queries enter layer ``upto``: greedy descent through those above."""
     at = np.zeros(len(q), np.int32)
@@ -153,6 +168,7 @@ def build_graph(x: np.ndarray) -> list[np.ndarray]:
             take = min(n - have, have, 512)
             q = x[have:have + take]
             entry = _entries(x, layers, q, depth)
+            entry = np.where(entry < have, entry, 0)  # the entered node may not be placed in this layer yet
             ids, sims = beam_search(adj[:have], x, q, entry, BUILD_BEAM)
             own = q @ q.T
             np.fill_diagonal(own, -np.inf)
@@ -164,6 +180,7 @@ def build_graph(x: np.ndarray) -> list[np.ndarray]:
             order = np.argsort(-sims, axis=1)[:, :BUILD_BEAM]
             _link(x, adj, np.arange(have, have + take), np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1))
             have += take
+        _enter_all(adj)
         layers.append(adj)
     return layers
 

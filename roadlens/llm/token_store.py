@@ -29,6 +29,7 @@ import re
 import zlib
 from array import array
 
+import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,8 +45,10 @@ SHARD_SCHEMA = ("part int, seq int, start_in_part long, first_doc long, last_doc
                 "doc_ids array<long>, offsets array<long>, n_tokens array<long>, frames binary")
 #: Cached chunks of a Python worker; a full cache starts again.
 CACHE_ENTRIES = 800_000
+_CHUNK_INNER = re.compile(f"[{_WS}]+[^{_WS}]")
 _cache: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
+_token_bytes: dict = {}
 
 
 def tokenizer(path: str):
@@ -68,16 +71,33 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
         cache.clear()
     added = [t.content for t in tok.get_added_tokens_decoder().values()]
     split = [None if any(a in t for a in added) else _CHUNK.findall(t) for t in texts]
-    new = list({c for chunks in split if chunks for c in chunks if c not in cache})
-    for at in range(0, len(new), 20_000):
-        some = new[at:at + 20_000]
-        for c, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            cache[c] = array("I", e.ids).tobytes()
+    new = list(set().union(*(chunks for chunks in split if chunks)).difference(cache))
+    inner = [c for c in new if _CHUNK_INNER.match(c)]
+    for at in range(0, len(inner), 10_000):
+        _encode_run(tok, path, inner[at:at + 10_000], cache)
+    new = [c for c in new if c not in cache]
+    for c, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        cache[c] = array("I", e.ids).tobytes()
     get = cache.__getitem__
     return [array("I", tok.encode(t, add_special_tokens=False).ids).tobytes() if chunks is None
             else b"".join(map(get, chunks)) for t, chunks in zip(texts, split, strict=True)]
 
 
+def _encode_run(tok, path: str, chunks: list[str], cache: dict[str, bytes]) -> None:
+    """Encode chunks that begin with white space in one run of text, and cut
+    the ids where the chunks end; byte-level tokens have a byte per character."""
+    if path not in _token_bytes:
+        _token_bytes[path] = np.array([len(tok.id_to_token(i) or "") for i in range(tok.get_vocab_size())], np.int64)
+    ids = np.array(tok.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids, np.uint32)
+    ends = np.cumsum([len(c.encode()) for c in chunks])
+    reached = np.cumsum(_token_bytes[path][ids])
+    stop = np.searchsorted(reached, ends) + 1
+    if len(reached) and (reached[np.minimum(stop, len(ids)) - 1] == ends).all():
+        raw, stop = ids.tobytes(), [0, *(4 * stop).tolist()]
+        for c, a, b in zip(chunks, stop, stop[1:], strict=False):
+            cache[c] = raw[a:b]
+
+
 def train_dictionary(docs: DataFrame, path: str, sample_docs: int = 500, sample_chars: int = 20_000,
                      size: int = 65_536) -> bytes:
     """A dictionary from a bounded sample: the first ``sample_docs`` rows that
@@ -192,7 +212,8 @@ def read_store(spark, target: str) -> DataFrame:
     rows = shards.mapInArrow(frames, "doc_id long, part int, local long, n_tokens long, ids binary")
     sizes = shards.groupBy("part").agg(F.sum(F.expr("aggregate(n_tokens, 0L, (a, x) -> a + x)")).alias("size"))
     base = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("base"))
-    return rows.join(base, "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
+    # one row for each part of the written table, so the side is bounded by its task count
+    return rows.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids")
 
 
 def read_document(spark, target: str, doc_id: int) -> list[list[int]]:

@@ -1,11 +1,14 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Learning. Documents with a label count, for every word and every word prefix of
-4 to 8 letters, in how many toxic and clean documents it occurs. Dirichlet
-priors shrink the toxic share of each prefix towards that of the next shorter
-one (the shortest towards the share of all documents), so unseen and rare words
-take the odds of their stem. A token's weight is its log-odds against that
-base share, less a small drift, so that ordinary prose scores below zero.
+3 to 8 letters, in how many toxic and clean documents it occurs. Dirichlet
+priors shrink the toxic share of each node towards that of the next shorter
+prefix (the shortest towards the share of all documents); a node whose counts do
+not differ significantly from its parent's share (likelihood ratio) has the
+parent's, so unseen and rare words take the odds of their stem. A token's weight
+is its log-odds against the base share, less a small drift, so that ordinary
+prose scores below zero; the k-th occurrence of a word in a text counts 1/k of
+its positive weight, as repeats bring little new evidence.
 
 Search. One linear scan finds every maximal segment of a text whose score is
 positive (Ruzzo and Tompa's set). The best segment of a clean text of n words
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import ship_package
 
 _WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = range(8, 3, -1)
+PREFIXES = range(8, 2, -1)
 
 
 def nodes_of(word: str) -> list[str]:
@@ -69,9 +72,19 @@ class Model:
             known[w] = self.weight(w)
         return list(map(known.__getitem__, words))
 
+    def weighted(self, words: list[str]):
+        """(position, weight) of the words that have one, repeats damped."""
+        seen: Counter = Counter()
+        for i, w in enumerate(self.word_weights(words)):
+            if w > 0:
+                seen[words[i]] += 1
+                yield i, w / seen[words[i]]
+            elif w:
+                yield i, w
+
     def spans(self, words: list[str]) -> list[tuple[float, int, int]]:
         """(score, first word, end word) of every maximal segment, in order."""
-        return maximal_segments(((i, w) for i, w in enumerate(self.word_weights(words)) if w), self.drift)
+        return maximal_segments(self.weighted(words), self.drift)
 
     def expected(self, score: float, n_words: int) -> float:
         return self.k * max(n_words, 1) * math.exp(-min(self.lam * score, 700.0))
@@ -136,7 +149,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_docs: int = 40_000, lexicon: int = 100_000, least_docs: int = 3,
-          prior: float = 2.0, drift: float = 0.05, least_weight: float = 0.3) -> Model:
+          prior: float = 4.0, drift: float = 0.05, least_ratio: float = 18.0) -> Model:
     """Fit a model on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic);
     leave out of ``labels`` what must not be learned from. At most ``max_docs``
     labelled documents are used, those of the smallest hash of doc_id, a fixed
@@ -187,10 +200,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = 40_000, lexicon: i
         stem = r.node[:-1] if whole else r.node
         above = [stem[:k] for k in PREFIXES if k < len(stem) or whole and k == len(stem)]
         parent = next((shares[p] for p in above if p in shares), share)
-        shares[r.node] = (r.bad + prior * parent) / (r.n + prior)
-    weights = {k: logit(min(max(p, 1e-4), 1 - 1e-4)) - logit(share) for k, p in shares.items()}
-    # a node of small weight still ends the way to shorter prefixes
-    model.weights = {k: w if abs(w) >= least_weight else 0.0 for k, w in weights.items()}
+        good = r.n - r.bad
+        ratio = 2 * ((r.bad and r.bad * math.log(r.bad / (r.n * parent))) + (good and good * math.log(good / (r.n * (1 - parent)))))
+        if ratio >= least_ratio:
+            shares[r.node] = (r.bad + prior * parent) / (r.n + prior)
+    model.weights = {k: logit(min(max(p, 1e-4), 1 - 1e-4)) - logit(share) for k, p in shares.items()}
 
     def held(batches):
         import pyarrow as pa
@@ -208,9 +222,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = 40_000, lexicon: i
     if not clean or len(clean) == len(rows):
         return model
     best, length = np.array([c[0] for c in clean]), np.log([c[1] for c in clean])
-    # Gumbel law: sd = pi / (lambda sqrt 6), mean = (ln K + ln n + gamma) / lambda
-    model.lam = math.pi / (math.sqrt(6) * max(float(best.std()), 0.25))
-    model.k = math.exp(model.lam * float(best.mean()) - float(length.mean()) - 0.5772156649)
+    # Gumbel law by two quantiles, which mislabelled documents hardly move:
+    # lambda q_p = ln K + ln n - ln(-ln p)
+    middle, high = (float(np.quantile(best, p)) for p in (0.5, 0.95))
+    model.lam = (math.log(math.log(2)) - math.log(-math.log(0.95))) / max(high - middle, 0.5)
+    model.k = math.exp(model.lam * high - float(np.mean(length)) + math.log(-math.log(0.95)))
     x = np.array([model.features(found, n) for _, n, found in rows])
     model.curve = _fit_curve(x, np.array([r[0] for r in rows], float))
     return model
