@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import hnsw, minhash, token_counts, token_store, toxicity
+from . import hnsw, minhash, pii, secrets, token_counts, token_store, toxicity
 from .common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_personal_data")
+def _personal(spark, sf_dir):
+    return pii.digest(pii.find_personal(table(spark, sf_dir, "documents")))
+
+
 @query("op3_minhash_near_dedup", sql="""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -83,6 +88,11 @@ def _counts(spark, sf_dir):
             .withColumn("over_limit", F.col("n_tokens") > 4096))
 
 
+@query("op9_secret_scan")
+def _secrets(spark, sf_dir):
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 @query("op10_embedding_near_dedup", sql="""
 WITH RECURSIVE sound AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
