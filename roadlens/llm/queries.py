@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import hnsw, minhash, pii, secrets, token_counts, token_store, toxicity
+from . import decontaminate, hnsw, line_dedup, minhash, pieces, pii, secrets, token_counts, token_store, toxicity
 from .common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_line_dedup")
+def _lines(spark, sf_dir):
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+
+
 @query("op2_personal_data")
 def _personal(spark, sf_dir):
     return pii.digest(pii.find_personal(table(spark, sf_dir, "documents")))
@@ -69,6 +74,11 @@ def _store(spark, sf_dir):
     return token_store.token_digest(token_store.read_store(spark, target))
 
 
+@query("op5_benchmark_decontamination")
+def _leaks(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The remainder that holds documents out of all learning from labels.
 _CRC5 = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
 
@@ -82,6 +92,11 @@ def _toxicity(spark, sf_dir):
         F.size("passages").alias("n_passages"))
 
 
+@query("op7_sentencepiece_nbest")
+def _pieces(spark, sf_dir):
+    return pieces.encode_digest(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query("op8_token_counts")
 def _counts(spark, sf_dir):
     return (token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
@@ -106,3 +121,9 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE u = e.vec_id) AS n_links, r.r
 FROM embeddings e JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) r ON r.node = e.vec_id""")
 def _vectors(spark, sf_dir):
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@query("pipeline")
+def _pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
