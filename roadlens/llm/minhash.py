@@ -9,9 +9,12 @@ and a pair with T common values shares one of the K-T+1 rarest of each side
 (prefix), so only those are posted. Kept pairs are confirmed on the full sets.
 
 Groups of copies never become all pairs. Equal sets are one representative.
-Representatives of a list are first compared with the list's hub; only lists
-whose members are still in different components afterwards are joined with
-themselves, over pairs from different components.
+Representatives of a list are compared with the list's hub, in two rounds with
+different hubs; only lists whose members are still in different components then
+are looked at further, over pairs from different components. In long lists these
+must also share one of the rarest shingles of their full sets (an exact prefix
+filter, which leaves out the many members of a large group that are near it, but
+not near enough).
 
 Edge cases: null or empty texts, and texts of white space only, have an empty
 set, link with nothing and are kept; with fewer words than a shingle has, the
@@ -22,7 +25,7 @@ the smallest set hash; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -31,6 +34,9 @@ from .common import as_bytes, hash_words, mix64, ship_package, stream64, text_ba
 #: Coordinates, and agreements that a kept pair needs. For a similarity of 0.8,
 #: P(Binomial(32, 0.8) < 14) is below 2e-6.
 COORDINATES, AGREEMENTS = 32, 14
+#: Lists of up to so many members are joined with themselves; the longer ones,
+#: whose pairs could be many, go through the prefix filter of the full sets.
+SHORT_LIST = 64
 
 _A, _B = stream64(COORDINATES, 101) | np.uint64(1), stream64(COORDINATES, 102)
 
@@ -138,10 +144,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     agree = f"{_agree('a.b1', 'b.b1')} + {_agree('a.b2', 'b.b2')}"
     close = _CLOSE.format(s=percent, agree=agree, t=AGREEMENTS)
-    hubs = postings.groupBy("token").agg(F.min(F.struct("rep", "n", "b1", "b2")).alias("h"), F.count("*").alias("c")).filter("c > 1").select("token", "h.*")
-    star = (postings.alias("a").join(hubs.alias("b"), F.expr(f"a.token = b.token AND a.rep > b.rep AND {close}"))
-            .groupBy("a.rep").agg(F.max(F.struct(F.expr(agree).alias("m"), -F.col("b.rep"))).alias("x"))
-            .select(F.col("rep").alias("src"), (-F.col("x.col2")).alias("dst")))
+
+    def star(placed: DataFrame, order: Column) -> DataFrame:
+        """Each representative and the hub of one of its lists that agrees
+        best with it, where the two are in different components; a list's hub
+        is its first member by ``order``."""
+        hubs = (placed.groupBy("token").agg(F.min(F.struct(order.alias("o"), "rep", "n", "b1", "b2", "component")).alias("h"), F.count("*").alias("c"))
+                .filter("c > 1").select("token", "h.*"))
+        return (placed.alias("a").join(hubs.alias("b"), F.expr(f"a.token = b.token AND a.component <> b.component AND {close}"))
+                .groupBy("a.rep").agg(F.max(F.struct(F.expr(agree).alias("m"), -F.col("b.rep"))).alias("x"))
+                .select(F.col("rep").alias("src"), (-F.col("x.col2")).alias("dst")))
+
     close_reps = postings.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").join(postings, "token").select("rep").distinct()
     sets = written(text.join(close_reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
                    .mapInArrow(lambda it: _sets(it, width), "doc_id long, shingles array<long>"), "minhash-sets")
@@ -153,15 +166,45 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 .filter(F.expr(f"100 * both >= {percent} * (size(src_set) + size(dst_set) - both)"))
                 .select("src", "dst"))
 
-    first = confirmed(star).checkpoint()
-    comp = connected_components(first)
-    placed = (postings.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-              .withColumn("component", F.coalesce("component", "rep")))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("token")
-    open_lists = placed.join(mixed, "token").checkpoint()
-    cross = (open_lists.alias("a").join(open_lists.alias("b"), F.expr(f"a.token = b.token AND a.rep > b.rep AND a.component <> b.component AND {close}"))
+    def placed(links: DataFrame) -> DataFrame:
+        comp = connected_components(links).withColumnRenamed("node", "rep")
+        return postings.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    def only_mixed(rows: DataFrame, key: str) -> DataFrame:
+        lists = rows.groupBy(key).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select(key)
+        return rows.join(lists, key)
+
+    links = confirmed(star(postings.withColumn("component", F.col("rep")), F.col("rep"))).checkpoint()
+    links = links.unionAll(confirmed(star(only_mixed(placed(links), "token"), F.xxhash64("rep")))).checkpoint()
+    lists = placed(links)
+    sizes = (lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c"))
+             .filter("lo < hi").select("token", "c"))
+    lists = lists.join(sizes, "token").checkpoint()
+    short = lists.filter(F.col("c") <= SHORT_LIST)
+    near = (short.alias("a").join(short.alias("b"), F.expr(f"a.token = b.token AND a.rep > b.rep AND a.component <> b.component AND {close}"))
+            .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
+    links = links.unionAll(confirmed(near)).checkpoint()
+    still = only_mixed(lists.filter(F.col("c") > SHORT_LIST).select("token", "rep").join(
+        placed(links).select("rep", "component").distinct(), "rep"), "token").select("rep", "component").distinct()
+    # of those, the ones that agree with another component in two neighbouring
+    # coordinates; a link of 0.8 misses all 16 pairs once in ten million times
+    twos = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES // 2 - 1)), lambda k: F.xxhash64(k, F.get("sig", 2 * k), F.get("sig", 2 * k + 1)))
+    twos = still.join(signed.select(F.col("doc_id").alias("rep"), "sig"), "rep").select("rep", "component", F.explode(twos).alias("two"))
+    still = only_mixed(twos, "two").select("rep").distinct().checkpoint()
+    # exact prefix filter: of two sets over the similarity, the rarest
+    # n - ceil(n * percent / 100) + 1 shingles of each have one in common;
+    # shingles of one set only are in nobody's list
+    shingles = (sets.withColumnRenamed("doc_id", "rep").join(still, "rep", "left_semi")
+                .select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))
+    often = shingles.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1")
+    rare = (shingles.join(often, "s").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("t"))
+            .withColumn("t", F.expr(f"slice(t, 1, greatest(size(t) - cast(ceil(n * {percent} / 100) as int) + 1, 0))"))
+            .select("rep", F.explode("t.s").alias("s"))
+            .join(placed(links).select("rep", "component", "n", "b1", "b2").distinct(), "rep"))
+    rare = only_mixed(rare, "s").checkpoint()
+    cross = (rare.alias("a").join(rare.alias("b"), F.expr(f"a.s = b.s AND a.rep > b.rep AND a.component <> b.component AND {close}"))
              .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
-    final = connected_components(first.unionAll(confirmed(cross)))
+    final = connected_components(links.unionAll(confirmed(cross)))
     return (members.join(final.withColumnRenamed("node", "rep"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
