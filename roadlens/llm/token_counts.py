@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def count_tokens(docs: DataFrame, path: str, frequent: int = 200_000, least_in_t
     times are summed, and the ``frequent`` most common ones (a bound, whatever
     the input) are counted and broadcast; (2) one pass turns each document into
     its frequencies, summing the broadcast ones at once; (3) the rest, none of
-    them a hot key, joins the counts of the distinct remaining pre-tokens. The
+    them a hot key, is dealt by pre-token, counted once each and joined there. The
     split between (2) and (3) does not change the result."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -115,8 +116,19 @@ def count_tokens(docs: DataFrame, path: str, frequent: int = 200_000, least_in_t
     per_doc = written(docs.select("doc_id", "text").mapInArrow(
         frequencies, "doc_id long, n_bytes long, n_known long, rest array<struct<word:string,n:int>>")
         .withColumn("row", F.monotonically_increasing_id()), "token-frequencies")
-    rest = per_doc.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.n")
-    counted = rest.select("word").distinct().mapInArrow(pieces, "word string, pieces long")
-    sums = rest.join(counted, "word").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("n_rest"))
+
+    def weigh(batches):
+        import pyarrow as pa
+        sp, table = model(path), {}
+        for batch in batches:
+            words = batch.column(1).to_pylist()
+            new = list(set(words).difference(table))
+            table.update(zip(new, count_pieces(sp, new), strict=True))
+            n = np.array(list(map(table.__getitem__, words)), np.int64) * batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n)], ["row", "n"])
+
+    # one shuffle brings the occurrences of a pre-token to one task, which counts it once
+    rest = per_doc.select("row", F.explode("rest").alias("x")).select("row", "x.word", F.col("x.n").cast("long").alias("n"))
+    sums = rest.repartition("word").mapInArrow(weigh, "row long, n long").groupBy("row").agg(F.sum("n").alias("n_rest"))
     return (per_doc.join(sums, "row", "left")
             .select("doc_id", "n_bytes", (F.col("n_known") + F.coalesce("n_rest", F.lit(0))).alias("n_tokens")))
