@@ -92,7 +92,7 @@ s AS (SELECT seg.*, TRY_CAST(nullif(trim(speed_limit), 'NULL') AS DOUBLE) AS spe
              len(list_filter(edges[2:len(edges) - 1], lambda v: aadt > v)) AS aadt_bin
       FROM segments seg LEFT JOIN per USING (segment_id), e),
 r AS (SELECT *, aadt * length_miles * 365 / 1e8 AS per100m,
-             row_number() OVER (PARTITION BY f_system ORDER BY (segment_id * 2654435761) % 1000003, segment_id) - 1 AS rk,
+             row_number() OVER (PARTITION BY f_system ORDER BY ((CAST(segment_id AS BIGINT) % 2147483629) * 1103515245) % 2147483629, segment_id) - 1 AS rk,
              count(*) OVER (PARTITION BY f_system) AS sz FROM s)
 SELECT segment_id, speed_limit_num, through_lanes, f_system, urban_id, aadt, crash_count, high_severity_count,
        round_even(length_miles, 6) AS length_miles,

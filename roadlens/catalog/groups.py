@@ -378,7 +378,7 @@ FROM daily WINDOW w AS (ORDER BY date ROWS BETWEEN 15 PRECEDING AND 14 FOLLOWING
 def centered_rolling_mean(spark, d):
     """I4: 30-day centred mean of daily counts."""
     daily = V.crashes(spark, d).groupBy(F.to_date("start_time").alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    r = I.centered_rolling_mean(daily, "date", "n")
+    r = I.centered_rolling_mean(daily, "date", "n", 30)
     return r.select("date", "n", r6("rolling_mean").alias("rolling_mean"))
 
 
@@ -521,7 +521,7 @@ def fallback_fill(spark, d):
 # --------------------------------------------------------------- N*
 
 @query("sample_n", """
-SELECT id, severity FROM crashes ORDER BY (id * 2654435761) % 1000003, id LIMIT 500""", ("crashes",))
+SELECT id, severity FROM crashes ORDER BY ((CAST(id AS BIGINT) % 2147483629) * 1103515245) % 2147483629, id LIMIT 500""", ("crashes",))
 def sample_n(spark, d):
     """Exactly 500 rows by a seeded integer mix."""
     return N.sample_n(V.crashes(spark, d).select("id", "severity"), "id", 500)
@@ -543,7 +543,7 @@ def temporal_split(spark, d):
 
 STRAT_SQL = """
 SELECT id, CASE WHEN rk < floor(sz * 700000 / 1000000) THEN 'train' WHEN rk < floor(sz * 850000 / 1000000) THEN 'val' ELSE 'test' END AS split
-FROM (SELECT id, row_number() OVER (PARTITION BY severity, county ORDER BY (id * 2654435761) % 1000003, id) - 1 AS rk,
+FROM (SELECT id, row_number() OVER (PARTITION BY severity, county ORDER BY ((CAST(id AS BIGINT) % 2147483629) * 1103515245) % 2147483629, id) - 1 AS rk,
              count(*) OVER (PARTITION BY severity, county) AS sz FROM crashes)"""
 
 
@@ -555,7 +555,7 @@ def stratified_split(spark, d):
 
 
 @query("stratified_kfold", """
-SELECT id, CAST((row_number() OVER (PARTITION BY y ORDER BY (id * 2654435761) % 1000003, id) - 1) % 5 AS INTEGER) AS fold
+SELECT id, CAST((row_number() OVER (PARTITION BY y ORDER BY ((CAST(id AS BIGINT) % 2147483629) * 1103515245) % 2147483629, id) - 1) % 5 AS INTEGER) AS fold
 FROM scored""", ("scored",))
 def stratified_kfold(spark, d):
     """N4."""
@@ -563,8 +563,8 @@ def stratified_kfold(spark, d):
 
 
 @query("group_kfold", """
-SELECT crash_id, CAST(((road_event_id * 2654435761) % 1000003) % 5 AS INTEGER) AS fold,
-       CASE WHEN (road_event_id * 2654435761) % 1000003 < 200000 THEN 'test' ELSE 'train' END AS split FROM wzcrash""",
+SELECT crash_id, CAST((((CAST(road_event_id AS BIGINT) % 2147483629) * 1103515245) % 2147483629) % 5 AS INTEGER) AS fold,
+       CASE WHEN ((CAST(road_event_id AS BIGINT) % 2147483629) * 1103515245) % 2147483629 < 429496725 THEN 'test' ELSE 'train' END AS split FROM wzcrash""",
        ("wzcrash",))
 def group_kfold(spark, d):
     """Whole work zones to one fold / one side."""

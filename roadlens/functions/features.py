@@ -134,6 +134,7 @@ def risk_category(score: ColumnOrName) -> Column:
             .when(s < 100, "High").otherwise("Very High"))
 
 
+# The weights, limits and tiers of the rule scores below.
 def rule_severity_score(adverse: ColumnOrName, low_vis: ColumnOrName, hour: ColumnOrName,
                         rush: ColumnOrName, weekend: ColumnOrName, speed: ColumnOrName,
                         aadt: ColumnOrName) -> Column:

@@ -49,9 +49,9 @@ def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:
     """O3: exact ROC AUC with ties counted one half (Mann-Whitney)."""
     st = score_table(df, y, p)
     cum = prefix_offsets(st, "score", ["neg"])
-    part = cum.agg(F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") * 0.5)).alias("num"),
+    part = cum.agg(F.sum(F.col("pos").cast("double") * (F.col("before_neg") + F.col("neg") * 0.5)).alias("num"),
                    F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return part.select(F.try_divide(F.col("num"), F.col("P") * F.col("N")).alias("auc"))
+    return part.select(F.try_divide(F.try_divide(F.col("num"), F.col("P")), F.col("N")).alias("auc"))
 
 
 def curves(df: DataFrame, y: str, p: str) -> DataFrame:

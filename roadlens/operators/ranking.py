@@ -34,13 +34,10 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
                    F.count(F.lit(1)).alias("distinct_keys"))
 
 
-def centered_rolling_mean(daily: DataFrame, order: str, value: str, window: int | None = None) -> DataFrame:
+def centered_rolling_mean(daily: DataFrame, order: str, value: str, window: int = 30) -> DataFrame:
     """I4: centred rolling mean over a per-period series (one row per date,
     so the global window runs over #periods rows, not #events); null where
-    the frame is incomplete. Without ``window`` the size is min(30, n // 10)
-    for n periods (one count of the period table)."""
-    if window is None:
-        window = max(1, min(30, daily.count() // 10))
+    the frame of ``window`` periods is incomplete."""
     lo, hi = -(window // 2), window - 1 - window // 2
     w = Window.orderBy(order).rowsBetween(lo, hi)
     return daily.withColumn("rolling_mean", F.when(F.count(value).over(w) == window, F.avg(value).over(w)))

@@ -303,8 +303,10 @@ def hexbin_density(points: DataFrame, x: str, y: str, gridsize: int) -> DataFram
     ymin, ymax = ext.select("c").scalar(), ext.select("d").scalar()
     nx = gridsize
     ny = int(gridsize / 3 ** 0.5)
-    ix = (F.col(x) - xmin) / ((xmax - xmin) / nx)
-    iy = (F.col(y) - ymin) / ((ymax - ymin) / ny)
+    # a constant axis has one bin
+    width = lambda span, n: F.when(span > 0, span / n).otherwise(F.lit(1.0))
+    ix = (F.col(x) - xmin) / width(xmax - xmin, nx)
+    iy = (F.col(y) - ymin) / width(ymax - ymin, ny)
     ix1, iy1 = F.bround(ix, 0), F.bround(iy, 0)
     ix2, iy2 = F.floor(ix), F.floor(iy)
     d1 = F.pow(ix - ix1, 2) + 3 * F.pow(iy - iy1, 2)

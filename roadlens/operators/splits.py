@@ -7,14 +7,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Multiplicative hash constants (fixed values).
-MIX_MULT = 2654435761
-MIX_MOD = 1000003
+# Multiplicative hash constants (fixed values): a prime below 2^31 and a factor
+# below it, so products stay in 64 bits for any key.
+MIX_MULT = 1103515245
+MIX_MOD = 2147483629
 
 
 def mix(key: str | Column, salt: int = 0) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return ((k + salt) * MIX_MULT) % MIX_MOD
+    mod = F.lit(MIX_MOD).cast("long")
+    return F.pmod((F.pmod(k.cast("long"), mod) + salt) * F.lit(MIX_MULT).cast("long"), mod)
 
 
 def sample_n(df: DataFrame, key: str, n: int, salt: int = 0) -> DataFrame:

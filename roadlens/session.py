@@ -40,8 +40,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``;
-    only when nothing is configured (local tests) fall back to a fresh
-    temporary folder."""
+    only when nothing is configured and the master is local (tests) fall back
+    to a fresh temporary folder. On a cluster that would be a folder of one
+    machine, so a session without the setting is an error there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="roadlens-ckpt-"))
     return sc.getCheckpointDir()

@@ -108,21 +108,11 @@ def read_geometry(spark: SparkSession, path: str, geometry: str = "geometry", cr
     return df.withColumn(geometry, F.transform(geometry, to_ll))
 
 
-def combine_pages(spark: SparkSession, directory: str, page_col: str, page_size: int,
-                  where: Column | None = None, order: list[Column] | None = None,
-                  limit: int | None = None) -> DataFrame:
-    """A10 (re-aimed from paged HTTP): N page files of one extract -> one
-    table. Pages after the first short page are ignored (the paged client
-    stopped there); the filter is pushed into the scan; optional top-N."""
+def combine_pages(spark: SparkSession, directory: str, where: Column | None = None) -> DataFrame:
+    """A10 (re-aimed from paged HTTP): all landed page files of one extract ->
+    one table, short pages included; the filter is pushed into the scan."""
     df = spark.read.parquet(directory)
-    sizes = df.groupBy(page_col).agg(F.count(F.lit(1)).alias("_n"))
-    stop = sizes.where(F.col("_n") < page_size).select(F.min(page_col)).scalar()
-    out = df.where(F.col(page_col) <= F.coalesce(stop, F.lit(2 ** 62)))
-    if where is not None:
-        out = out.where(where)
-    if order:
-        out = out.orderBy(*order)
-    return out.limit(limit) if limit else out
+    return df if where is None else df.where(where)
 
 
 def union_tagged(frames: dict[str, DataFrame], tags: dict[str, dict]) -> DataFrame:

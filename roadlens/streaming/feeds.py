@@ -48,24 +48,43 @@ def latest_snapshot(stream: DataFrame, key: str, update_col: str, table: str, ch
     """R2: current state per key across snapshots. Each micro-batch is merged
     with the previous state (union + latest row per key by update time, a
     ``max_by`` aggregate) and written as a new version folder named by the
-    batch id, so a retried batch rewrites the same folder (idempotent)."""
+    batch id, so a retried batch rewrites the same folder (idempotent). The
+    previous state is the newest finished folder below the batch id, so a
+    restarted stream goes on from where its checkpoint stands; without any
+    batch yet the result is empty."""
     spark = stream.sparkSession
-    state = {"path": None}
     fs_base = table.rstrip("/")
 
     def merge(batch: DataFrame, epoch: int):
         cur = batch
-        if state["path"]:
-            cur = spark.read.parquet(state["path"]).unionByName(batch)
+        before = _newest_batch(spark, fs_base, epoch)
+        if before:
+            cur = spark.read.parquet(before).unionByName(batch)
         rest = [c for c in cur.columns if c != key]
         latest = cur.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(update_col, *[c for c in rest if c != update_col]))
                                       .alias("_r")).select(key, "_r.*")
         path = f"{fs_base}/batch={epoch:012d}"
         latest.write.mode("overwrite").parquet(path)
-        state["path"] = path
 
     _run(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint))
-    return spark.read.parquet(state["path"])
+    newest = _newest_batch(spark, fs_base)
+    if newest is None:
+        return spark.createDataFrame([], stream.schema).select(key, *[c for c in stream.columns if c != key])
+    return spark.read.parquet(newest)
+
+
+def _newest_batch(spark: SparkSession, base: str, below: int | None = None) -> str | None:
+    """The finished version folder of the highest batch id (below ``below``)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.listStatus(root) if fs.exists(root) else ():
+        name = status.getPath().getName()
+        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.append(int(name[len("batch="):]))
+    found = [n for n in found if below is None or n < below]
+    return f"{base}/batch={max(found):012d}" if found else None
 
 
 def score_stream(stream: DataFrame, columns: dict[str, Column], keep: list[str], sink: str,

@@ -94,3 +94,30 @@ def test_lighting_boundaries(spark):
     c = [r[0] for r in df.select(T.lighting_condition("t", "sr", "ss", "cb", "ce", "nb", "ne", "ab", "ae")).collect()]
     assert c == ["daylight", "daylight", "civil_twilight_dawn", "civil_twilight_dusk", "civil_twilight_dawn",
                  "civil_twilight_dusk", "nautical_twilight_dawn", "dark", "unknown"]
+
+
+def test_mix_of_large_and_negative_keys(spark):
+    from roadlens.operators import splits
+    df = spark.createDataFrame([(10 ** 15,), (2 ** 63 - 1,), (-1,), (-2,), (3_500_000_000,)], "k long")
+    folds = [r.fold for r in splits.group_kfold(df, "k", 5, salt=3).collect()]
+    assert all(0 <= f < 5 for f in folds)
+
+
+def test_roc_auc_of_large_counts(spark):
+    from pyspark.sql import functions as F
+    from roadlens.operators import evaluate
+    big = spark.range(2).select(F.col("id").alias("score"), F.when(F.col("id") == 1, 10 ** 10).otherwise(0).alias("pos"),
+                                F.when(F.col("id") == 0, 10 ** 10).otherwise(0).alias("neg"))
+    real, evaluate.score_table = evaluate.score_table, lambda *a: big
+    try:
+        assert evaluate.roc_auc(big, "y", "p").first().auc == 1.0
+    finally:
+        evaluate.score_table = real
+
+
+def test_combine_pages_reads_past_a_short_page(spark):
+    from roadlens.sources import readers
+    path = readers.shared_dir(spark, "t-pages")
+    rows = [(p, i) for p, n in enumerate((5, 2, 5)) for i in range(n)]
+    spark.createDataFrame(rows, "page int, i int").write.partitionBy("page").parquet(path)
+    assert readers.combine_pages(spark, path).count() == 12

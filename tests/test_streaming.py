@@ -38,3 +38,17 @@ def test_dedup_within_watermark(spark):
     s = R.read_feed_stream(spark, f"{base}/*", SCHEMA, max_files_per_trigger=1)
     out = R.ingest_feed_stream(s, ["event_id"], "ts", "1 hour", shared_dir(spark, "t-br"), shared_dir(spark, "t-ck2"))
     assert sorted(r.event_id for r in out.collect()) == [1, 2]
+
+
+def test_latest_snapshot_restarts(spark):
+    base, table, ck = (shared_dir(spark, n) for n in ("t-snap", "t-state", "t-ck3"))
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+
+    def run():
+        s = R.read_feed_stream(spark, f"{base}/*", SCHEMA, max_files_per_trigger=1)
+        return {r.event_id: r.value for r in R.latest_snapshot(s, "event_id", "ts", table, ck).collect()}
+    _land(spark, base, 0, [(1, t0, "a", 1.0), (2, t0, "a", 2.0)])
+    assert run() == {1: 1.0, 2: 2.0}
+    _land(spark, base, 1, [(2, t0 + dt.timedelta(hours=1), "a", 5.0)])
+    assert run() == {1: 1.0, 2: 5.0}
+    assert run() == {1: 1.0, 2: 5.0}
