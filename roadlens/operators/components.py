@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
     smallest node. Alternates the large-star and small-star steps (every node
     hangs its larger, then its smaller neighbours below the smallest node it
     knows), so paths of any length need logarithmically many rounds. Each
-    round is written with ``checkpoint()``; only a count and a checksum reach
+    round is a written table in the shared checkpoint folder, read again in as
+    many partitions as its size asks for; only a count and a checksum reach
     the driver. Self loops and null ends are ignored; no edges give no rows."""
-    ensure_checkpoint_dir(edges.sparkSession)
-    pairs = (edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"))
-             .filter("u > v").distinct().checkpoint())
+    spark = edges.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/components-{uuid.uuid4().hex}"
+
+    def written(table: DataFrame, step: int) -> DataFrame:
+        table.write.parquet(f"{folder}/{step}")
+        return spark.read.schema(table.schema).parquet(f"{folder}/{step}")
+
+    step = 0
+    pairs = written(edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).filter("u > v").distinct(), step)
     state = _checksum(pairs)
     while state[0]:
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -30,7 +39,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u > v").distinct())
-        pairs = small.checkpoint()
+        step += 1
+        pairs = written(small, step)
         after = _checksum(pairs)
         if after == state:
             break
