@@ -167,7 +167,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 .select("src", "dst"))
 
     def placed(links: DataFrame) -> DataFrame:
-        comp = connected_components(links).withColumnRenamed("node", "rep")
+        return members_of(connected_components(links).withColumnRenamed("node", "rep"))
+
+    def members_of(comp: DataFrame) -> DataFrame:
         return postings.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     def only_mixed(rows: DataFrame, key: str) -> DataFrame:
@@ -184,8 +186,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     near = (short.alias("a").join(short.alias("b"), F.expr(f"a.token = b.token AND a.rep > b.rep AND a.component <> b.component AND {close}"))
             .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
     links = links.unionAll(confirmed(near)).checkpoint()
+    comp = connected_components(links).withColumnRenamed("node", "rep")
+    now = members_of(comp).select("rep", "component", "n", "b1", "b2").distinct()
     still = only_mixed(lists.filter(F.col("c") > SHORT_LIST).select("token", "rep").join(
-        placed(links).select("rep", "component").distinct(), "rep"), "token").select("rep", "component").distinct()
+        now.select("rep", "component"), "rep"), "token").select("rep", "component").distinct()
     # of those, the ones that agree with another component in two neighbouring
     # coordinates; a link of 0.8 misses all 16 pairs once in ten million times
     twos = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES // 2 - 1)), lambda k: F.xxhash64(k, F.get("sig", 2 * k), F.get("sig", 2 * k + 1)))
@@ -200,7 +204,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rare = (shingles.join(often, "s").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("t"))
             .withColumn("t", F.expr(f"slice(t, 1, greatest(size(t) - cast(ceil(n * {percent} / 100) as int) + 1, 0))"))
             .select("rep", F.explode("t.s").alias("s"))
-            .join(placed(links).select("rep", "component", "n", "b1", "b2").distinct(), "rep"))
+            .join(now, "rep"))
     rare = only_mixed(rare, "s").checkpoint()
     cross = (rare.alias("a").join(rare.alias("b"), F.expr(f"a.s = b.s AND a.rep > b.rep AND a.component <> b.component AND {close}"))
              .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
