@@ -96,6 +96,42 @@ def test_line_classes(spark, documents):
     assert line_dedup.line_classes(table.limit(0)).count() == 0
 
 
+def test_long_lines_allow_more_edits(spark, documents):
+    rng = random.Random(15)
+    lines = []
+    for n in (10, 23, 24, 25, 26, 27, 28, 40, 60, 150):
+        base = prose(rng, n)
+        lines.append(base)
+        for share in (0.005, 0.01, 0.018, 0.02, 0.022, 0.03, 0.048, 0.052, 0.07):
+            x = list(base)
+            for _ in range(round(share * len(x))):
+                at = rng.randrange(len(x))
+                x[at:at + rng.choice((0, 1, 1))] = rng.choice(("", "q", "日"))
+            lines.append("".join(x))
+        x = base.split()
+        lines.append(" ".join([*x[:4], "q" * len(x[4]), *x[5:]]))  # one word changed
+    table = documents(lines)
+
+    def links(rate):
+        limit = lambda a, b: max(2, int(rate * min(len(a), len(b)) + 1e-9))
+        return [(a, b) for i, a in enumerate(lines) for b in lines[:i] if abs(len(a) - len(b)) <= limit(a, b) and distance(a, b) <= limit(a, b)]
+
+    for rate in (0.03, 0.05):  # every pair of long lines meets under a key that one of them owns
+        keys, long = {}, line_dedup.first_long(2, rate)
+        rows = table.select(F.col("text").alias("line"), F.length("text").alias("size"))
+        for r in line_dedup.grams(rows, 2, rate).collect():
+            keys.setdefault(r.line, {}).setdefault(r.key, []).append(r.own)
+        pairs = [(a, b) for a, b in links(rate) if min(len(a), len(b)) >= long]
+        assert pairs and all(any(any(keys[a][k] + keys[b][k]) for k in keys[a].keys() & keys[b].keys()) for a, b in pairs)
+    linked = links(0.02)
+    assert any(distance(a, b) > 2 for a, b in linked)
+    root, groups = components(lines, linked), {}
+    for i, x in enumerate(lines):
+        groups.setdefault(root[x], []).append(i)
+    got = {r.doc_id: r.class_doc for r in line_dedup.line_classes(table).collect()}
+    assert got == {i: g[0] for g in groups.values() if len(g) > 1 for i in g}
+
+
 # 2
 def personal(text):
     def luhn(x):
