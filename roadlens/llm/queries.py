@@ -39,7 +39,7 @@ def vocabulary(name: str) -> str:
 
 @query("op1_line_dedup")
 def _lines(spark, sf_dir):
-    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"), shortest=1)
 
 
 @query("op2_personal_data")

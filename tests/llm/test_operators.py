@@ -132,6 +132,16 @@ def test_long_lines_allow_more_edits(spark, documents):
     assert got == {i: g[0] for g in groups.values() if len(g) > 1 for i in g}
 
 
+def test_short_lines_repeat(spark, documents):
+    import corpus_pipeline
+    texts = ["All rights reserved.\nx\n\none", "x\n\nAll rights reserved.\nAll rights reserved!", "one\n日本\n日本"]
+    table = documents(texts)
+    got = {(r.doc_id, r.line_no): (r.class_doc, r.class_line, r.class_lines) for r in line_dedup.line_classes(table, shortest=1).collect()}
+    assert got == {(0, 0): (0, 0, 2), (1, 2): (0, 0, 2), (0, 1): (0, 1, 2), (1, 0): (0, 1, 2), (0, 3): (0, 3, 2), (2, 0): (0, 3, 2), (2, 1): (2, 1, 2), (2, 2): (2, 1, 2)}
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, table, "").collect()}
+    assert left == {0: texts[0], 1: "\nAll rights reserved!", 2: "日本"}
+
+
 # 2
 def personal(text):
     def luhn(x):
