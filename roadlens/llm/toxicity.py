@@ -7,8 +7,8 @@ prefix (the shortest towards the share of all documents); a node whose counts do
 not differ significantly from its parent's share (likelihood ratio) has the
 parent's, so unseen and rare words take the odds of their stem. A token's weight
 is its log-odds against the base share, less a small drift, so that ordinary
-prose scores below zero; the k-th occurrence of a word in a text counts 1/k of
-its positive weight, as repeats bring little new evidence.
+prose scores below zero. Every occurrence counts in full, so that a passage
+scores the same wherever it stands and whatever came before.
 
 Search. One linear scan finds every maximal segment of a text whose score is
 positive (Ruzzo and Tompa's set). The best segment of a clean text of n words
@@ -73,14 +73,8 @@ class Model:
         return list(map(known.__getitem__, words))
 
     def weighted(self, words: list[str]):
-        """(position, weight) of the words that have one, repeats damped."""
-        seen: Counter = Counter()
-        for i, w in enumerate(self.word_weights(words)):
-            if w > 0:
-                seen[words[i]] += 1
-                yield i, w / seen[words[i]]
-            elif w:
-                yield i, w
+        """(position, weight) of the words that have one."""
+        return ((i, w) for i, w in enumerate(self.word_weights(words)) if w)
 
     def spans(self, words: list[str]) -> list[tuple[float, int, int]]:
         """(score, first word, end word) of every maximal segment, in order."""

@@ -99,7 +99,7 @@ def test_line_classes(spark, documents):
 def test_long_lines_allow_more_edits(spark, documents):
     rng = random.Random(15)
     lines = []
-    for n in (10, 23, 24, 25, 26, 27, 28, 40, 60, 150):
+    for n in (10, 24, 26, 28, 29, 40, 60, 90):
         base = prose(rng, n)
         lines.append(base)
         for share in (0.005, 0.01, 0.018, 0.02, 0.022, 0.03, 0.048, 0.052, 0.07):
@@ -299,6 +299,19 @@ def test_toxicity(spark, documents):
     assert {r.score for r in toxicity.score(table, none).collect()} == {0.0}
 
 
+def test_passages_score_alike_anywhere():
+    model = toxicity.Model({"vile$": 2.0, "rotten$": 1.5, "mild$": 1.0, "of$": -.5}, .05, .1)
+    rng = random.Random(16)
+    clean = [rng.choice(["the", "of", "stone", "river"]) for _ in range(5000)]
+    bad = "vile rotten vile rotten mild mild vile rotten".split()
+    score = sum(model.weight(w) - .05 for w in bad)
+    many = [w for _ in range(30) for w in ["mild", *["of"] * 10]]  # mild words before
+    for text, starts in ((bad + clean, [0]), (clean + bad, [5000]), (bad + clean + bad, [0, 5008]), (many + clean + bad, [330 + 5000])):
+        found = {a: (s, b) for s, a, b in model.spans(text) if s > 5}
+        assert {a: b for a, (_, b) in found.items()} == {a: a + 8 for a in starts}
+        assert all(abs(s - score) < 1e-6 for s, _ in found.values())
+
+
 # 7
 def test_nbest_pieces(spark, documents):
     path = vocabulary("piece_bpe_32k.model")
