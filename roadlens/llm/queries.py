@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import decontaminate, hnsw, line_dedup, minhash, pieces, pii, secrets, token_counts, token_store, toxicity
+from . import collocations, decontaminate, hnsw, line_dedup, minhash, pieces, pii, secrets, token_counts, token_store, toxicity
 from .common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,38 @@ def _vectors(spark, sf_dir):
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@query("op11_collocations", sql="""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: w[i:i + size - 1])) AS p
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS size)),
+f AS (SELECT lang, size, p, count(*) AS a FROM grams GROUP BY lang, size, p),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+frequent AS (SELECT * FROM f WHERE a >= 30),
+longer AS (
+  SELECT lang, sub, max(a) AS most FROM (
+    SELECT lang, a, unnest([p[1:2], p[2:3], p[3:size], p[1:3], p[2:size]]) AS sub, size FROM frequent WHERE size >= 3)
+  WHERE len(sub) >= 2 AND len(sub) < size GROUP BY lang, sub),
+kept AS (
+  SELECT c.lang, c.p, c.size, c.a FROM frequent c LEFT JOIN longer s ON s.lang = c.lang AND s.sub = c.p
+  WHERE c.size >= 2 AND (s.most IS NULL OR 100 * s.most < 80 * c.a)),
+cuts AS (SELECT lang, p, a, size, unnest(range(1, size)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r,
+    CAST(CAST(2000000 AS HUGEINT) * c.a // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1:c.size]),
+lowest AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN totals ON totals.lang = lowest.lang QUALIFY rank <= 2000""")
+def _phrases(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def _pipeline(spark, sf_dir):
     import corpus_pipeline
