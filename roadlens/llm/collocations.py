@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 from .common import LONG_WORD, as_bytes, mix64, ship_package, stream64, text_batches, written
 
 #: Words a task holds before it emits its stripes.
-FLUSH_WORDS = 2_000_000
+FLUSH_WORDS = 1_000_000
+#: Entries of the stripes that leave a task together.
+BATCH = 1 << 17
 #: Bits of a piece of the pair bitmap, as a power of two.
 CHUNK = 19
 _STRIPES = "lang string, h1 long, h2 long, h3 long, nexts array<long>, counts array<long>, word string"
@@ -108,12 +110,26 @@ class Bitmap:
 
 
 def _rows(lang, prefix: list[np.ndarray], nexts: np.ndarray, counts: np.ndarray):
-    """Stripes as an Arrow batch; equal prefixes (lists of word hashes) are adjacent."""
-    import pyarrow as pa
+    """Stripes as Arrow batches; equal prefixes (lists of word hashes) are adjacent."""
     new = np.ones(len(nexts), bool)
     if len(nexts):
         new[1:] = np.any([p[1:] != p[:-1] for p in prefix], axis=0)
-    at = np.flatnonzero(new)
+    ends = np.append(np.flatnonzero(new), len(nexts))
+    for a, b in _spans(ends):
+        yield _batch(lang, [p[ends[a]:ends[b]] for p in prefix], nexts[ends[a]:ends[b]], counts[ends[a]:ends[b]], ends[a:b] - ends[a])
+
+
+def _spans(ends: np.ndarray):
+    """Ranges of consecutive stripes of about ``BATCH`` entries together."""
+    a = 0
+    while a < len(ends) - 1:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + BATCH, side="right")) - 1)
+        yield a, b
+        a = b
+
+
+def _batch(lang, prefix, nexts, counts, at):
+    import pyarrow as pa
     off = pa.array(np.append(at, len(nexts)).astype(np.int32))
     zero = np.zeros(len(at), np.int64)
     keys = [p[at].view(np.int64) for p in prefix] + [zero] * (3 - len(prefix))
@@ -132,7 +148,7 @@ def _one_word_stripes(lang, h, piece):
     order = np.argsort(key)
     key, count = key[order], count[order]
     following = np.concatenate((np.zeros(1, np.uint64), words))[(key & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-    yield _rows(lang, [words[(key >> np.uint64(32)).astype(np.int64)]], following, count)
+    yield from _rows(lang, [words[(key >> np.uint64(32)).astype(np.int64)]], following, count)
 
 
 def _longer_stripes(lang, h, piece, bitmap):
@@ -152,7 +168,7 @@ def _longer_stripes(lang, h, piece, bitmap):
         ids, group, n = np.unique((group.astype(np.uint64) << np.uint64(32)) | own[start + width].astype(np.uint64),
                                   return_inverse=True, return_counts=True)
         at = first[(ids >> np.uint64(32)).astype(np.int64)]
-        yield _rows(lang, [h[at + i] for i in range(width)], words[(ids & np.uint64(0xFFFFFFFF)).astype(np.int64)], n)
+        yield from _rows(lang, [h[at + i] for i in range(width)], words[(ids & np.uint64(0xFFFFFFFF)).astype(np.int64)], n)
         more = start + 2 < len(go)
         more[more] = go[start[more] + 2]
         start, group = start[more], group[more]
