@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import collocations, decontaminate, hnsw, line_dedup, minhash, pieces, pii, secrets, token_counts, token_store, toxicity
+from . import alignment, collocations, decontaminate, hnsw, kdtree, line_dedup, minhash, pieces, pii, secrets, token_counts, token_store, toxicity
 from .common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +156,24 @@ def _phrases(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query("op12_top_products", sql="""
+WITH sound AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(64 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(CASE WHEN len(q.e) = 0 THEN 0 ELSE list_inner_product(q.e, c.e) END AS BIGINT) AS score
+  FROM sound q JOIN sound c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20""")
+def _top(spark, sf_dir):
+    return kdtree.top_products(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_token_alignment")
+def _aligned(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 @query("pipeline")
 def _pipeline(spark, sf_dir):
     import corpus_pipeline
