@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import npy, ship_package, written
 
 #: Vectors of a leaf.
-LEAF = 128
+LEAF = 256
 #: Products up to here are exact in doubles.
 EXACT = 2.0 ** 53
 #: Components beyond it count as infinite (no 32-bit float is), so that sums of products stay finite.
@@ -85,42 +85,54 @@ def bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.where(size < EXACT, b, b + size * (q.shape[1] * 2.0 ** -50))
 
 
-def products(x: np.ndarray, q: np.ndarray) -> list:
-    """Exact inner products of the rows of x with q, as whole numbers."""
-    if (np.abs(x) @ np.abs(q)).max(initial=0) < EXACT:
-        return (x @ q).tolist()
-    own = [int(c) for c in q]
-    return [sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in x]
-
-
-def search(tree: tuple, codes: np.ndarray, ids: np.ndarray, q: np.ndarray, own: int, reach: np.ndarray, best: list, k: int) -> list:
-    """The k best of ``best`` and the tree as (score, -id), a heap. ``reach``:
-    the query's bound in every node."""
-    order, first, last, child = tree[:4]
-    heapq.heapify(best)
-    waiting = [(-reach[0], 0)]
-    while waiting:
-        bound, node = heapq.heappop(waiting)
-        if len(best) >= k and -bound < best[0][0]:
-            break
-        if child[node]:
-            for c in (child[node], child[node] + 1):
+class Tree:
+    """A shard's KD-tree, its rows in tree order: those of node i are
+    ``first[i]:last[i]``."""
+
+    def __init__(self, codes: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
+        order, first, last, child, self.low, self.high = build_tree(codes, leaf)
+        self.first, self.last, self.child = first.tolist(), last.tolist(), child.tolist()
+        self.codes, self.ids = np.ascontiguousarray(codes[order]), ids[order]
+        self.most = np.abs(codes).max(0)
+        self.single = self.codes.astype(np.float32) if (self.most < 2.0 ** 24).all() else None
+
+    def products(self, q: np.ndarray):
+        """A function of a row range: its exact inner products with q."""
+        size = float(np.abs(q) @ self.most)
+        if size < 2.0 ** 24 and self.single is not None:  # whole numbers that single precision holds
+            x, v = self.single, q.astype(np.float32)
+        elif size < EXACT:
+            x, v = self.codes, q
+        else:
+            own = [int(c) for c in q]
+            return lambda a, b: np.array([sum(int(c) * d for c, d in zip(row, own, strict=True)) for row in self.codes[a:b]], object)
+        return lambda a, b: x[a:b] @ v
+
+    def search(self, q: np.ndarray, own: int, reach: list, best: list, k: int) -> list:
+        """The k best of ``best`` and the tree as (score, -id), a heap; nodes
+        best first by ``reach``, the query's bound in every node."""
+        first, last, child, products = self.first, self.last, self.child, self.products(q)
+        heapq.heapify(best)
+        waiting = [(-reach[0], 0)]
+        while waiting:
+            bound, node = heapq.heappop(waiting)
+            if len(best) >= k and -bound < best[0][0]:
+                break
+            if c := child[node]:
                 heapq.heappush(waiting, (-reach[c], c))
-            continue
-        rows = order[first[node]:last[node]]
-        x = codes[rows]
-        score = products(x, q)
-        if len(best) >= k and isinstance(score[0], float):  # most rows of a leaf end here
-            some = np.flatnonzero(np.array(score) >= best[0][0])
-            rows, score = rows[some], [score[i] for i in some]
-        for s, i in zip(score, ids[rows].tolist(), strict=True):
-            if i == own:
+                heapq.heappush(waiting, (-reach[c + 1], c + 1))
                 continue
-            if len(best) < k:
-                heapq.heappush(best, (s, -i))
-            elif (s, -i) > best[0]:
-                heapq.heapreplace(best, (s, -i))
-    return best
+            a = first[node]
+            score = products(a, last[node])
+            some = np.flatnonzero(score >= best[0][0]) if len(best) >= k else np.arange(len(score))
+            for s, i in zip(score[some].tolist(), self.ids[a + some].tolist(), strict=True):
+                if i == own:
+                    continue
+                if len(best) < k:
+                    heapq.heappush(best, (s, -i))
+                elif (s, -i) > best[0]:
+                    heapq.heapreplace(best, (s, -i))
+        return best
 
 
 def _pack(codes: np.ndarray) -> bytes:
@@ -273,13 +285,13 @@ def top_products(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         out: dict = {c: [] for c in cols}
         if trees.num_rows and queries.num_rows:
             codes, ids = _unpack(trees.column("codes")[0].as_py()), np.load(io.BytesIO(trees.column("ids")[0].as_py()), allow_pickle=False)
-            made = build_tree(codes)
+            made = Tree(codes, ids)
             rows = queries.to_pylist()
             for at in range(0, len(rows), 256):
                 q = np.stack([_unpack(r["code"]) for r in rows[at:at + 256]])
-                for r, x, b in zip(rows[at:at + 256], q, bounds(q, made[4], made[5]), strict=True):
+                for r, x, b in zip(rows[at:at + 256], q, bounds(q, made.low, made.high).tolist(), strict=True):
                     have = [(s, -i) for s, i in zip(_exact(r["scores"], r["high"]), r["ids"], strict=True)]
-                    found = search(made, codes, ids, x, r["id"], b, list(have), k)
+                    found = made.search(x, r["id"], b, list(have), k)
                     new = sorted((Counter(found) - Counter(have)).elements(), reverse=True)
                     out["query"].append(r["query"])
                     out["scores"].append([float(s) for s, _ in new])
