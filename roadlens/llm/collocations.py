@@ -207,7 +207,7 @@ def stripes(docs: DataFrame, seed: int, bitmap=None) -> DataFrame:
             texts = as_bytes(batch.column(1))
             for lang in dict.fromkeys(langs):
                 own = [texts[i] for i in np.flatnonzero(langs == lang)]
-                for a, b in text_batches(own):
+                for a, b in text_batches(own, 500_000):
                     h, piece, low, start, end = hasher.words(own[a:b])
                     if not len(h):
                         continue
