@@ -210,17 +210,27 @@ def correlation_matrix(spark, d):
     return c.select("a", "b", r6("r").alias("r"))
 
 
-@query("target_correlation", f"""WITH cf AS ({CF_SQL}),
+@query("target_correlation", f"""WITH RECURSIVE cf AS ({CF_SQL}),
 l AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, high_severity) AS r, count({c}) AS n FROM cf"
-                          for c in ["temperature_f", "visibility_mi", "hour", "x", "y", "day_of_week"])})
+                          for c in ["temperature_f", "visibility_mi", "hour", "x", "y", "day_of_week"])}),
+a AS (SELECT feature, n - 2 AS v, abs(r) AS sn, sqrt(1 - r * r) AS cs FROM l),
+series AS (
+  SELECT feature, v, cs, CASE WHEN v % 2 = 0 THEN 2 ELSE 3 END AS k, CASE WHEN v % 2 = 0 THEN 1.0::DOUBLE ELSE cs END AS term,
+         CASE WHEN v % 2 = 0 THEN 1.0::DOUBLE WHEN v = 1 THEN 0.0::DOUBLE ELSE cs END AS total FROM a
+  UNION ALL SELECT feature, v, cs, k + 2, term * cs * cs * (k - 1) / k, total + term * cs * cs * (k - 1) / k
+  FROM series WHERE k + 2 <= v AND term > 1e-18),
+pv AS (
+  SELECT a.feature, greatest(0.0, 1 - CASE WHEN a.v % 2 = 0 THEN sn * total ELSE 2 / pi() * (asin(sn) + sn * total) END) AS p_value
+  FROM a JOIN (SELECT feature, max(total) AS total FROM series GROUP BY feature) s USING (feature))
 SELECT feature, round_even(r, 6) AS r, CAST(n AS BIGINT) AS n, round_even(abs(r), 6) AS abs_r,
-       round_even(r * sqrt((n - 2) / (1 - r * r)), 6) AS t
-FROM l ORDER BY abs(r) DESC, feature LIMIT 4""", ("crashes",))
+       round_even(r * sqrt((n - 2) / (1 - r * r)), 6) AS t, round_even(p_value, 6) AS p_value
+FROM l JOIN pv USING (feature) ORDER BY abs(r) DESC, feature LIMIT 4""", ("crashes",))
 def target_correlation(spark, d):
     """H15 + H16: |r| with the target ranked, top 4, with point-biserial t."""
     t = H.target_correlation(cf(spark, d), ["temperature_f", "visibility_mi", "hour", "x", "y", "day_of_week"],
                              "high_severity", 4)
-    return t.select("feature", r6("r").alias("r"), "n", r6("abs_r").alias("abs_r"), r6("t").alias("t"))
+    return t.select("feature", r6("r").alias("r"), "n", r6("abs_r").alias("abs_r"), r6("t").alias("t"),
+                    r6("p_value").alias("p_value"))
 
 
 @query("histogram", """
@@ -480,14 +490,12 @@ SELECT id, CAST(count(road_event_id) AS BIGINT) AS active_zones, min(road_event_
 FROM crashes c LEFT JOIN workzones w ON CAST(c.start_time AS DATE) BETWEEN w.start_date AND w.end_date
 GROUP BY id""", ("crashes", "workzones"))
 def range_interval_join(spark, d):
-    """Per crash, the work zones active on its date (month-bucketed
-    equi-join + residual range filter)."""
+    """Per crash, how many work zones are active on its date and the first
+    of them (blocks of days, no pairs)."""
     c = V.crashes(spark, d).select("id", "start_time")
     w = V.workzones(spark, d).select("road_event_id", "start_date", "end_date")
-    pairs = G.range_interval_join(c, "start_time", w, "start_date", "end_date")
-    per = pairs.groupBy("id").agg(F.count(F.lit(1)).alias("active_zones"), F.min("road_event_id").alias("first_zone"))
-    return c.select("id").join(per, "id", "left").select(
-        "id", F.coalesce("active_zones", F.lit(0)).cast("long").alias("active_zones"), "first_zone")
+    return G.interval_cover(c, "start_time", w, "start_date", "end_date", "road_event_id", "active_zones", "first_zone").select(
+        "id", "active_zones", "first_zone")
 
 
 @query("semi_join", """
@@ -572,8 +580,11 @@ def group_kfold(spark, d):
     return N.group_split(N.group_kfold(w, "road_event_id"), "road_event_id", 0.2).select("crash_id", "fold", "split")
 
 
-@query("permute_labels")
+@query("permute_labels", f"""WITH cf AS ({CF_SQL}),
+k AS (SELECT id, high_severity, row_number() OVER (ORDER BY id) AS r FROM cf),
+m AS (SELECT high_severity, row_number() OVER (ORDER BY ((id % {N.MIX_MOD} + 7) * {N.MIX_MULT}) % {N.MIX_MOD}, id) AS r FROM cf)
+SELECT k.id, k.high_severity, m.high_severity AS permuted_high_severity FROM k JOIN m USING (r)""", ("crashes",))
 def permute_labels(spark, d):
-    """N6 (rows + invariant: the label multiset is unchanged): crash labels
-    re-paired with other crashes (the key must be unique: crash ids are)."""
+    """Crash labels re-paired with other crashes (the key must be unique:
+    crash ids are)."""
     return N.permute_labels(cf(spark, d).select("id", "high_severity"), "id", "high_severity")

@@ -12,6 +12,11 @@ from .. import testviews as V
 from ..operators import evaluate as O
 from ..operators import learn as P
 from ..operators import splits as N
+from ..operators.calibration import apply_isotonic, calibrate_folds, fit_isotonic, fold_scores
+from ..operators.selection import Candidate, Ensemble, cross_val_score, grid, out_of_fold
+from ..operators.zero_inflated import fit_zero_inflated
+from ..plans.training import train_and_report as report
+from ..plans.workzones import sensitivity as vary
 from ..sources.readers import shared_dir
 from .base import query, r6
 from .groups import CF_SQL, cf
@@ -113,17 +118,17 @@ def logistic_regression(spark, d):
 
 @query("random_forest")
 def random_forest(spark, d):
-    """Random forest classifier; test AUC and importances count."""
-    _, s = _fit_eval(spark, d, "random_forest", numTrees=50, maxDepth=10)
+    """Random forest classifier of 100 trees of depth 15; test AUC."""
+    _, s = _fit_eval(spark, d, "random_forest", numTrees=100, maxDepth=15)
     return _auc(s, LABEL, "p").withColumn("model", F.lit("random_forest"))
 
 
 @query("boosted_trees")
 def boosted_trees(spark, d):
-    """Gradient-boosted trees with validation-set stopping."""
+    """Gradient-boosted trees of depth 6, stopped by the validation set."""
     b = ml_base(spark, d)
     tv = b.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
-    m = P.fit_classifier(tv, NUMERIC, CATEGORICAL, LABEL, "gbt", maxIter=20, maxDepth=4,
+    m = P.fit_classifier(tv, NUMERIC, CATEGORICAL, LABEL, "gbt", maxIter=50, maxDepth=6,
                          validationIndicatorCol="is_val")
     s = P.probability(m.transform(b.where(F.col("split") == "test")))
     return _auc(s, LABEL, "p").withColumn("model", F.lit("gbt"))
@@ -146,7 +151,7 @@ def count_regressors(spark, d):
     s = _segment_ml(spark, d)
     num = ["speed_limit", "through_lanes", "f_system", "aadt"]
     out = None
-    for kind, params in (("random_forest", {"numTrees": 30, "maxDepth": 8}), ("gbt", {"maxIter": 20}),
+    for kind, params in (("random_forest", {"numTrees": 100, "maxDepth": 10}), ("gbt", {"maxIter": 50}),
                          ("poisson", {"regParam": 1.0})):
         m = P.fit_regressor(s.where(F.col("split") == "train"), num, [], "y", kind, **params)
         pred = m.transform(s.where(F.col("split") == "test")).withColumn("yhat", F.greatest(F.col("prediction"), F.lit(0.0)))
@@ -157,46 +162,70 @@ def count_regressors(spark, d):
 
 @query("zero_inflated_poisson")
 def zero_inflated_poisson(spark, d):
-    """ZIP by EM; llf trace must not decrease; AIC and BIC."""
+    """ZIP to convergence (it raises otherwise); the log-likelihood must
+    not fall; AIC and BIC; coefficients per feature."""
+    features = ["speed_limit", "through_lanes", "f_system", "aadt"]
     s = _segment_ml(spark, d).na.fill({"speed_limit": 0.0})
-    s = VectorAssembler(inputCols=["speed_limit", "through_lanes", "f_system"], outputCol="features").transform(s)
-    scored, trace = P.zero_inflated_poisson(s, "features", "y", max_rounds=15, tol=1e-4)
-    n = scored.count()
-    ic = P.information_criteria(trace[-1], 2 * 4, n)
-    monotone = all(b >= a - 1e-6 * abs(a) for a, b in zip(trace, trace[1:]))
-    return scored.agg(F.avg("mean").alias("mean_fitted"), F.avg("pi").alias("mean_pi")).select(
+    m = fit_zero_inflated(s, features, "y")
+    ic = m.information
+    monotone = all(b >= a for a, b in zip(m.trace, m.trace[1:], strict=False))
+    coefficients = F.array(*[F.struct(F.lit(c).alias("term"), F.lit(a).alias("count_coefficient"), F.lit(b).alias("zero_coefficient"))
+                             for c, a, b in zip(["intercept", *features], m.count, m.zero, strict=True)])
+    return m.transform(s).agg(F.avg("mean").alias("mean_fitted"), F.avg("pi").alias("mean_pi")).select(
         "*", F.lit(ic["llf"]).alias("llf"), F.lit(ic["aic"]).alias("aic"), F.lit(ic["bic"]).alias("bic"),
-        F.lit(len(trace)).alias("rounds"), F.lit(int(monotone)).alias("llf_monotone"))
+        F.lit(len(m.trace)).alias("rounds"), F.lit(int(monotone)).alias("llf_monotone"), F.explode(coefficients).alias("c")).select("*", "c.*").drop("c")
+
+
+def _folds(spark, d, k):
+    b = ml_base(spark, d).where(F.col("split") == "train")
+    return N.stratified_kfold(b, LABEL, "id", k).select("id", *NUMERIC, *CATEGORICAL, LABEL, "fold")
 
 
 @query("calibrate")
 def calibrate(spark, d):
-    """Isotonic and Platt calibration fitted on validation scores; Brier
-    before / after on the validation set."""
-    b = ml_base(spark, d)
-    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, CATEGORICAL, LABEL, "logistic")
-    val = P.probability(m.transform(b.where(F.col("split") == "val"))).select("id", LABEL, "p")
-    out = O.brier_score(val, LABEL, "p").select(F.lit("raw").alias("method"), "brier_score")
+    """Isotonic and Platt calibration over three folds (no row is
+    calibrated by a fit that saw it); Brier score per fold, before and after."""
+    oof = out_of_fold(_folds(spark, d, 3), NUMERIC, CATEGORICAL, LABEL, "fold", [Candidate("logistic", {"maxIter": 50})], 3)
+    out = None
     for method in ("isotonic", "platt"):
-        f = P.calibrate(val, "p", LABEL, method)
-        out = out.unionByName(O.brier_score(f(val), LABEL, "p_cal").select(F.lit(method).alias("method"), "brier_score"))
+        s = fold_scores(calibrate_folds(oof, "p_0", LABEL, "fold", 3, method), "p_0", LABEL, "fold").select(F.lit(method).alias("method"), "*")
+        out = s if out is None else out.unionByName(s)
     return out
 
 
+@query("isotonic_fit", """
+WITH RECURSIVE s AS (SELECT (id * 7919 % 97) AS x, (id * 31 % 4 >= 2)::INT AS y FROM crashes),
+t AS (SELECT x, count(*) AS w, sum(y) AS s, row_number() OVER (ORDER BY x) AS i FROM s GROUP BY x),
+c AS (SELECT i, x, sum(w) OVER (ORDER BY i) AS cw, sum(s) OVER (ORDER BY i) AS cs FROM t UNION ALL SELECT 0, NULL, 0, 0),
+fit AS (
+  SELECT t.i, t.x, (SELECT max(m) FROM (
+    SELECT a.i, min((b.cs - a.cs) / (b.cw - a.cw)) AS m FROM c a JOIN c b ON b.i >= t.i WHERE a.i < t.i GROUP BY a.i)) AS value FROM t)
+SELECT x::DOUBLE AS x, round_even(value, 9) AS fitted FROM fit""", ("crashes",))
+def isotonic_fit(spark, d):
+    """The isotonic fit of a noisy score, value by value (the oracle: the
+    largest of the least means over stretches around each)."""
+    s = V.crashes(spark, d).select((F.col("id") * 7919 % 97).cast("double").alias("x"), (F.col("id") * 31 % 4 >= 2).cast("int").alias("y"))
+    fitted = apply_isotonic(s.select("x").distinct(), "x", fit_isotonic(s, "x", "y"), "fitted")
+    return fitted.select("x", r6("fitted", 9).alias("fitted"))
+
+
+SEARCH = [*grid("logistic", {"regParam": [0.0, 0.1], "maxIter": [20]}),
+          *grid("random_forest", {"numTrees": [20, 50], "maxDepth": [5, 10]}, n_random=2),
+          *grid("gbt", {"maxIter": [10], "maxDepth": [3, 5]}, n_random=1)]
+
+
 @query("hyperparameter_search")
 def hyperparameter_search(spark, d):
-    """5-fold CV (stratified folds from N4) over a grid; one row
-    per parameter set with the mean fold AUC."""
-    b = ml_base(spark, d).where(F.col("split") == "train")
-    b = N.stratified_kfold(b, LABEL, "id", 5)
-    _, rows = P.cross_validate(b, NUMERIC, [], LABEL, "fold", {"regParam": [0.0, 0.1], "maxIter": [20]})
-    _, rnd = P.cross_validate(b, NUMERIC, [], LABEL, "fold",
-                              {"regParam": [0.0, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5], "maxIter": [20]},
-                              n_random=2)
-    rows = [({"search": "grid", **p}, a) for p, a in rows] + [({"search": "random", **p}, a) for p, a in rnd]
-    return b.agg(F.count(F.lit(1)).alias("train_rows")).select(
-        "train_rows", F.explode(F.array(*[F.struct(F.lit(str(p)).alias("params"), F.lit(a).alias("mean_auc"))
-                                          for p, a in rows])).alias("r")).select("train_rows", "r.*")
+    """Three kinds of models, grid and random, over three stratified
+    folds, categorical features among them; mean AUC per candidate."""
+    scores = cross_val_score(_folds(spark, d, 3), NUMERIC, CATEGORICAL, LABEL, "fold", SEARCH, 3)
+    return scores.groupBy("candidate", "kind", "params").agg(F.avg("auc").alias("mean_auc"), F.min("auc").alias("lowest_auc"), F.max("auc").alias("highest_auc"))
+
+
+@query("cross_val_score")
+def cross_val(spark, d):
+    """AUC of each of five stratified folds."""
+    return cross_val_score(_folds(spark, d, 5), NUMERIC, CATEGORICAL, LABEL, "fold", [Candidate("logistic", {"maxIter": 50})], 5).select("kind", "fold", "n", "auc")
 
 
 @query("learning_curve")
@@ -224,29 +253,46 @@ def voting(spark, d):
 
 @query("stacking")
 def stacking(spark, d):
-    """Meta logistic regression on out-of-fold member scores."""
-    from pyspark.ml.classification import LogisticRegression
-    s = V.scored(spark, d).withColumn("p2", ((F.col("id") * 7919) % 1000) / 1000.0)
-    s = N.stratified_kfold(s, "y", "id", 5).withColumn("y", F.col("y").cast("double"))
-    v = VectorAssembler(inputCols=["p", "p2"], outputCol="meta").transform(s)
-    m = LogisticRegression(featuresCol="meta", labelCol="y").fit(v.where(F.col("fold") != 0))
-    out = P.probability(m.transform(v.where(F.col("fold") == 0)))
-    return _auc(out.withColumn("y", F.col("y").cast("int")), "y", "p")
+    """Three fitted members, their mean and a logistic regression on their
+    out-of-fold probabilities; test AUC of each."""
+    b = ml_base(spark, d)
+    members = [Candidate("logistic", {"maxIter": 50}), Candidate("random_forest", {"numTrees": 50, "maxDepth": 10}),
+               Candidate("gbt", {"maxIter": 10, "maxDepth": 4})]
+    e = Ensemble(_folds(spark, d, 3), NUMERIC, CATEGORICAL, LABEL, "fold", members, 3)
+    test = e.transform(b.where(F.col("split") == "test").select("id", *NUMERIC, *CATEGORICAL, LABEL))
+    out = None
+    for c, name in zip([*e.columns, "p_vote", "p_stack"], [*(m.kind for m in members), "voting", "stacking"], strict=True):
+        a = _auc(test, LABEL, c).withColumn("model", F.lit(name))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+def _embedded(spark, d):
+    e = spark.read.parquet(f"{d}/embeddings.parquet").where(F.col("embedding").isNotNull())
+    return e.select("vec_id", array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("f"))
 
 
 @query("kmeans")
 def kmeans(spark, d):
-    """Elbow (inertia for k = 2..9) plus the k = 4 cluster sizes."""
-    from pyspark.ml.clustering import KMeans
-    pts = VectorAssembler(inputCols=["px", "py"], outputCol="f").transform(V.planar(spark, d))
-    costs = P.kmeans_elbow(pts, "f")
-    m = KMeans(k=4, seed=42, featuresCol="f").fit(pts)
-    sizes = m.transform(pts).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.select(F.lit("k4_size").alias("kind"), F.col("cluster").cast("long").alias("k"),
-                        F.col("n").cast("double").alias("value")).unionByName(
-        pts.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
-            F.struct(F.lit("inertia").alias("kind"), F.lit(k).cast("long").alias("k"), F.lit(c).alias("value"))
-            for k, c in costs])).alias("r")).select("r.*"))
+    """All 64 components, scaled; cost and simplified silhouette for k = 2
+    to 9 (the best of ten starts each), and the sizes of the four clusters."""
+    pts = P.scaled_vectors(_embedded(spark, d), "f")
+    rows = P.kmeans_elbow(pts, "f")
+    sizes = P.kmeans(pts, "f", 4).transform(pts).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
+    long = [("inertia", k, c) for k, c, _ in rows] + [("silhouette", k, s) for k, _, s in rows]
+    return sizes.select(F.lit("k4_size").alias("kind"), F.col("cluster").cast("long").alias("k"), F.col("n").cast("double").alias("value")).unionByName(
+        spark.createDataFrame(long, "kind string, k long, value double"))
+
+
+@query("kmeans_assign", """
+WITH c AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings ORDER BY vec_id LIMIT 4),
+x AS (SELECT e.vec_id, c.cluster, list_distance(CAST(e.embedding AS DOUBLE[]), c.v) AS d FROM embeddings e, c)
+SELECT vec_id, CAST(arg_min(cluster, d) AS INTEGER) AS cluster, round_even(min(d), 6) AS distance FROM x GROUP BY vec_id""")
+def kmeans_assign(spark, d):
+    """Every vector to the nearest of four given centres."""
+    pts = _embedded(spark, d)
+    centres = [r.f.toArray().tolist() for r in pts.orderBy("vec_id").limit(4).collect()]
+    return P.assign_centres(pts, "f", centres).select("vec_id", "cluster", r6("distance").alias("distance"))
 
 
 DBSCAN_SQL = """WITH RECURSIVE
@@ -259,13 +305,21 @@ lab AS (SELECT a, min(b) AS label FROM reach GROUP BY a),
 border AS (SELECT nb.a, min(lab.label) AS bl FROM nb JOIN lab ON nb.b = lab.a GROUP BY nb.a)
 SELECT p.vec_id, CAST(coalesce(lab.label, border.bl, -1) AS BIGINT) AS cluster
 FROM planar p LEFT JOIN lab ON p.vec_id = lab.a LEFT JOIN border ON p.vec_id = border.a"""
+EPS = 0.9
 
 
-@query("dbscan", DBSCAN_SQL, ("planar",))
+@query("dbscan", DBSCAN_SQL.replace("WITH RECURSIVE", "WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),", 1)
+       .replace("planar", "vectors").replace("sqrt(power(a.px - b.px, 2) + power(a.py - b.py, 2)) <= 0.5", f"list_distance(a.v, b.v) <= {EPS}"))
 def dbscan(spark, d):
-    """DBSCAN eps 0.5, min_samples 5, canonical labels (smallest core
-    id of the component), noise -1."""
-    return P.dbscan(V.planar(spark, d), "vec_id", "px", "py", 0.5, 5)
+    """DBSCAN over all 64 components, min_samples 5, canonical labels
+    (smallest core id of the component), noise -1."""
+    return P.dbscan(spark.read.parquet(f"{d}/embeddings.parquet"), "vec_id", "embedding", EPS, 5)
+
+
+@query("dbscan_planar", DBSCAN_SQL, ("planar",))
+def dbscan_planar(spark, d):
+    """P17 in two dimensions: eps 0.5, min_samples 5."""
+    return P.dbscan(V.planar(spark, d), "vec_id", ["px", "py"], 0.5, 5)
 
 
 @query("pca2")
@@ -296,17 +350,14 @@ def batch_score(spark, d):
 
 @query("tree_importance")
 def tree_importance(spark, d):
-    """Ranked random-forest importances of the numeric features with a
-    family tag."""
+    """Ranked random-forest importances of numeric and categorical
+    features (the slots of a category summed) with a family tag."""
     b = ml_base(spark, d)
-    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, [], LABEL, "random_forest",
-                         numTrees=30, maxDepth=6)
+    m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, CATEGORICAL, LABEL, "random_forest", numTrees=100, maxDepth=10)
     fam = {"hour": "temporal", "day_of_week": "temporal", "month": "temporal", "temperature_f": "weather",
-           "visibility_mi": "weather", "x": "location", "y": "location"}
-    rows = P.feature_importances(m, NUMERIC, fam)
-    return b.agg(F.count(F.lit(1)).alias("_n")).select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("feature"), F.lit(v).alias("importance"), F.lit(f).alias("family"))
-        for n, v, f in rows])).alias("r")).select("r.*")
+           "visibility_mi": "weather", "weather_category": "weather", "x": "location", "y": "location", "city": "location"}
+    rows = P.feature_importances(m, b, NUMERIC, CATEGORICAL, fam)
+    return spark.createDataFrame(rows, "feature string, importance double, family string")
 
 
 LEAKAGE_FORBIDDEN = ["severity", "end_time", "end_lat", "end_lng"]
@@ -314,17 +365,20 @@ LEAKAGE_FORBIDDEN = ["severity", "end_time", "end_lat", "end_lng"]
 
 @query("train_and_report")
 def train_and_report(spark, d):
-    """Leakage check -> P6 -> P7 -> P12 (Platt) -> O8 -> O1 report on
-    the test split."""
-    b = ml_base(spark, d)
-    leaked = [c for c in NUMERIC + CATEGORICAL if c in LEAKAGE_FORBIDDEN]
-    if leaked:
-        raise ValueError(f"leakage features in the feature list: {leaked}")
+    """Leakage check -> P6 -> P7 / P8 / P9 -> P12 (isotonic) -> O8 -> O1
+    report of three kinds of models on the test split."""
+    b = ml_base(spark, d).select("id", *NUMERIC, *CATEGORICAL, LABEL, "split")
+    part = lambda s: b.where(F.col("split") == s)
+    candidates = [Candidate("logistic", {"maxIter": 50}), Candidate("random_forest", {"numTrees": 50, "maxDepth": 10}),
+                  Candidate("gbt", {"maxIter": 10, "maxDepth": 4})]
+    return report(part("train"), part("val"), part("test"), NUMERIC, CATEGORICAL, LABEL, candidates, LEAKAGE_FORBIDDEN)
+
+
+@query("sensitivity")
+def sensitivity(spark, d):
+    """A fitted model's probability with temperature and visibility changed
+    by -10 % to +10 % in five steps; mean per feature and step."""
+    b = ml_base(spark, d).select("id", *NUMERIC, *CATEGORICAL, LABEL, "split")
     m = P.fit_classifier(b.where(F.col("split") == "train"), NUMERIC, CATEGORICAL, LABEL, "logistic", maxIter=50)
-    val = P.probability(m.transform(b.where(F.col("split") == "val")))
-    cal = P.calibrate(val, "p", LABEL, "platt")
-    best = O.optimal_threshold(O.threshold_sweep(cal(val).withColumn(LABEL, F.col(LABEL).cast("int")), LABEL, "p_cal"))
-    t = best.where(F.col("metric") == "f1").first()["threshold"]
-    test = cal(P.probability(m.transform(b.where(F.col("split") == "test")))).withColumn(LABEL, F.col(LABEL).cast("int"))
-    rep = O.classification_report(test, LABEL, "p_cal", t)
-    return rep.select("*", _auc(test, LABEL, "p_cal").select("auc").scalar().alias("auc"))
+    s = vary(b.where(F.col("split") == "test"), ["temperature_f", "visibility_mi"], lambda t: P.probability(m.transform(t)), "p", "id", steps=5)
+    return s.groupBy("feature", "step").agg(F.avg("score").alias("mean_score"), F.count("score").alias("n"))

@@ -166,23 +166,22 @@ def source_profile(spark, d):
 
 
 @query("quality_report", f"""
-WITH v AS ({CRASH_CHECKS_SQL}), m AS ({_missing_sql()}), cf AS ({CF_SQL})
+WITH v AS ({CRASH_CHECKS_SQL}), m AS ({_missing_sql()}), cf AS ({CF_SQL}),
+sp AS (SELECT CASE WHEN year <= 1998 THEN 'train' WHEN year = 1999 THEN 'val' ELSE 'test' END AS split, count(*) AS n, avg(high_severity) AS rate FROM cf GROUP BY 1),
+dr AS (SELECT CASE WHEN max(rate) - min(rate) > 0.05 THEN 1 ELSE 0 END AS drift FROM sp)
 SELECT 'validation' AS section, "column" || ':' || "check" AS item, CAST(failures AS DOUBLE) AS value FROM v
 UNION ALL SELECT 'missing_pct', "column", pct FROM m
 UNION ALL SELECT 'class_share', CAST(high_severity AS VARCHAR), round_even(count(*) / (SELECT count(*) FROM cf), 6) FROM cf GROUP BY high_severity
-UNION ALL SELECT 'duplicates', 'id', CAST(count(*) - count(DISTINCT id) AS DOUBLE) FROM crashes""", ("crashes",))
+UNION ALL SELECT 'duplicates', 'id', CAST(count(*) - count(DISTINCT id) AS DOUBLE) FROM crashes
+UNION ALL SELECT 'split', split || ':n', CAST(n AS DOUBLE) FROM sp
+UNION ALL SELECT 'split', split || ':rate', round_even(rate, 6) FROM sp
+UNION ALL SELECT 'split', split || ':drift', CAST(drift AS DOUBLE) FROM sp, dr""", ("crashes",))
 def quality_report(spark, d):
-    """Validation + missing profile + class balance + duplicates in one
-    long report."""
+    """Validation + missing profile + class balance + duplicates + split
+    comparison (M7) in one long report."""
+    from ..plans.workzones import quality_report as report
     c = V.crashes(spark, d)
-    v = M.validate(c, crash_checks(), unique=["county"]).select(
-        F.lit("validation").alias("section"), F.concat_ws(":", "column", "check").alias("item"),
-        F.col("failures").cast("double").alias("value"))
-    m = M.missing_profile(c, MISSING_COLS).select(F.lit("missing_pct").alias("section"), F.col("column").alias("item"),
-                                                  r6("pct").alias("value"))
-    b = M.class_balance(cf(spark, d), "high_severity").select(
-        F.lit("class_share").alias("section"), F.col("high_severity").cast("string").alias("item"),
-        r6("share").alias("value"))
-    dup = c.agg((F.count(F.lit(1)) - F.count_distinct("id")).cast("double").alias("value")).select(
-        F.lit("duplicates").alias("section"), F.lit("id").alias("item"), "value")
-    return v.unionByName(m).unionByName(b).unionByName(dup)
+    target = cf(spark, d).withColumn("split", F.when(F.col("year") <= 1998, "train").when(F.col("year") == 1999, "val").otherwise("test"))
+    t = c.join(target.select("id", "high_severity", "split"), "id")
+    r = report(t, crash_checks(), "id", MISSING_COLS, "high_severity", "split", unique=["county"])
+    return r.withColumn("value", r6("value"))

@@ -179,8 +179,11 @@ def write_flat_export(spark, d):
     return A.read_csv(spark, path, "road_event_id long, road_name string, start_ts string, vehicle_impact string")
 
 
-@query("write_summary_json")
+@query("write_summary_json", """
+SELECT 'total' AS section, 'rows' AS item, CAST(count(*) AS DOUBLE) AS value FROM crashes
+UNION ALL SELECT 'total', 'total', CAST(sum(severity) AS DOUBLE) FROM crashes
+UNION ALL SELECT 'distribution', county, CAST(count(*) AS DOUBLE) FROM crashes GROUP BY county
+UNION ALL SELECT 'top', CAST(id AS VARCHAR), CAST(severity AS DOUBLE) FROM (SELECT id, severity FROM crashes ORDER BY severity DESC, id LIMIT 5)""", ("crashes",))
 def write_summary_json(spark, d):
-    """One-row nested JSON summary (rows-only check)."""
-    c = V.crashes(spark, d)
-    return B.summary_struct(c, "county", "severity", "id", 5)
+    """Summary as JSON lines, written and read back."""
+    return B.write_summary_json(V.crashes(spark, d), A.shared_dir(spark, "summary"), "county", "severity", "id", 5)

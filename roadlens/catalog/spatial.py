@@ -6,12 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import testviews as V
-from ..functions import features as E
 from ..functions import geo as GEO
-from ..functions import temporal as T
-from ..functions.binning import TRAINING, bin_right_closed
 from ..operators import joins as G
 from ..operators import spatial as S
+from ..plans import workzones as W
 from .base import query, r6
 
 D2 = "sqrt(power({a}.x - {b}.x, 2) + power({a}.y - {b}.y, 2))"
@@ -233,28 +231,6 @@ def match_report(spark, d):
 
 # --------------------------------------------------------------- X3-X5
 
-def workzone_traffic(spark, d):
-    """X3 build_workzone_traffic: C4 -> F2 (500 m) -> U1 -> E4/E15 -> L1 -> E16."""
-    from ..operators.filters import require_not_null
-    w = require_not_null(V.workzones(spark, d), ["x", "y"])
-    st = V.stations(spark, d)
-    n = S.nearest_within(w, st, "road_event_id", "statn_id", 500.0)
-    j = (w.join(n, "road_event_id")
-         .join(st.select("statn_id", F.col("aadt").alias("aadt_rpt_qty"), F.col("county").alias("station_county")),
-               "statn_id", "left"))
-    f = G.fallback_fill(j, "aadt_rpt_qty", "station_county", "aadt_filled", "aadt_source")
-    crashes = S.count_within(w, V.crashes(spark, d), "road_event_id", "id", 500.0, out="crash_count")
-    f = f.join(crashes, "road_event_id").withColumn("duration_days", T.duration_days("end_ts", "start_ts"))
-    ex = E.wz_exposure("aadt_filled", "duration_days", "crash_count")
-    tr = E.traffic_risk("aadt_filled", "duration_days", "vehicle_impact", "total_num_lanes")
-    return f.select(
-        "road_event_id", "statn_id", r6("distance", 3).alias("distance"), r6("aadt_filled").alias("aadt_filled"),
-        "aadt_source", "duration_days", "crash_count",
-        r6(ex["vehicle_miles_traveled"]).alias("vmt"), r6(ex["crash_rate_per_mvmt"]).alias("crash_rate_per_mvmt"),
-        bin_right_closed("aadt_filled", *TRAINING["aadt"]).alias("traffic_volume_category"),
-        r6(tr["exposure_score"]).alias("exposure_score"), r6(tr["lane_closure_risk"]).alias("lane_closure_risk"))
-
-
 @query("build_workzone_traffic", f"""
 WITH n AS ({NEAREST_STATION_SQL}),
 j AS (SELECT w.*, n.statn_id, n.distance, s.aadt AS aadt_rpt_qty, s.county AS station_county
@@ -275,27 +251,30 @@ SELECT road_event_id, statn_id, distance, round_even(aadt_filled, 6) AS aadt_fil
        round_even(CASE WHEN vehicle_impact = 'some-lanes-closed' THEN aadt_filled / nullif(total_num_lanes, 0) ELSE 0.0 END, 6) AS lane_closure_risk
 FROM f""", ("workzones", "stations", "crashes"))
 def build_workzone_traffic(spark, d):
-    return workzone_traffic(spark, d)
+    """X3 on the test views."""
+    t = W.build_workzone_traffic(V.workzones(spark, d), V.stations(spark, d), V.crashes(spark, d))
+    return t.withColumns({c: r6(c, 3 if c == "distance" else 6) for c in (
+        "distance", "aadt_filled", "vmt", "crash_rate_per_mvmt", "exposure_score", "lane_closure_risk")})
 
 
 @query("crash_workzone_match", f"""
-WITH c AS (SELECT * FROM crashes WHERE junction AND x IS NOT NULL AND y IS NOT NULL),
-p AS (SELECT c.id, w.road_event_id, c.severity, {D2.format(a='c', b='w')} AS d FROM c JOIN workzones w ON {D2.format(a='c', b='w')} <= 500)
+WITH c AS (SELECT *, 1 + id % 5 AS code, CASE WHEN id % 7 = 0 THEN 'NULL' ELSE CAST(id % 3 AS VARCHAR) END AS deaths, id % 4 AS injuries
+           FROM crashes WHERE junction AND x IS NOT NULL AND y IS NOT NULL),
+p AS (SELECT c.*, w.road_event_id, {D2.format(a='c', b='w')} AS d FROM c JOIN workzones w ON {D2.format(a='c', b='w')} <= 500)
 SELECT road_event_id, CAST(count(*) AS BIGINT) AS crash_count,
-       CAST(count(*) FILTER (WHERE severity = 1) AS BIGINT) AS sev1_count, CAST(count(*) FILTER (WHERE severity = 2) AS BIGINT) AS sev2_count,
-       CAST(count(*) FILTER (WHERE severity = 3) AS BIGINT) AS sev3_count, CAST(count(*) FILTER (WHERE severity = 4) AS BIGINT) AS sev4_count,
+       {', '.join(f"CAST(count(*) FILTER (WHERE code = {k}) AS BIGINT) AS {n}_count" for k, n in W.SEVERITY_NAMES.items())},
+       sum(coalesce(TRY_CAST(deaths AS DOUBLE), 0.0)) AS death_cnt_sum, CAST(sum(injuries) AS DOUBLE) AS injury_cnt_sum,
        round_even(min(d), 3) AS distance_min, round_even(avg(d), 3) AS distance_mean, round_even(max(d), 3) AS distance_max
 FROM p GROUP BY road_event_id""", ("crashes", "workzones"))
 def crash_workzone_match(spark, d):
-    """C3 (junction crashes) -> C4 -> F5 (500 m) -> H3 per-zone stats."""
-    from ..operators.filters import filter_equals, require_not_null
-    c = require_not_null(filter_equals(V.crashes(spark, d), "junction", True), ["x", "y"])
-    p = S.within_pairs(c, V.workzones(spark, d), "id", "road_event_id", 500.0).join(c.select("id", "severity"), "id")
-    return p.groupBy("road_event_id").agg(
-        F.count(F.lit(1)).alias("crash_count"),
-        *[F.count_if(F.col("severity") == k).alias(f"sev{k}_count") for k in (1, 2, 3, 4)],
-        r6(F.min("distance"), 3).alias("distance_min"), r6(F.avg("distance"), 3).alias("distance_mean"),
-        r6(F.max("distance"), 3).alias("distance_max"))
+    """C3 (junction crashes) -> C4 -> F5 (500 m) -> H3 with all five
+    severity codes, deaths (text with 'NULL') and injuries."""
+    i = F.col("id")
+    c = V.crashes(spark, d).withColumns({
+        "code": 1 + i % 5, "deaths": F.when(i % 7 == 0, "NULL").otherwise((i % 3).cast("string")), "injuries": i % 4})
+    pairs = W.match_crashes_to_workzones(c, V.workzones(spark, d))
+    s = W.zone_crash_stats(pairs, severity="code", deaths="deaths", injuries="injuries")
+    return s.withColumns({f"distance_{k}": r6(f"distance_{k}", 3) for k in ("min", "mean", "max")})
 
 
 @query("workzone_proximity", f"""
@@ -307,13 +286,9 @@ SELECT id, round_even(nn.d, 3) AS wz_nearest_distance_m, CAST(n AS BIGINT) AS wz
             WHEN n > 5 THEN 'high' END AS wz_density_cat
 FROM nn JOIN cnt USING (id)""", ("crashes", "workzones"))
 def workzone_proximity(spark, d):
-    """F4 nearest work zone (unbounded) -> F6 count within 1 km -> L1."""
-    c, w = V.crashes(spark, d), V.workzones(spark, d)
-    nn = S.nearest_unbounded(c, w, "id", "road_event_id")
-    cnt = S.count_within(c, w, "id", "road_event_id", 1000.0, out="wz_count_1km")
-    j = nn.join(cnt, "id")
-    return j.select("id", r6("distance", 3).alias("wz_nearest_distance_m"), "wz_count_1km",
-                    bin_right_closed("wz_count_1km", *TRAINING["wz_density"]).alias("wz_density_cat"))
+    """X5 on the test views."""
+    t = W.workzone_proximity(V.crashes(spark, d), V.workzones(spark, d))
+    return t.withColumn("wz_nearest_distance_m", r6("wz_nearest_distance_m", 3))
 
 
 def _tm_sql(lon: str, lat: str) -> tuple[str, str]:

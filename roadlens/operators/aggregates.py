@@ -4,17 +4,10 @@ a literal), never a cross join or a collect."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def quantile(col, p, accuracy: int | None = None) -> Column:
-    """Exact linear-interpolated percentile (pandas/``quantile_cont``
-    semantics; memory per group bounded by the distinct values), or with
-    ``accuracy`` the bounded-memory sketch ``percentile_approx`` for
-    continuous high-cardinality columns at scale."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.percentile(c, p) if accuracy is None else F.percentile_approx(c, p, accuracy)
+from .quantiles import exact_quantiles, quantile
 
 
 def rate_by_group(df: DataFrame, key: str | list[str], target: str, rate: str = "rate",
@@ -42,16 +35,15 @@ def crashes_per_segment(pairs: DataFrame, key: str, target: str) -> DataFrame:
 
 
 def workzone_features(df: DataFrame, zone: str, count_col: str, mean_cols: dict[str, str],
-                      meta_cols: list[str], order_col: str, q: float = 0.75,
-                      accuracy: int | None = None) -> DataFrame:
+                      meta_cols: list[str], order_col: str, q: float = 0.75) -> DataFrame:
     """H2: count + means per zone, the first meta row per zone (by an explicit
     order column, via ``min_by`` so a hot zone is reduced map-side), and
-    ``high_risk = count >= quantile(count, q)`` with the quantile as a scalar
-    subquery over the (one row per zone) result."""
+    ``high_risk = count >= quantile(count, q)`` over the (one row per zone)
+    result."""
     meta = F.min_by(F.struct(*[F.col(c) for c in meta_cols]), F.col(order_col)).alias("_meta")
     aggs = [F.count(count_col).alias("crash_count")] + [F.avg(src).alias(dst) for src, dst in mean_cols.items()]
     per = df.groupBy(zone).agg(meta, *aggs).select(zone, "_meta.*", *[a for a in ["crash_count", *mean_cols.values()]])
-    q75 = per.select(quantile("crash_count", q, accuracy)).scalar()
+    q75 = quantile(per, "crash_count", q)
     return per.withColumn("high_risk", (F.col("crash_count") >= q75).cast("int"))
 
 
@@ -94,19 +86,24 @@ def resample_counts(df: DataFrame, ts: str, unit: str = "day") -> DataFrame:
     return cal.join(counts, "period", "left").select("period", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max and zero share per
-    column in long form (one aggregate, then stack)."""
+    column in long form: one aggregate, and the exact quartiles of all columns
+    together, joined (a row per column)."""
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
         aggs.append(F.struct(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), quantile(x, 0.25, accuracy).alias("p25"),
-            quantile(x, 0.5, accuracy).alias("p50"), quantile(x, 0.75, accuracy).alias("p75"), F.max(x).alias("max"),
+            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
             (F.count_if(x == 0) / F.count(F.lit(1))).alias("zero_share")).alias(c))
     one = df.agg(*aggs)
-    return one.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s")).select("s.*")
+    at = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
+        at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"))
+    long = one.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s")).select("s.*")
+    return long.join(quartiles, "column", "left").select(
+        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max", "zero_share")
 
 
 def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -121,7 +118,8 @@ def correlation_long(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def target_correlation(df: DataFrame, columns: list[str], target: str, top_n: int) -> DataFrame:
     """H15 + H16: correlation of each feature with a 0/1 target, the
-    point-biserial t statistic, ranked by |r|, top N."""
+    point-biserial t statistic and its two-sided p-value, ranked by |r|, top N."""
+    from ..functions.stats import correlation_p_value
     structs = []
     for c in columns:
         x, y = F.col(c).cast("double"), F.col(target).cast("double")
@@ -129,8 +127,8 @@ def target_correlation(df: DataFrame, columns: list[str], target: str, top_n: in
         structs.append(F.struct(F.lit(c).alias("feature"), F.corr(x, y).alias("r"), n.alias("n")))
     one = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(structs)])
     long = one.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(columns))])).alias("s")).select("s.*")
-    t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r")))
-    return (long.withColumn("abs_r", F.abs("r")).withColumn("t", t)
+    t = F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r")))
+    return (long.withColumn("abs_r", F.abs("r")).withColumns({"t": t, "p_value": correlation_p_value(F.col("r"), F.col("n"))})
             .orderBy(F.desc("abs_r"), F.asc("feature")).limit(top_n))
 
 
@@ -147,13 +145,14 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         {"lo": lo + F.col("bin") * width, "hi": lo + (F.col("bin") + 1) * width})
 
 
-def box_stats(df: DataFrame, group: str, column: str, accuracy: int | None = None) -> DataFrame:
-    """Quartiles per category, 1.5 IQR whiskers, outlier count (second
-    pass joined on the per-category quartile table)."""
+def box_stats(df: DataFrame, group: str, column: str) -> DataFrame:
+    """Exact quartiles per category, 1.5 IQR whiskers, outlier count (a
+    last pass joined on the per-category quartile table)."""
     x = F.col(column)
     base = df.where(F.col(group).isNotNull() & x.isNotNull())
-    q = base.groupBy(group).agg(quantile(x, [0.25, 0.5, 0.75], accuracy).alias("q"))
-    q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    at = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
+    q = exact_quantiles(base, [column], [0.25, 0.5, 0.75], [group]).groupBy(group).agg(
+        at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     q = q.withColumns({"lower_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     out = (base.join(q, group).groupBy(group).agg(

@@ -81,11 +81,11 @@ def brier_score(df: DataFrame, y: str, p: str) -> DataFrame:
     return df.agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier_score"))
 
 
-def top_decile_report(df: DataFrame, y: str, p: str, q: float = 0.9, accuracy: int | None = None) -> DataFrame:
+def top_decile_report(df: DataFrame, y: str, p: str, q: float = 0.9) -> DataFrame:
     """Rows with p >= the q-quantile: count, precision (mean label) and
     enrichment over the overall mean (0 when the overall mean is 0)."""
-    from .aggregates import quantile
-    t = df.select(quantile(p, q, accuracy)).scalar()
+    from .quantiles import quantile
+    t = quantile(df, p, q)
     overall = df.select(F.avg(y)).scalar()
     top = df.where(F.col(p) >= t)
     return top.agg(F.count(F.lit(1)).alias("top_count"), F.coalesce(F.avg(y), F.lit(0.0)).alias("top_mean")) \
@@ -151,7 +151,8 @@ def regression_report(df: DataFrame, y: str, yhat: str, eps: float = 1e-10) -> D
         F.avg(dev).alias("poisson_deviance"), F.avg(yhat).alias("mean_pred"), F.avg(yc).alias("mean_true"),
         F.avg(F.when(F.col(yhat) == 0, 1.0).otherwise(0.0)).alias("pred_zero_share"),
         F.avg(F.when(yc == 0, 1.0).otherwise(0.0)).alias("true_zero_share"))
-    t = df.select(F.percentile(yhat, 0.9)).scalar()
+    from .quantiles import quantile
+    t = quantile(df, yhat, 0.9)
     top = df.where(F.col(yhat) >= t).agg(F.avg(yc).alias("top10_actual_mean"), F.count(F.lit(1)).alias("top10_count"))
     j = base.select("*", top.select("top10_actual_mean").scalar().alias("top10_actual_mean"),
                     top.select("top10_count").scalar().alias("top10_count"))

@@ -46,6 +46,38 @@ def aggregate_with_span(df: DataFrame, key: str, ts: str) -> DataFrame:
                                F.max(ts).alias("last_date"))
 
 
+#: Levels of day blocks (2^22 days).
+LEVELS = 22
+
+
+def interval_cover(points: DataFrame, point_ts: str, intervals: DataFrame, start: str, end: str, key: str,
+                   count: str = "active", first: str = "first") -> DataFrame:
+    """G5 without pairs: every row of ``points`` with the number of intervals
+    whose days ``[start, end]`` hold its day, and the lowest ``key`` of them
+    (0 and null if none). An interval is cut into blocks of 1, 2, 4, ... days
+    that lie at multiples of their length: two for each length at most. Blocks
+    are summed up; a day looks up the blocks that hold it, one of each length.
+    So an interval of n days makes 2 log2(n) rows and a day LEVELS, whatever
+    the number of pairs. Null dates are in nothing; intervals that end before
+    they start hold nothing."""
+    day = lambda c: F.unix_date(F.to_date(c)).cast("long")
+    iv = intervals.select(day(start).alias("_s"), (day(end) + 1).alias("_e"), F.col(key).alias("_k")).where("_s < _e")
+    blocks = []
+    for level in range(LEVELS):
+        low, high = -F.shiftright(-F.col("_s"), level), F.shiftright(F.col("_e"), level)
+        blocks += [F.when((low < high) & (low % 2 != 0), F.struct(F.lit(level).alias("level"), low.alias("at"))),
+                   F.when((low < high) & (high % 2 != 0), F.struct(F.lit(level).alias("level"), (high - 1).alias("at")))]
+    held = (iv.select("_k", F.explode(F.array_compact(F.array(*blocks))).alias("b"))
+            .groupBy("b.level", "b.at").agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("k")))
+    days = points.select(day(point_ts).alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    up = days.select("_day", F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.shiftright(F.col("_day"), level).alias("at"))
+                                                 for level in range(LEVELS)])).alias("b"))
+    per_day = (up.select("_day", "b.level", "b.at").join(held, ["level", "at"])
+               .groupBy("_day").agg(F.sum("n").alias(count), F.min("k").alias(first)))
+    return (points.withColumn("_day", day(point_ts)).join(per_day, "_day", "left").drop("_day")
+            .withColumn(count, F.coalesce(count, F.lit(0)).cast("long")))
+
+
 def range_interval_join(points: DataFrame, point_ts: str, intervals: DataFrame, start: str, end: str,
                         max_span_months: int | None = None) -> DataFrame:
     """``start <= t <= end`` theta join made an equi-join: each interval is
@@ -72,9 +104,10 @@ def anti(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 def match_report(matched: DataFrame, total_rows: DataFrame, key: str, distance: str) -> DataFrame:
     """Match count, rate, distance mean/median/max, distinct right keys."""
     total = total_rows.select(F.count(F.lit(1))).scalar()
+    from .quantiles import quantile
     m = matched.where(F.col(distance).isNotNull())
     return m.agg(F.count(F.lit(1)).alias("matched"), (F.count(F.lit(1)) / total).alias("match_rate"),
-                 F.avg(distance).alias("mean_distance"), F.median(distance).alias("median_distance"),
+                 F.avg(distance).alias("mean_distance"), quantile(m, distance, 0.5).alias("median_distance"),
                  F.max(distance).alias("max_distance"), F.count_distinct(key).alias("distinct_right"))
 
 
@@ -85,7 +118,8 @@ def fallback_fill(df: DataFrame, value: str, group: str, out: str = "filled",
     is whatever the caller passes). Group means: one row per group, joined."""
     known = df.where(F.col(value).isNotNull())
     gm = known.where(F.col(group).isNotNull()).groupBy(group).agg(F.avg(value).alias("_gm"))
-    med = known.select(F.median(value)).scalar()
+    from .quantiles import quantile
+    med = quantile(known, value, 0.5)
     j = df.join(gm, group, "left")
     return (j.withColumn(out, F.coalesce(F.col(value), F.col("_gm"), med))
             .withColumn(source, F.when(F.col(value).isNotNull(), "matched")

@@ -1,36 +1,32 @@
 """Learning on tables (P1-P21) with Spark ML and DataFrame algorithms.
 
-Fitted statistics (medians, means, std) are scalar subqueries over the
-training split, so fitting and applying stay one lazy plan. Models use
-``pyspark.ml``; iterative algorithms (ZIP EM, DBSCAN components) checkpoint
-every round into ``spark.checkpoint.dir`` and stop on a counted change."""
+Fitted statistics are exact (medians: ``quantiles``) or scalar subqueries over
+the training split. Models use ``pyspark.ml``."""
 
 from __future__ import annotations
 
-import math
+import uuid
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, PCA, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import Imputer, OneHotEncoder, PCA, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, IsotonicRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .spatial import _checkpoint
+from ..session import ensure_checkpoint_dir
+from .calibration import calibrate  # noqa: F401  P12
+from .clustering import dbscan  # noqa: F401  P17
 
 
 # ---------------------------------------------------------------- P1-P5
 
-def median_impute(train: DataFrame, df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
-    """Train medians (scalar subqueries; exact, or a bounded sketch with
-    ``accuracy``) filled into any split."""
-    from .aggregates import quantile
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), train.select(quantile(c, 0.5, accuracy)).scalar())
-                           for c in columns})
+def median_impute(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Exact train medians (a number per column) filled into any split."""
+    from .quantiles import medians
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m).cast("double")) for c, m in medians(train, columns).items()})
 
 
 def mean_impute(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
@@ -44,19 +40,25 @@ def mean_impute(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFram
 def standard_scale(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
     """(x - mean) / population std fitted on train (sklearn semantics;
     ML ``StandardScaler`` divides by the sample std)."""
-    out = {}
-    for c in columns:
-        mu = train.select(F.avg(c)).scalar()
-        sd = train.select(F.stddev_pop(c)).scalar()
-        out[c] = F.when(sd == 0, F.lit(0.0)).otherwise((F.col(c) - mu) / sd)
-    return df.withColumns(out)
+    # one scan for the statistics of all columns
+    s = train.agg(F.struct(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(f"s{i}") for i, c in enumerate(columns)])).scalar()
+    return df.withColumns({c: F.when(s[f"s{i}"]["std"] == 0, F.lit(0.0)).otherwise((F.col(c) - s[f"s{i}"]["mean"]) / s[f"s{i}"]["std"])
+                           for i, c in enumerate(columns)})
+
+
+#: Categories that P4 makes columns of.
+MOST_CATEGORIES = 1000
 
 
 def one_hot(train: DataFrame, df: DataFrame, column: str, drop_first: bool = True) -> DataFrame:
     """Sorted categories of the training split (their list defines the
-    output schema, so it is read once: bounded by the column's
-    cardinality); unknown values -> all zero; names ``column_value``."""
-    cats = sorted(r[0] for r in train.select(column).where(F.col(column).isNotNull()).distinct().collect())
+    output schema, so it is read once); unknown values -> all zero; names
+    ``column_value``. More than ``MOST_CATEGORIES`` are an error: they would
+    be as many columns."""
+    found = train.select(column).where(F.col(column).isNotNull()).distinct().limit(MOST_CATEGORIES + 1).collect()
+    if len(found) > MOST_CATEGORIES:
+        raise ValueError(f"{column} has over {MOST_CATEGORIES} categories")
+    cats = sorted(r[0] for r in found)
     keep = cats[1:] if drop_first else cats
     return df.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int")
                            for v in keep})
@@ -71,11 +73,29 @@ def label_encode(df: DataFrame, column: str, out: str | None = None) -> DataFram
 
 # ---------------------------------------------------------------- P6-P10
 
+class MedianImputer(Estimator):
+    """Fits the exact medians of the columns; the model is a SQL projection (so
+    a fitted pipeline is saved and loaded like any). A column without values
+    is filled with 0."""
+
+    def __init__(self, columns: list[str]):
+        super().__init__()
+        self.columns = columns
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        from .quantiles import medians
+        filled = ", ".join(f"coalesce(nullif(cast(`{c}` as double), double('NaN')), double('{m if m is not None else 0.0!r}')) AS `{c}__imp`"
+                           for c, m in medians(dataset, self.columns).items())
+        return SQLTransformer(statement=f"SELECT *{', ' + filled if filled else ''} FROM __THIS__")
+
+    def copy(self, extra=None):
+        return MedianImputer(list(self.columns))
+
+
 def feature_pipeline(numeric: list[str], categorical: list[str], scale: bool = True) -> list:
     """Median imputer + scaler for numbers, indexer + one-hot for
     categories (unknown kept as its own slot), assembled to ``features``."""
-    stages = [Imputer(strategy="median", relativeError=0.0, inputCols=numeric,
-                      outputCols=[f"{c}__imp" for c in numeric])]
+    stages = [MedianImputer(numeric)]
     num_vec = VectorAssembler(inputCols=[f"{c}__imp" for c in numeric], outputCol="num__vec", handleInvalid="keep")
     stages.append(num_vec)
     num_out = "num__vec"
@@ -143,101 +163,57 @@ def probability(df: DataFrame, out: str = "p") -> DataFrame:
     return df.withColumn(out, vector_to_array("probability")[1])
 
 
-# ---------------------------------------------------------------- P11 ZIP
-
-def _log_factorial(y):
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(y.cast("int"), F.lit(1))), F.lit(0.0),
-                       lambda acc, k: acc + F.ln(k.cast("double")))
-
-
-def zero_inflated_poisson(df: DataFrame, features: str, label: str, max_rounds: int = 50, tol: float = 1e-6,
-                          reg: float = 0.0) -> tuple[DataFrame, list[float]]:
-    """Zero-inflated Poisson by EM (Lambert 1992). E-step: posterior
-    structural-zero probability ``z`` as a column expression. M-step: a
-    Poisson GLM weighted by 1 - z and a logistic model on duplicated rows
-    (label 1 weight z, label 0 weight 1 - z). Every round is checkpointed;
-    the loop ends when the log-likelihood gain is below ``tol``. Returns the
-    scored frame (``pi``, ``lam``, ``mean``) and the log-likelihood trace."""
-    y = F.col(label).cast("double")
-    base = _checkpoint(df.select(features, y.alias("_y"), _log_factorial(F.col(label)).alias("_lf")))
-    z0 = F.when(F.col("_y") == 0, 0.5).otherwise(0.0)
-    cur = base.withColumn("_z", z0)
-    trace: list[float] = []
-    pois = logit = None
-    for _ in range(max_rounds):
-        pw = cur.withColumn("_w", F.greatest(1 - F.col("_z"), F.lit(1e-9)))
-        pois = GeneralizedLinearRegression(featuresCol=features, labelCol="_y", weightCol="_w", family="poisson",
-                                           link="log", regParam=reg, maxIter=50).fit(pw)
-        dup = cur.select(features, F.lit(1.0).alias("_l"), F.col("_z").alias("_w")).unionByName(
-            cur.select(features, F.lit(0.0).alias("_l"), (1 - F.col("_z")).alias("_w"))).where(F.col("_w") > 0)
-        logit = LogisticRegression(featuresCol=features, labelCol="_l", weightCol="_w", regParam=reg,
-                                   maxIter=100).fit(dup)
-        scored = pois.transform(cur.drop("_z")).withColumnRenamed("prediction", "lam")
-        scored = logit.transform(scored).withColumn("pi", vector_to_array("probability")[1]) \
-            .drop("rawPrediction", "probability", "prediction")
-        lam, pi = F.col("lam"), F.col("pi")
-        ll = F.when(F.col("_y") == 0, F.ln(pi + (1 - pi) * F.exp(-lam))).otherwise(
-            F.ln(1 - pi) + F.col("_y") * F.ln(lam) - lam - F.col("_lf"))
-        z = F.when(F.col("_y") == 0, pi / (pi + (1 - pi) * F.exp(-lam))).otherwise(F.lit(0.0))
-        nxt = _checkpoint(scored.withColumn("_ll", ll).withColumn("_z", z))
-        trace.append(nxt.select(F.sum("_ll")).first()[0])
-        cur = nxt.drop("lam", "pi", "_ll")
-        if len(trace) > 1 and abs(trace[-1] - trace[-2]) < tol:
-            break
-    out = nxt.withColumn("mean", (1 - F.col("pi")) * F.col("lam"))
-    return out, trace
-
-
-def information_criteria(llf: float, n_params: int, n: int) -> dict:
-    return {"llf": llf, "aic": 2 * n_params - 2 * llf, "bic": n_params * math.log(n) - 2 * llf}
-
-
-# ---------------------------------------------------------------- P12-P16
-
-def calibrate(val_scored: DataFrame, score: str, label: str, method: str = "isotonic"):
-    """Isotonic regression or Platt scaling (logistic on the score)
-    fitted on validation scores; returns a function DataFrame -> DataFrame
-    adding ``p_cal``."""
-    if method == "isotonic":
-        m = IsotonicRegression(featuresCol="_s", labelCol=label, predictionCol="p_cal").fit(
-            VectorAssembler(inputCols=[score], outputCol="_s").transform(val_scored))
-        return lambda df: m.transform(VectorAssembler(inputCols=[score], outputCol="_s").transform(df)).drop("_s")
-    m = LogisticRegression(featuresCol="_s", labelCol=label, probabilityCol="_prob", rawPredictionCol="_raw",
-                           predictionCol="_pred").fit(VectorAssembler(inputCols=[score], outputCol="_s").transform(val_scored))
-
-    def apply(df):
-        t = m.transform(VectorAssembler(inputCols=[score], outputCol="_s").transform(df))
-        return t.withColumn("p_cal", vector_to_array("_prob")[1]).drop("_s", "_prob", "_raw", "_pred")
-    return apply
-
-
-def cross_validate(train: DataFrame, numeric, categorical, label: str, fold_col: str, grid: dict,
-                   folds: int = 5, parallelism: int = 4, seed: int = 42, n_random: int | None = None):
-    """K-fold CV over a param grid with a user fold column (the
-    folds come from N4/N5), AUC metric; returns the CV model and a table
-    of (params, mean AUC)."""
-    # every fold fit re-reads its input: materialise it once (reliable checkpoint)
-    train = _checkpoint(train.select(*numeric, *categorical, label, fold_col))
-    lr = LogisticRegression(labelCol=label, featuresCol="features")
-    pipe = Pipeline(stages=feature_pipeline(numeric, categorical) + [lr])
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(getattr(lr, name), values)
-    maps = b.build()
-    if n_random is not None and n_random < len(maps):
-        # random search: a seeded sample of the grid's parameter maps
-        import random
-        maps = random.Random(seed).sample(maps, n_random)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(labelCol=label),
-                        foldCol=fold_col, numFolds=folds, parallelism=parallelism, seed=seed)
-    model = cv.fit(train)
-    rows = [({p.name: v for p, v in pm.items()}, float(m)) for pm, m in zip(maps, model.avgMetrics)]
-    return model, rows
-
-
-def kmeans_elbow(df: DataFrame, features: str, ks=range(2, 10), seed: int = 42) -> list[tuple[int, float]]:
-    """Training cost (inertia) per k."""
-    return [(k, KMeans(k=k, seed=seed, featuresCol=features).fit(df).summary.trainingCost) for k in ks]
+# P11 is in ``zero_inflated``, P12 in ``calibration``, P13 - P15 in ``selection``
+
+# ---------------------------------------------------------------- P15-P18
+
+def scaled_vectors(df: DataFrame, features: str) -> DataFrame:
+    """``df`` with the vector column ``features`` centred and scaled to unit
+    deviation, written: clustering reads it many times."""
+    names = df.columns
+    m = StandardScaler(inputCol=features, outputCol="_scaled", withMean=True, withStd=True).fit(df)
+    out = m.transform(df).drop(features).withColumnRenamed("_scaled", features).select(*names)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/scaled-{uuid.uuid4().hex}"
+    out.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def kmeans(df: DataFrame, features: str, k: int, starts: int = 10, seed: int = 42) -> KMeansModel:
+    """K-means over a vector column, the best of ``starts`` starts by its
+    cost (sum of squared distances)."""
+    fits = [KMeans(k=k, seed=seed + i, featuresCol=features, maxIter=50).fit(df) for i in range(starts)]
+    return min(fits, key=lambda m: m.summary.trainingCost)
+
+
+def centre_distances(features: str, centres: list) -> Column:
+    """The distances of a vector column to each of the centres, an array."""
+    v = vector_to_array(F.col(features))
+    rows = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    return F.transform(rows, lambda c: F.sqrt(F.aggregate(F.zip_with(v, c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)))
+
+
+def assign_centres(df: DataFrame, features: str, centres: list, out: str = "cluster") -> DataFrame:
+    """``df`` with the number of its nearest centre (the first of equals) and
+    the distance to it."""
+    d = df.withColumn("_d", centre_distances(features, centres))
+    return d.withColumns({"distance": F.array_min("_d"), out: (F.array_position("_d", F.array_min("_d")) - 1).cast("int")}).drop("_d")
+
+
+def simplified_silhouette(df: DataFrame, features: str, centres: list) -> DataFrame:
+    """One row ``silhouette``: the mean of (b - a) / max(a, b), a the distance
+    to the nearest centre and b to the second; one pass, no pairs of rows."""
+    d = F.array_sort(centre_distances(features, centres))
+    a, b = F.get(d, F.lit(0)), F.get(d, F.lit(1))
+    return df.agg(F.avg(F.when(b > 0, (b - a) / b).otherwise(0.0)).alias("silhouette"))
+
+
+def kmeans_elbow(df: DataFrame, features: str, ks=range(2, 10), starts: int = 10, seed: int = 42) -> list[tuple[int, float, float]]:
+    """(k, cost, simplified silhouette) of the best of ``starts`` per k."""
+    out = []
+    for k in ks:
+        m = kmeans(df, features, k, starts, seed)
+        out.append((k, float(m.summary.trainingCost), float(simplified_silhouette(df, features, m.clusterCenters()).first()[0])))
+    return out
 
 
 def pca2(df: DataFrame, features: str) -> DataFrame:
@@ -254,81 +230,6 @@ def voting(df: DataFrame, members: list[str], out: str = "p_vote") -> DataFrame:
     return df.withColumn(out, sum((F.col(m) for m in members), F.lit(0.0)) / len(members))
 
 
-# ---------------------------------------------------------------- P17 DBSCAN
-
-def dbscan(points: DataFrame, key: str, x: str, y: str, eps: float, min_samples: int = 5,
-           max_rounds: int = 10_000) -> DataFrame:
-    """Exact DBSCAN on a grid of sub-cells with side eps / sqrt(2), so
-    that any two points of one sub-cell are within eps.
-    1. A sub-cell with at least ``min_samples`` points is all core: no pairs
-       are enumerated inside it (a hot cell costs one count).
-    2. Points of sparse sub-cells (fewer than ``min_samples`` points) are
-       replicated to their 5x5 neighbourhood and paired with the points
-       there: at most 25 * (min_samples - 1) replicas meet any cell, so the
-       pairs grow linearly with a hot neighbour, never quadratically.
-    3. Clusters are the connected components of the graph of sub-cells that
-       hold core points; two such cells are linked when a core pair within
-       eps crosses them (candidates pruned to points within eps of the other
-       cell's rectangle). Components come from iterated min-label
-       propagation, checkpointed every round, until no label changes.
-    4. Border points take the lowest cluster label among their core
-       neighbours; the rest is noise (-1). Labels are canonical: the
-       smallest core key of the component."""
-    from .spatial import _cell
-    s = eps / math.sqrt(2)
-    dist = lambda ax, ay, bx, by: F.sqrt(F.pow(F.col(ax) - F.col(bx), 2) + F.pow(F.col(ay) - F.col(by), 2))
-    P = _checkpoint(points.select(F.col(key).alias("_k"), F.col(x).cast("double").alias("_x"),
-                                  F.col(y).cast("double").alias("_y"))
-                    .withColumns({"_gx": _cell(F.col("_x"), s), "_gy": _cell(F.col("_y"), s)}))
-    cnt = P.groupBy("_gx", "_gy").agg(F.count(F.lit(1)).alias("_n"))
-    Pn = P.join(cnt, ["_gx", "_gy"])
-    sparse = Pn.where(F.col("_n") < min_samples).drop("_n")
-    near = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3)]
-    rep = sparse.select(F.col("_k").alias("_sk"), F.col("_x").alias("_sx"), F.col("_y").alias("_sy"), F.explode(
-        F.array(*[F.struct((F.col("_gx") + dx).alias("_tx"), (F.col("_gy") + dy).alias("_ty")) for dx, dy in near]))
-        .alias("_t")).select("_sk", "_sx", "_sy", "_t._tx", "_t._ty")
-    other = P.select(F.col("_k").alias("_ok"), F.col("_x").alias("_ox"), F.col("_y").alias("_oy"),
-                     F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"))
-    sp_pairs = _checkpoint(rep.join(other, ["_tx", "_ty"]).where(dist("_sx", "_sy", "_ox", "_oy") <= eps)
-                           .select("_sk", "_ok"))
-    sp_core = sp_pairs.groupBy("_sk").agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") >= min_samples)
-    core = _checkpoint(Pn.where(F.col("_n") >= min_samples).drop("_n").unionByName(
-        sparse.join(sp_core.select(F.col("_sk").alias("_k")), "_k", "left_semi")))
-    cid = lambda gx, gy: F.struct(F.col(gx).alias("gx"), F.col(gy).alias("gy"))
-    labels = core.groupBy(cid("_gx", "_gy").alias("node")).agg(F.min("_k").alias("label"))
-
-    def rect_dist(tx, ty):
-        lo_x, hi_x = F.col(tx) * s, (F.col(tx) + 1) * s
-        lo_y, hi_y = F.col(ty) * s, (F.col(ty) + 1) * s
-        ddx = F.greatest(lo_x - F.col("_x"), F.lit(0.0), F.col("_x") - hi_x)
-        ddy = F.greatest(lo_y - F.col("_y"), F.lit(0.0), F.col("_y") - hi_y)
-        return F.sqrt(ddx * ddx + ddy * ddy)
-
-    repc = core.select("_k", "_x", "_y", "_gx", "_gy", F.explode(F.array(*[
-        F.struct((F.col("_gx") + dx).alias("_tx"), (F.col("_gy") + dy).alias("_ty"))
-        for dx, dy in near if (dx, dy) != (0, 0)])).alias("_t")).select("_k", "_x", "_y", "_gx", "_gy", "_t._tx", "_t._ty")
-    repc = repc.where(rect_dist("_tx", "_ty") <= eps)
-    ocore = core.select(F.col("_x").alias("_ox"), F.col("_y").alias("_oy"), F.col("_gx").alias("_tx"),
-                        F.col("_gy").alias("_ty"))
-    edges = _checkpoint(repc.join(ocore, ["_tx", "_ty"]).where(dist("_x", "_y", "_ox", "_oy") <= eps)
-                        .select(cid("_gx", "_gy").alias("src"), cid("_tx", "_ty").alias("dst")).distinct())
-    for _ in range(max_rounds):
-        prop = edges.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("label").alias("_nl"))
-        nxt = _checkpoint(labels.join(prop.withColumnRenamed("src", "node"), "node", "left").select(
-            "node", F.least("label", F.coalesce("_nl", "label")).alias("label"), F.col("label").alias("_old")))
-        changed = nxt.where(F.col("label") != F.col("_old")).limit(1).count()
-        labels = nxt.drop("_old")
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError("DBSCAN label propagation did not converge")
-    core_lab = core.select("_k", cid("_gx", "_gy").alias("node")).join(labels, "node").select("_k", "label")
-    border = (sp_pairs.join(core_lab.select(F.col("_k").alias("_ok"), F.col("label").alias("_bl")), "_ok")
-              .groupBy("_sk").agg(F.min("_bl").alias("_bl")))
-    out = (P.select("_k").join(core_lab, "_k", "left").join(border.withColumnRenamed("_sk", "_k"), "_k", "left"))
-    return out.select(F.col("_k").alias(key), F.coalesce("label", "_bl", F.lit(-1)).cast("long").alias("cluster"))
-
-
 # ---------------------------------------------------------------- P20-P21
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
@@ -337,9 +238,19 @@ def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def feature_importances(model: PipelineModel, feature_names: list[str], families: dict[str, str],
+def feature_importances(model: PipelineModel, df: DataFrame, numeric: list[str], categorical: list[str], families: dict[str, str],
                         top: int = 20) -> list[tuple[str, float, str]]:
-    """Ranked importances of a tree model with a family tag."""
+    """Ranked importances of a tree model with a family tag. Slots are told
+    apart by the metadata of the fitted columns; those of a category sum up to
+    its column. ``df``: any table the model takes (its rows are not read)."""
     imp = model.stages[-1].featureImportances.toArray()
-    rows = sorted(zip(feature_names, imp), key=lambda t: -t[1])[:top]
-    return [(n, float(v), families.get(n, "other")) for n, v in rows]
+    fields = model.transform(df).schema
+    widths = [(c, 1) for c in numeric] + [(c, fields[f"{c}__oh"].metadata["ml_attr"]["num_attrs"] if "num_attrs" in fields[f"{c}__oh"].metadata["ml_attr"]
+                                           else sum(map(len, fields[f"{c}__oh"].metadata["ml_attr"]["attrs"].values()))) for c in categorical]
+    if sum(n for _, n in widths) != len(imp):
+        raise ValueError("the model was not fitted on these columns")
+    rows, at = [], 0
+    for c, n in widths:
+        rows.append((c, float(imp[at:at + n].sum()), families.get(c, "other")))
+        at += n
+    return sorted(rows, key=lambda t: (-t[1], t[0]))[:top]

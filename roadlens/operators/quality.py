@@ -85,19 +85,15 @@ def compare_splits(df: DataFrame, split: str, target: str, drift: float = 0.05)
     return g.withColumn("max_rate_diff", spread).withColumn("drift", (F.col("max_rate_diff") > drift).cast("int"))
 
 
-def percentile_outliers(df: DataFrame, columns: list[str], lo: float = 0.01, hi: float = 0.99,
-                        accuracy: int | None = None) -> DataFrame:
-    """M8: rows outside [p1, p99] per column (percentiles as scalar subqueries)."""
-    parts = []
-    for c in columns:
-        from .aggregates import quantile
-        q = df.select(quantile(c, [lo, hi], accuracy)).scalar()
-        parts.append(df.agg(F.count_if((F.col(c) < q[0]) | (F.col(c) > q[1])).alias("outliers"))
-                     .select(F.lit(c).alias("column"), q[0].alias("p_lo"), q[1].alias("p_hi"), "outliers"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def percentile_outliers(df: DataFrame, columns: list[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+    """M8: rows outside [p1, p99] per column: the exact percentiles of all
+    columns together (a row per column and percentile), then one aggregate."""
+    from .quantiles import exact_quantiles
+    edge = {(r["column"], r.p): r.value for r in exact_quantiles(df, columns, [lo, hi]).collect()}
+    ends = {c: (F.lit(edge.get((c, lo))).cast("double"), F.lit(edge.get((c, hi))).cast("double")) for c in columns}
+    one = df.agg(*[F.struct(F.lit(c).alias("column"), a.alias("p_lo"), b.alias("p_hi"),
+                            F.count_if((F.col(c) < a) | (F.col(c) > b)).alias("outliers")).alias(c) for c, (a, b) in ends.items()])
+    return one.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s")).select("s.*")
 
 
 def low_variance_columns(df: DataFrame, columns: list[str], limit: float = 0.01) -> DataFrame:

@@ -119,40 +119,40 @@ def bin_equal_width(df: DataFrame, column: str, k: int, out: str = "bin") -> Dat
     return df.withColumn(out, F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(idx))
 
 
-def quantile_edges(df: DataFrame, column: str, q: int, accuracy: int | None = None) -> Column:
-    """Sorted distinct quantile edges (exact and linearly interpolated, or a
-    bounded sketch with ``accuracy``)."""
-    from .aggregates import quantile
+def quantile_edges(df: DataFrame, column: str, q: int) -> Column:
+    """Sorted distinct quantile edges (exact and linearly interpolated)."""
+    from .quantiles import quantile
     probs = [j / q for j in range(q + 1)]
-    return F.sort_array(F.array_distinct(df.select(quantile(column, probs, accuracy)).scalar()))
+    return F.sort_array(F.array_distinct(quantile(df, column, probs)))
 
 
-def bin_quantile(df: DataFrame, column: str, q: int, out: str = "bin", accuracy: int | None = None) -> DataFrame:
+def bin_quantile(df: DataFrame, column: str, q: int, out: str = "bin", edges: Column | None = None) -> DataFrame:
     """L3: ``qcut(q, duplicates='drop')``: bin i = (e_i, e_{i+1}], the first
     bin includes its lower edge; equal values always share a bin. The bin is
     the number of inner edges below x (edges 1 .. size-2 of the distinct
-    sorted edge array)."""
+    sorted edge array). ``edges`` takes the ``quantile_edges`` of another table."""
     x = F.col(column)
-    e = quantile_edges(df, column, q, accuracy)
+    e = quantile_edges(df, column, q) if edges is None else edges
     idx = sum((F.when((F.lit(j) < F.size(e) - 1) & (x > F.get(e, j)), 1).otherwise(0) for j in range(1, q)),
               F.lit(0))
     return df.withColumn(out, F.when(x.isNull(), F.lit(None)).otherwise(idx))
 
 
-def quantile_flag(df: DataFrame, column: str, q: float, out: str = "flag", accuracy: int | None = None) -> DataFrame:
+def quantile_flag(df: DataFrame, column: str, q: float, out: str = "flag") -> DataFrame:
     """L4: ``x >= quantile(x, q)``."""
-    from .aggregates import quantile
-    t = df.select(quantile(column, q, accuracy)).scalar()
+    from .quantiles import quantile
+    t = quantile(df, column, q)
     return df.withColumn(out, F.coalesce(F.col(column) >= t, F.lit(False)).cast("int"))
 
 
-def dense_codes(df: DataFrame, column: str, out: str, partitions: int = 64) -> DataFrame:
+def dense_codes(df: DataFrame, column: str, out: str, partitions: int | None = None) -> DataFrame:
     """Alphabetical 0-based code of every distinct value of ``column`` for any
     orderable type, distributed: distinct values are range-partitioned
     (partition k holds only values below partition k+1), the partition id
     is frozen by a reliable checkpoint, per-partition counts (<= partitions
     rows) get a prefix sum, and the window ranks inside one partition only."""
     from .spatial import _checkpoint
+    partitions = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
     vals = df.select(column).where(F.col(column).isNotNull()).distinct()
     ranged = _checkpoint(vals.repartitionByRange(partitions, column).withColumn("_pid", F.spark_partition_id()))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -1,4 +1,5 @@
-"""Distributed spatial joins.
+"""Distributed spatial joins (F2-F8, F11, F12, F14, C7; F4 and F6 are in
+``quadtree``).
 
 Spark has no spatial index, so every proximity join is rewritten as an
 **equi-join on a grid cell**: with cell side >= the search radius, every
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import planar_distance, point_in_ring, point_piece_distance, polyline_pieces
+from .quadtree import count_within, nearest_unbounded  # noqa: F401  F4 and F6: searches in a tree of cells
 
 NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
@@ -73,14 +75,17 @@ def within_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: st
 
 
 def _rank_nearest(pairs: DataFrame, left_key: str, right_key: str, ties: str) -> DataFrame:
-    """Keep the nearest right row(s) per left row. Distances are compared
-    rounded to 1e-6 so tie semantics do not depend on the last ulp."""
-    w = Window.partitionBy("_cx", "_cy", left_key).orderBy(F.bround("distance", 6), right_key)
+    """Keep the nearest right row(s) per left row: an aggregate on the keys
+    that the join is dealt by, so candidates are neither sorted nor dealt
+    again. Distances are compared rounded to 1e-6 so tie semantics do not
+    depend on the last ulp."""
     if ties == "all":
-        r = F.rank().over(Window.partitionBy("_cx", "_cy", left_key).orderBy(F.bround("distance", 6)))
-    else:
-        r = F.row_number().over(w)
-    return pairs.withColumn("_rk", r).where(F.col("_rk") == 1).drop("_rk", "_cx", "_cy")
+        least = F.min(F.bround("distance", 6)).over(Window.partitionBy("_cx", "_cy", left_key))
+        near = F.col("_least").isNull() | (F.bround("distance", 6) == F.col("_least"))
+        return pairs.withColumn("_least", least).where(near).drop("_least", "_cx", "_cy")
+    order = F.struct(F.bround("distance", 6).alias("d"), F.col(right_key).alias("k"))
+    return (pairs.groupBy("_cx", "_cy", left_key).agg(F.min_by(F.struct(right_key, "distance"), order).alias("_b"))
+            .select(left_key, "_b.*"))
 
 
 def nearest_within(left: DataFrame, right: DataFrame, left_key: str, right_key: str, max_distance: float,
@@ -147,60 +152,6 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def nearest_unbounded(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                      start_radius: float | None = None, lx: str = "x", ly: str = "y", rx: str = "x", ry: str = "y",
-                      ties: str = "first") -> DataFrame:
-    """nearest right point with no distance limit. Rounds of the grid join
-    with a doubling radius run on the still-unmatched left rows; a hit at
-    radius r is final because everything outside r is farther. The first
-    radius is the expected nearest-neighbour spacing sqrt(area / n_right)
-    (from one aggregate over both sides), so dense data finishes in one or
-    two rounds. Each round is ONE left-outer grid join, checkpointed
-    (reliable, shared folder) and split into final matches and the rows
-    left for the next round. Rounds stop when nothing is left or the radius
-    exceeds the diagonal of the joint extent (the right side is empty)."""
-    pts = left.select(F.col(lx).alias("x"), F.col(ly).alias("y"), F.lit(0).alias("r")).unionByName(
-        right.select(F.col(rx).alias("x"), F.col(ry).alias("y"), F.lit(1).alias("r")))
-    ext = pts.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.sum("r")).first()
-    key_type = right.schema[right_key].dataType
-    if ext[0] is None or not ext[4]:
-        return left.select(left_key).withColumns({right_key: F.lit(None).cast(key_type),
-                                                  "distance": F.lit(None).cast("double")})
-    w, h = ext[1] - ext[0], ext[3] - ext[2]
-    diag = max((w * w + h * h) ** 0.5, 1.0)
-    r = float(start_radius or max((max(w, 1.0) * max(h, 1.0) / ext[4]) ** 0.5, 1.0))
-    rem = _checkpoint(_prep_points(left, left_key, lx, ly, "_l"))
-    R0 = _prep_points(right, right_key, rx, ry, "_r")
-    found = []
-    while True:
-        L = rem.withColumns({"_cx": _cell(F.col("_lx"), r), "_cy": _cell(F.col("_ly"), r)})
-        R = _replicate_3x3(R0, "_rx", "_ry", r)
-        dist = planar_distance("_lx", "_ly", "_rx", "_ry")
-        j = L.join(R, (L["_cx"] == R["_cx"]) & (L["_cy"] == R["_cy"]) & (dist <= r), "left").select(
-            "_lkey", "_lx", "_ly", "_rkey", F.when(F.col("_rkey").isNotNull(), dist).alias("distance"),
-            L["_cx"], L["_cy"])
-        ranked = _checkpoint(_rank_nearest(j, "_lkey", "_rkey", ties))
-        found.append(ranked.where(F.col("_rkey").isNotNull()).select(
-            F.col("_lkey").alias(left_key), F.col("_rkey").alias(right_key), "distance"))
-        rem = ranked.where(F.col("_rkey").isNull()).select("_lkey", "_lx", "_ly")
-        if rem.isEmpty() or r > diag:
-            break
-        r *= 2
-    out = found[0]
-    for m in found[1:]:
-        out = out.unionByName(m)
-    rest = rem.select(F.col("_lkey").alias(left_key)).withColumns({right_key: F.lit(None).cast(key_type),
-                                                                   "distance": F.lit(None).cast("double")})
-    return out.unionByName(rest)
-
-
-def count_within(left: DataFrame, right: DataFrame, left_key: str, right_key: str, radius: float,
-                 out: str = "count_within", **kw) -> DataFrame:
-    """number of right rows within ``radius`` per left row (0 if none)."""
-    pairs = within_pairs(left, right, left_key, right_key, radius, how="left", **kw)
-    return pairs.groupBy("_cx", "_cy", left_key).agg(F.count(right_key).alias(out)).drop("_cx", "_cy")
-
-
 def space_time_match(points: DataFrame, zones: DataFrame, point_key: str, zone_key: str, radius: float,
                      point_date: str, start: str, end: str, px: str = "x", py: str = "y",
                      zx: str = "x", zy: str = "y") -> DataFrame:
@@ -224,9 +175,8 @@ def space_time_match(points: DataFrame, zones: DataFrame, point_key: str, zone_k
             & (F.col("_zs") <= F.col("_pd")) & (F.col("_pd") <= F.col("_ze")) & F.col("_ov"))
     j = P.join(Z, cond, "left").select("_pk", "_zk", F.when(F.col("_zk").isNotNull(), dist).alias("distance"),
                                         P["_cx"], P["_cy"])
-    w = Window.partitionBy("_cx", "_cy", "_pk").orderBy(F.col("_zk").asc_nulls_last())
-    return (j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-            .select(F.col("_pk").alias(point_key), F.col("_zk").alias(zone_key), "distance"))
+    best = j.groupBy("_cx", "_cy", "_pk").agg(F.min_by(F.struct("_zk", "distance"), F.col("_zk")).alias("_b"))
+    return best.select(F.col("_pk").alias(point_key), F.col("_b._zk").alias(zone_key), F.col("_b.distance").alias("distance"))
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, point_key: str, poly_key: str, ring: str,

@@ -33,13 +33,19 @@ def temporal_split(df: DataFrame, ts: str, ranges: dict[str, tuple]) -> DataFram
     return df.withColumn("split", expr).where(F.col("split").isNotNull())
 
 
-def rank_within(df: DataFrame, strata: list[str], key: str, buckets: int = 64, salt: int = 0) -> DataFrame:
+#: Rows of a sub-bucket that ``rank_within`` sorts in one task, about.
+BUCKET_ROWS = 100_000
+
+
+def rank_within(df: DataFrame, strata: list[str], key: str, rows: int | None = None, salt: int = 0) -> DataFrame:
     """Exact 0-based rank of each row inside its stratum in mix order, plus
     the stratum size, without sorting a whole stratum in one task: rows are
-    split by mix range into ``buckets`` sub-groups (uniform by construction),
-    sub-group sizes get a prefix sum (strata x buckets rows) and a window
-    ranks inside each sub-group only."""
+    split by mix range into sub-groups (uniform by construction; as many as
+    keep one of the whole table at ``BUCKET_ROWS``, 64 at least), sub-group
+    sizes get a prefix sum and a window ranks inside each sub-group only.
+    ``rows``: the table's size, where it is known (else it is counted)."""
     from pyspark.sql import Window
+    buckets = max(64, -(-(df.count() if rows is None else rows) // BUCKET_ROWS))
     m = mix(key, salt)
     t = df.withColumn("_m", m).withColumn("_sb", F.floor(F.col("_m") * buckets / MIX_MOD).cast("int"))
     sizes = t.groupBy(*strata, "_sb").agg(F.count(F.lit(1)).alias("_c"))
@@ -51,9 +57,9 @@ def rank_within(df: DataFrame, strata: list[str], key: str, buckets: int = 64, s
             .drop("_m", "_sb", "_off"))
 
 
-def stratified_split(df: DataFrame, strata: list[str], key: str, fractions=(0.7, 0.15, 0.15)) -> DataFrame:
+def stratified_split(df: DataFrame, strata: list[str], key: str, fractions=(0.7, 0.15, 0.15), rows: int | None = None) -> DataFrame:
     """70/15/15 inside every stratum (sizes floored, remainder to test)."""
-    r = rank_within(df, strata, key)
+    r = rank_within(df, strata, key, rows)
     n = F.col("stratum_size")
     # exact cut-offs: integer products divided once (no float fraction drift)
     ka, kb = round(fractions[0] * 1_000_000), round((fractions[0] + fractions[1]) * 1_000_000)

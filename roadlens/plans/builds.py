@@ -42,12 +42,13 @@ def build_crash_table(crashes: DataFrame, segments: DataFrame, stations: DataFra
     seg = segments.select(F.col("segment_id"), D.to_numeric_null_token("speed_limit").alias("hpms_speed_limit"),
                           F.col("through_lanes").cast("double").alias("hpms_lanes"),
                           F.col("f_system").alias("hpms_functional_class"), F.col("aadt").cast("double").alias("hpms_aadt"))
-    road = road.join(seg, "segment_id", "left").withColumnRenamed("segment_id", "hpms_segment_id") \
-        .withColumnRenamed("distance", "hpms_distance_m")
+    # only crashes near a road look its attributes up: no join on the null key of the others
+    road = (road.where(F.col("segment_id").isNotNull()).join(seg, "segment_id")
+            .withColumnsRenamed({"segment_id": "hpms_segment_id", "distance": "hpms_distance_m"}))
     st = S.nearest_unbounded(pts, stations, "id", "statn_id")
     st = st.join(stations.select("statn_id", F.col("aadt")), "statn_id", "left").select(
         "id", "aadt", F.col("distance").alias("distance_to_aadt_m"))
-    t = c.join(road, "id").join(st, "id")
+    t = c.join(road, "id", "left").join(st, "id")
     cal = T.calendar("start_time")
     t = t.withColumns({k: cal[k] for k in ("hour", "day_of_week", "month", "is_weekend")})
     wc = E.weather_category("weather_condition")
@@ -88,8 +89,10 @@ def build_segment_table(segments: DataFrame, crashes: DataFrame, years=(1995, 20
                        "high_severity_rate_per_100m_vmt": r["high_severity_rate_per_100m_vmt"]}).drop("geometry")
     t = I.dedup_keep_first(t, ["segment_id"], ["segment_id"])
     t = t.withColumns(E.interaction_features("speed_limit_num", "aadt", "f_system", "urban_id", "through_lanes"))
-    t = I.bin_quantile(t, "aadt", quantile_bins, out="aadt_bin")
-    return N.stratified_split(t, [strata], "segment_id")
+    # the edges are those of the segments: nothing of the joins above is needed for them
+    once = I.dedup_keep_first(segments.select("segment_id", "aadt"), ["segment_id"], ["segment_id"])
+    t = I.bin_quantile(t, "aadt", quantile_bins, out="aadt_bin", edges=I.quantile_edges(once, "aadt", quantile_bins))
+    return N.stratified_split(t, [strata], "segment_id", rows=segments.count())
 
 
 def county_risk(workzones: DataFrame, counties: DataFrame, crashes: DataFrame, cell: float = 2000.0) -> DataFrame:

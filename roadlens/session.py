@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,21 @@ def prepare(spark: SparkSession) -> None:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this library: where the workers' PYTHONPATH
+    does not name its folder, send it along once per application."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    sc = spark.sparkContext
+    if getattr(sc, "_roadlens_shipped", False) or root in [
+            os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]:
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="roadlens-py-"), "roadlens_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    sc.addPyFile(target)  # Spark copies it to every executor
+    sc._roadlens_shipped = True

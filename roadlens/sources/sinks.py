@@ -45,15 +45,15 @@ def export_csv(df: DataFrame, columns: list[str], path: str, ts_format: str = "y
     return out
 
 
-def summary_struct(df: DataFrame, group: str, measure: str, top_key: str, top_n: int = 5) -> DataFrame:
-    """One-row nested summary: totals, a distribution map (one entry per
-    group value: bounded by the group's cardinality) and the top-N records,
-    serialised with ``to_json``."""
-    total = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(measure).alias("total"))
-    dist = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(group).cast("string"), "n"))).alias("distribution"))
-    top = (df.orderBy(F.desc(measure), F.asc(top_key)).limit(top_n)
-           .agg(F.collect_list(F.struct(top_key, measure)).alias("top")))
-    s = F.struct("rows", "total", dist.select("distribution").scalar().alias("distribution"),
-                 top.select("top").scalar().alias("top"))
-    return total.select(F.to_json(s).alias("summary"))
+def write_summary_json(df: DataFrame, path: str, group: str, measure: str, top_key: str, top_n: int = 5) -> DataFrame:
+    """A summary as JSON lines ``section, item, value``: the totals, the
+    rows of each group value (a line each, so any number of groups) and the
+    ``top_n`` records of the largest measure. Returns what was written."""
+    value = lambda c: F.col(c).cast("double").alias("value")
+    one = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(measure).alias("total"))
+    total = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in ("rows", "total")])).alias("r"))
+    total = total.select(F.lit("total").alias("section"), "r.item", "r.value")
+    dist = df.groupBy(F.col(group).cast("string").alias("item")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("distribution").alias("section"), "item", value("n"))
+    top = df.orderBy(F.desc(measure), F.asc(top_key)).limit(top_n).select(F.lit("top").alias("section"), F.col(top_key).cast("string").alias("item"), value(measure))
+    total.unionByName(dist).unionByName(top).write.mode("overwrite").json(path)
+    return df.sparkSession.read.schema("section string, item string, value double").json(path)

@@ -44,47 +44,73 @@ def ingest_feed_stream(stream: DataFrame, keys: list[str], event_time: str, wate
     return stream.sparkSession.read.parquet(bronze)
 
 
-def latest_snapshot(stream: DataFrame, key: str, update_col: str, table: str, checkpoint: str) -> DataFrame:
-    """R2: current state per key across snapshots. Each micro-batch is merged
-    with the previous state (union + latest row per key by update time, a
-    ``max_by`` aggregate) and written as a new version folder named by the
-    batch id, so a retried batch rewrites the same folder (idempotent). The
-    previous state is the newest finished folder below the batch id, so a
-    restarted stream goes on from where its checkpoint stands; without any
-    batch yet the result is empty."""
+def latest_snapshot(stream: DataFrame, key: str, update_col: str, table: str, checkpoint: str, parts: int = 64) -> DataFrame:
+    """R2: current state per key across snapshots, in a store of ``parts``
+    parts by key hash. A micro-batch rewrites the parts that hold its keys and
+    no other (see ``merge_snapshot``). Returns the state after all batches
+    landed so far; before any it is empty."""
     spark = stream.sparkSession
-    fs_base = table.rstrip("/")
-
-    def merge(batch: DataFrame, epoch: int):
-        cur = batch
-        before = _newest_batch(spark, fs_base, epoch)
-        if before:
-            cur = spark.read.parquet(before).unionByName(batch)
-        rest = [c for c in cur.columns if c != key]
-        latest = cur.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(update_col, *[c for c in rest if c != update_col]))
-                                      .alias("_r")).select(key, "_r.*")
-        path = f"{fs_base}/batch={epoch:012d}"
-        latest.write.mode("overwrite").parquet(path)
-
-    _run(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint))
-    newest = _newest_batch(spark, fs_base)
-    if newest is None:
-        return spark.createDataFrame([], stream.schema).select(key, *[c for c in stream.columns if c != key])
-    return spark.read.parquet(newest)
-
-
-def _newest_batch(spark: SparkSession, base: str, below: int | None = None) -> str | None:
-    """The finished version folder of the highest batch id (below ``below``)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.listStatus(root) if fs.exists(root) else ():
-        name = status.getPath().getName()
-        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(name[len("batch="):]))
-    found = [n for n in found if below is None or n < below]
-    return f"{base}/batch={max(found):012d}" if found else None
+    _run(stream.writeStream.foreachBatch(lambda batch, epoch: merge_snapshot(batch, epoch, key, update_col, table, parts))
+         .option("checkpointLocation", checkpoint))
+    return read_snapshot(spark, table, stream.select(key, *[c for c in stream.columns if c != key]).schema, parts)
+
+
+def merge_snapshot(batch: DataFrame, epoch: int, key: str, update_col: str, table: str, parts: int = 64) -> int:
+    """Merge a batch into the store and return the number of rewritten parts.
+    The newest finished version of each touched part below the batch id and the
+    batch's rows give the latest row per key (by update time, then the other
+    columns; an aggregate, so a hot key collapses on every mapper). The new
+    versions go to a folder named by the batch id: a retried batch overwrites
+    it and starts from the same state. Versions older than the last two of a
+    part are removed."""
+    spark = batch.sparkSession
+    rest = [c for c in batch.columns if c != key]
+    part = F.format_string("%05d-of-%05d", F.pmod(F.xxhash64(F.col(key)), F.lit(parts)).cast("int"), F.lit(parts))
+    rows = batch.select(key, *rest)
+    touched = {r[0] for r in rows.select(part).distinct().collect()}  # parts at most
+    versions = _part_versions(spark, table, parts)
+    before = [f"{_folder(table, max(v))}/_part={p}" for p in sorted(touched) if (v := [e for e in versions.get(p, ()) if e < epoch])]
+    if before:
+        rows = spark.read.schema(rows.schema).parquet(*before).unionByName(rows)
+    latest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(update_col, *[c for c in rest if c != update_col])).alias("_r")).select(key, "_r.*")
+    latest.withColumn("_part", part).write.mode("overwrite").partitionBy("_part").parquet(_folder(table, epoch))
+    fs, path = _file_system(spark, table)
+    for p, epochs in versions.items():
+        for old in sorted({*(e for e in epochs if e != epoch), *([epoch] if p in touched else [])})[:-2]:
+            fs.delete(path(f"{_folder(table, old)}/_part={p}"), True)
+    return len(touched)
+
+
+def read_snapshot(spark: SparkSession, table: str, schema: StructType, parts: int = 64) -> DataFrame:
+    """The newest finished version of every part."""
+    paths = [f"{_folder(table, max(v))}/_part={p}" for p, v in sorted(_part_versions(spark, table, parts).items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _folder(table: str, epoch: int) -> str:
+    return f"{table.rstrip('/')}/batch={epoch:012d}"
+
+
+def _file_system(spark: SparkSession, table: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _part_versions(spark: SparkSession, table: str, parts: int) -> dict[str, list[int]]:
+    """Part -> the batch ids of its finished versions (folders are listed: two versions a part)."""
+    fs, path = _file_system(spark, table)
+    found: dict[str, list[int]] = {}
+    for batch in fs.listStatus(path(table)) if fs.exists(path(table)) else ():
+        name = batch.getPath().getName()
+        if not name.startswith("batch=") or not fs.exists(path(batch.getPath(), "_SUCCESS")):
+            continue
+        for own in fs.listStatus(batch.getPath()):
+            part = own.getPath().getName()
+            if part.startswith("_part="):
+                if not part.endswith(f"-of-{parts:05d}"):
+                    raise ValueError(f"the store at {table} is not one of {parts} parts")
+                found.setdefault(part[len("_part="):], []).append(int(name[len("batch="):]))
+    return found
 
 
 def score_stream(stream: DataFrame, columns: dict[str, Column], keep: list[str], sink: str,
