@@ -30,10 +30,11 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections import Counter
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import token_counts
-from .common import mix64, npy, ship_package, stream64, text_batches, written
+from .common import LONG_WORD, mix64, npy, ship_package, stream64, text_batches, written
 
 #: A stretch: white space and what follows it, up to a space or line end after another character.
 _STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+")
@@ -50,7 +51,15 @@ SHARD_KEYS, PIECE = 32_768, 65_536
 #: Vectors that meet in one node of the summing tree.
 FAN_IN = 32
 #: Distinct stretches a worker keeps (half of them the most recently used), and their longest.
-CACHED, LONGEST_CACHED = 300_000, 64
+CACHED, LONGEST_CACHED = 600_000, 64
+
+
+class _Numbers(dict):
+    """Numbers its keys in order of first use."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
 
 
 class Pair:
@@ -63,68 +72,199 @@ class Pair:
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         byte = _byte_alphabet()
         names = self.a.get_vocab()
-        self.a_bytes: list = [None] * (max(names.values()) + 1)
+        self.a_bytes: list = [b""] * (max(names.values()) + 1)
         for token, i in names.items():
             # a token outside the byte alphabet (an added one) is no result of a text
             self.a_bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.ranks = _ranks(bytes_path)
         self.mark = self.b.piece_to_id("▁")
+        top = max(len(self.a_bytes), len(self.b_bytes))
+        self.width = np.array([len(str(i)) for i in range(top)], np.int64)
+        wide = int(self.width[-1]) + 1
+        self.digits = np.frombuffer("".join(str(i).ljust(wide) for i in range(top)).encode(), np.uint8).reshape(top, wide)
         self.new: dict = {}
         self.old: dict = {}
 
     def stretches(self, text: str) -> list[str]:
         return _STRETCH.findall(" " + text)
 
-    def align_all(self, stretches) -> dict:
-        """stretch -> (n_a, n_b, groups as text, linked pairs), or None where bytes differ."""
-        out, unseen = {}, []
-        for s in stretches:
-            if s in self.new:
-                out[s] = self.new[s]
-            elif s in self.old:
-                out[s] = self.new[s] = self.old[s]
-            else:
-                unseen.append(s)
-        if unseen:
-            ids_a = [e.ids for e in self.a.encode_batch_fast(unseen, add_special_tokens=False)]
-            # the pieces' model puts a space before its text
-            ids_b = self.b.encode([s[1:] if s[0] == " " else s for s in unseen], num_threads=1)
-            for s, a, b in zip(unseen, ids_a, ids_b, strict=True):
-                out[s] = one = self.align(s, a, [self.mark] if s == " " else b if s[0] == " " else b[1:])
+    def encode_a(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in line, how many each stretch has) by the byte-level tokenizer."""
+        ids = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(ids)), np.int64), np.array(list(map(len, ids)), np.int64)
+
+    def encode_plain(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain stretches (see ``_PLAIN``), by merge ranks, many
+        in one run: each begins at a split, so the run's ids are theirs."""
+        runs = [self.ranks.encode_ordinary("".join(stretches[i:i + 5000])) for i in range(0, len(stretches), 5000)]
+        flat = np.array(list(chain.from_iterable(runs)), np.int64)
+        stop = np.searchsorted(np.cumsum(self.a_size[flat]), np.cumsum(list(map(len, map(str.encode, stretches))))) + 1
+        return flat, np.diff(stop, prepend=0)
+
+    def encode_b(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the piece model, which puts a space of its own before a text."""
+        ids = self.b.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
+        ids = [[self.mark] if s == " " else x if s[0] == " " else x[1:] for s, x in zip(stretches, ids, strict=True)]
+        return np.array(list(chain.from_iterable(ids)), np.int64), np.array(list(map(len, ids)), np.int64)
+
+    def align_all(self, stretches) -> list:
+        """For each stretch (n_a, n_b, groups as text, linked pairs as bytes), or () where bytes differ."""
+        out: list = []
+        unseen: tuple = ([], [])  # plain ones and others
+        new, old, plain = self.new, self.old, _PLAIN.fullmatch
+        for i, s in enumerate(stretches):
+            x = new.get(s)
+            if x is None:
+                x = old.get(s)
+                if x is not None:
+                    new[s] = x
+                else:
+                    unseen[self.ranks is None or not plain(s)].append((i, s))
+            out.append(x)
+        for some, encode in zip(unseen, (self.encode_plain, self.encode_a), strict=True):
+            own = [s for _, s in some]
+            for (i, s), x in zip(some, self.align(own, encode(own), self.encode_b(own)) if own else (), strict=True):
+                out[i] = x
                 if len(s) <= LONGEST_CACHED:
-                    self.new[s] = one
-        if len(self.new) > CACHED // 2:
-            self.old, self.new = self.new, {}
+                    new[s] = x
+        if len(new) > CACHED // 2:
+            self.old, self.new = new, {}
         return out
 
-    def align(self, stretch: str, a: list, b: list):
-        bytes_a, bytes_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if not b"".join(bytes_a) == b"".join(bytes_b) == stretch.encode():
-            return None
-        ends_a, ends_b = list(accumulate(map(len, bytes_a))), list(accumulate(map(len, bytes_b)))
-        place_b = {e: j for j, e in enumerate(ends_b, 1)}
-        text, links, i0, j0 = [], [], 0, 0
-        for i, e in enumerate(ends_a, 1):
-            j = place_b.get(e)
-            if j is not None:
-                text.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-                links.append(a[i - 1] << 32 | b[j - 1])
-                i0, j0 = i, j
-        return len(a), len(b), ";".join(text), links
+    def align(self, stretches: list[str], a: tuple, b: tuple) -> list:
+        raw = [s.encode() for s in stretches]
+        (flat_a, n_a), (flat_b, n_b) = a, b
+        end_a, end_b = np.cumsum(self.a_size[flat_a]), np.cumsum(self.b_size[flat_b])
+        ends = np.cumsum(np.array(list(map(len, raw)), np.int64))
+        same = (b"".join(map(self.a_bytes.__getitem__, flat_a.tolist())) == b"".join(map(self.b_bytes.__getitem__, flat_b.tolist())) == b"".join(raw)
+                and all(n.min() > 0 and (e[np.cumsum(n) - 1] == ends).all() for n, e in ((n_a, end_a), (n_b, end_b))))
+        if not same:  # told apart one by one, the others again
+            def parts(flat, n):
+                return np.split(flat, np.cumsum(n)[:-1])
+            each = list(zip(stretches, raw, parts(flat_a, n_a), parts(flat_b, n_b), strict=True))
+            good = [i for i, (_, r, x, y) in enumerate(each) if b"".join(self.a_bytes[k] for k in x) == b"".join(self.b_bytes[k] for k in y) == r]
+            out: list = [()] * len(raw)
+            if good:
+                flat, n = ([np.concatenate([each[i][c] for i in good]) for c in (2, 3)], [np.array([len(each[i][c]) for i in good]) for c in (2, 3)])
+                for i, x in zip(good, self.align([stretches[i] for i in good], (flat[0], n[0]), (flat[1], n[1])), strict=True):
+                    out[i] = x
+            return out
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        last_a, last_b = common[group_a] == end_a, common[group_b] == end_b
+        links = flat_a[last_a] << 32 | flat_b[last_b]
+        # the tokens in order of the text: of each group those of the first, then those of the second
+        until_a, until_b = np.cumsum(np.bincount(group_a, minlength=len(common))), np.cumsum(np.bincount(group_b, minlength=len(common)))
+        order = np.empty(len(flat_a) + len(flat_b), np.int64)
+        ids, mark = np.empty_like(order), np.empty(len(order), np.uint8)
+        for flat, place, last, end in ((flat_a, np.arange(len(flat_a)) + np.concatenate(([0], until_b))[group_a], last_a, ord("|")),
+                                       (flat_b, np.arange(len(flat_b)) + until_a[group_b], last_b, ord(";"))):
+            ids[place], mark[place] = flat, np.where(last, end, ord(","))
+        width = self.width[ids]
+        rows = self.digits[ids]
+        rows[np.arange(len(ids)), width] = mark
+        text = rows[np.arange(rows.shape[1]) <= width[:, None]].tobytes()
+        stop = np.cumsum(width + 1)[np.cumsum(n_a + n_b) - 1].tolist()
+        link_stop = (8 * np.searchsorted(common, ends, side="right")).tolist()
+        packed = links.tobytes()
+        return [(x, y, text[t0:t1 - 1], packed[l0:l1]) for x, y, t0, t1, l0, l1 in
+                zip(n_a.tolist(), n_b.tolist(), [0, *stop], stop, [0, *link_stop], link_stop, strict=False)]
 
     def documents(self, texts: list):
         """For sub-batches of texts: (alignments of the distinct stretches, the
-        stretches' numbers per text; None for a text without tokens)."""
-        for at, to in text_batches([t or "" for t in texts], 4_000_000):
-            number: dict = {}
-            rows = [[number.setdefault(s, len(number)) for s in self.stretches(t)] if t else None for t in texts[at:to]]
-            known = self.align_all(number)
-            found = [known[s] for s in number]
-            bad = {i for i, x in enumerate(found) if x is None}
-            if bad:
-                rows = [None if r is None or not bad.isdisjoint(r) else r for r in rows]
-            yield found, rows
+        number of every stretch of the texts in line, where those of a text
+        begin and end, whether a text has tokens)."""
+        for at, to in text_batches([t or "" for t in texts], 2_000_000):
+            own = texts[at:to]
+            numbers, until, distinct = cut([f" {t}".encode() if t else b"" for t in own])
+            found = self.align_all(distinct)
+            good = np.array([bool(x) for x in found], bool)
+            ok = np.diff(until) > 0
+            if not good.all():
+                bad = np.concatenate(([0], np.cumsum(~good[numbers])))
+                ok &= bad[until[1:]] == bad[until[:-1]]
+            yield found, numbers, until, ok
+
+
+#: Keys of two hashes of a stretch, by place.
+_KEYS = [stream64(LONG_WORD + 1, seed) for seed in (17, 19)]
+#: ASCII white space as the stretches' pattern has it.
+_SPACES = np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+#: Other white space, in UTF-8 (fixed values).
+_WIDE = {c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"}
+_WIDE_ENDS = np.zeros(256, bool)
+_WIDE_ENDS[[c[-1] for c in _WIDE]] = True
+
+
+def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(the number of every stretch in line, their offsets per text, the
+    distinct stretches by number): ``_STRETCH`` on all texts at once. Equal
+    stretches are told by two 64-bit hashes; if the two disagree, by their text."""
+    joined = b"".join(texts)
+    begin = np.concatenate(([0], np.cumsum(np.array(list(map(len, texts)), np.int64))))
+    raw = np.frombuffer(joined, np.uint8)
+    if not len(raw):
+        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64), []
+    edge = np.flatnonzero((raw[1:] == 32) | (raw[1:] == 10)) + 1
+    before = raw[edge - 1]
+    edge, before = edge[~_SPACES[before]], before[~_SPACES[before]]
+    wide = np.flatnonzero(_WIDE_ENDS[before])
+    if len(wide):
+        odd = np.array([joined[e - 3:e] in _WIDE or joined[e - 2:e] in _WIDE for e in edge[wide].tolist()], bool)
+        edge = np.delete(edge, wide[odd])
+    start = np.unique(np.concatenate((begin[:-1][np.diff(begin) > 0], edge)))
+    size = np.diff(start, append=len(raw))
+    place = np.minimum(np.arange(len(raw)) - np.repeat(start, size), LONG_WORD - 1)
+    value = raw.astype(np.uint64) + np.uint64(1)
+    one, two = (mix64(np.add.reduceat(k[place] * value, start) + k[LONG_WORD] * size.astype(np.uint64)) for k in _KEYS)
+    for i in np.flatnonzero(size > LONG_WORD):
+        digest = hashlib.blake2b(joined[start[i]:start[i] + size[i]], digest_size=16).digest()
+        one[i], two[i] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
+    _, first, numbers = np.unique(one, return_index=True, return_inverse=True)
+    if (two[first][numbers] != two).any():
+        every = [joined[x:x + n] for x, n in zip(start.tolist(), size.tolist(), strict=True)]
+        number = _Numbers()
+        numbers = np.array(list(map(number.__getitem__, every)), np.int64)
+        distinct = [x.decode() for x in number]
+    else:
+        distinct = [joined[x:x + n].decode() for x, n in zip(start[first].tolist(), size[first].tolist(), strict=True)]
+    return numbers, np.searchsorted(start, begin), distinct
+
+
+#: Stretches that begin with a space or line end and end with another character, of characters whose classes no
+#: two versions of Unicode see differently: printable ASCII, line end, tab, Latin letters.
+_PLAIN = re.compile("[ \n](?:[\n\t\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]*[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f])?(?<![ \n\t])")
+
+
+def _ranks(path: str):
+    """The byte-level tokenizer by merge ranks, or None where its file does not
+    say the same: byte-level split by its pattern, no normalizer, every merge's
+    product known and numbered in the order of the merges."""
+    try:
+        import tiktoken
+    except ImportError:
+        return None
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    model, split = told["model"], told.get("pre_tokenizer") or {}
+    if (told.get("normalizer") is not None or model.get("type") != "BPE" or model.get("dropout") or model.get("ignore_merges") or split.get("type") != "ByteLevel"
+            or split.get("add_prefix_space") or not split.get("use_regex", True)):
+        return None
+    byte, vocab = _byte_alphabet(), model["vocab"]
+    made = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    numbers = [vocab.get(m, -1) for m in made]
+    if any(x >= y for x, y in zip(numbers, numbers[1:], strict=False)) or not made or numbers[0] < 256 or len(set(made)) + 256 != len(vocab):
+        return None
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if all(c in byte for c in t)}
+    return tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == len(vocab) else None
+
+
+#: The split pattern of byte-level tokenizers (a fixed value).
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_alphabet() -> dict:
@@ -234,6 +374,12 @@ class PairCounts:
         self.best = None
 
 
+def _links(found: list) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of stretches in line, and how many each has."""
+    packed = [x[3] if x else b"" for x in found]
+    return np.frombuffer(b"".join(packed), np.int64), np.array(list(map(len, packed)), np.int64) // 8
+
+
 def count_links(docs: DataFrame, bytes_path: str, pieces_path: str) -> DataFrame:
     """pair (first id << 32 | second id), n: the links each task finds."""
 
@@ -244,12 +390,15 @@ def count_links(docs: DataFrame, bytes_path: str, pieces_path: str) -> DataFrame
         def out():
             return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], ["pair", "n"])
         for batch in batches:
-            for found, rows in both.documents(batch.column(0).to_pylist()):
-                times = np.bincount(np.concatenate([np.zeros(0, np.int64), *(np.array(r, np.int64) for r in rows if r)]), minlength=len(found))
-                for x, n in zip(found, times.tolist(), strict=True):
-                    if n:
-                        for key in x[3]:
-                            sums[key] += n
+            for found, numbers, until, ok in both.documents(batch.column(0).to_pylist()):
+                times = np.bincount(numbers[np.repeat(ok, np.diff(until))], minlength=len(found))
+                links, size = _links(found)
+                keys, own = np.unique(links, return_inverse=True)
+                n = np.zeros(len(keys), np.int64)
+                np.add.at(n, own, np.repeat(times, size))
+                for key, k in zip(keys.tolist(), n.tolist(), strict=True):
+                    if k:
+                        sums[key] += k
                 if len(sums) > 1_000_000:
                     yield out()
                     sums.clear()
@@ -357,27 +506,29 @@ def _looked_up(shared, bytes_path: str, pieces_path: str, last: bool):
         both, block = pair(bytes_path, pieces_path), shared.value
         for batch in batches:
             sums, digests = [], []
-            for found, rows in both.documents(batch.column(1).to_pylist()):
-                links = [np.zeros(0, np.int64), *(np.array(x[3] if x else (), np.int64) for x in found)]
-                owner = np.repeat(np.arange(len(found)), [len(x) for x in links[1:]])
-                keys = np.concatenate(links).view(np.uint64)
+            for found, numbers, until, ok in both.documents(batch.column(1).to_pylist()):
+                links, size = _links(found)
+                keys = links.view(np.uint64)
                 at = block.hash.index(keys)
                 here = at >= 0
-                n = block.counts[at[here]]
-                high = n == block.best[(keys[here] & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+                n, high = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+                n[here] = block.counts[at[here]]
+                high[here] = n[here] == block.best[links[here] & 0xFFFFFFFF]
+                stop = np.concatenate(([0], np.cumsum(size)))
                 each = np.zeros((len(found), 6), np.int64)
-                np.add.at(each[:, 4], owner[here], high)
-                np.add.at(each[:, 5], owner[here], n)
-                each[:, :4] = [(x[0], x[1], len(x[3]), len(x[3])) if x else (0, 0, 0, 0) for x in found] or np.zeros((0, 4))
-                for r in rows:
-                    if not r:
-                        sums.append(np.zeros(6, np.int64))
-                        digests.append("")
-                        continue
-                    sums.append(each[r].sum(0))
-                    if last:
-                        digests.append(hashlib.sha256(";".join([found[i][2] for i in r]).encode()).hexdigest())
-            table = np.stack([*sums, np.zeros(6, np.int64)])[:-1]
+                each[:, 0], each[:, 1] = [x[0] if x else 0 for x in found], [x[1] if x else 0 for x in found]
+                each[:, 2] = each[:, 3] = size
+                for c, v in ((4, high), (5, n)):
+                    run = np.concatenate(([0], np.cumsum(v)))
+                    each[:, c] = run[stop[1:]] - run[stop[:-1]]
+                run = np.concatenate((np.zeros((1, 6), np.int64), np.cumsum(each[numbers], 0)))
+                sums.append((run[until[1:]] - run[until[:-1]]) * ok[:, None])
+                if last:
+                    texts = [x[2] if x else b"" for x in found]
+                    in_line, ends = numbers.tolist(), until.tolist()
+                    digests += [hashlib.sha256(b";".join([texts[i] for i in in_line[x:y]])).hexdigest() if good else ""
+                                for x, y, good in zip(ends, ends[1:], ok.tolist(), strict=False)]
+            table = np.concatenate([np.zeros((0, 6), np.int64), *sums])
             new = [pa.array(table[:, 4] + batch.column(2).to_numpy()), pa.array(table[:, 5] + batch.column(3).to_numpy())]
             if last:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(table[:, i]) for i in range(4)), *new, pa.array(digests, pa.string())],

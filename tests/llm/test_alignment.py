@@ -91,3 +91,32 @@ def test_perfect_hash():
         other = np.setdiff1d(rng.integers(0, 2 ** 62, 5000).astype(np.uint64), keys)
         assert (table.index(other) == -1).all() and (table.index(keys) == index).all()
     assert alignment.PerfectHash(1, {}).index(keys[:3]).tolist() == [-1, -1, -1]
+
+
+def test_plain_stretches_are_encoded_alike():
+    """Merge ranks give the ids of the tokenizer itself on every kind of plain stretch."""
+    both = alignment.pair(*paths())
+    assert both.ranks is not None
+    rng = random.Random(43)
+    plain = [chr(c) for c in [10, 9, *range(32, 127), *range(0xC0, 0x180)] if c not in (0xD7, 0xF7)]
+    texts = ["".join(rng.choice(plain) for _ in range(rng.randint(1, 40))) for _ in range(4000)] + ["'s 're's\n'll '" + c + "x " + c for c in plain]
+    seen = {s for t in texts for s in both.stretches(t) if alignment._PLAIN.fullmatch(s)}
+    own = sorted(seen)
+    assert len(own) > 4000 and not any(s[-1].isspace() or s[0] not in " \n" for s in own)
+    for x, y in zip(both.encode_plain(own), both.encode_a(own), strict=True):
+        assert (x == y).all()
+    assert not alignment._PLAIN.fullmatch(" ") and not alignment._PLAIN.fullmatch("\n ") and not alignment._PLAIN.fullmatch(" 日")
+
+
+def test_texts_are_cut_at_once(monkeypatch):
+    """All texts together fall into the stretches that each gives alone, with odd white space and equal hashes."""
+    rng = random.Random(44)
+    odd = " \n\t\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\u200b\ufeff"
+    texts = ["".join(rng.choice(odd + "ab.é\u00a9\u2020日😀") for _ in range(rng.randint(0, 25))) for _ in range(3000)] + ["x" * 3000, "x" * 3000 + " y", ""]
+    for keys in (alignment._KEYS, [alignment._KEYS[0] * 0, alignment._KEYS[1]]):
+        monkeypatch.setattr(alignment, "_KEYS", keys)
+        numbers, until, distinct = alignment.cut([f" {t}".encode() if t else b"" for t in texts])
+        assert len(set(distinct)) == len(distinct)
+        for t, a, b in zip(texts, until, until[1:], strict=False):
+            assert [distinct[i] for i in numbers[a:b]] == (alignment._STRETCH.findall(" " + t) if t else [])
+    assert alignment.cut([])[2] == [] and alignment.cut([b""])[1].tolist() == [0, 0]
