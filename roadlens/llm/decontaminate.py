@@ -2,25 +2,29 @@
 
 Texts are sequences of lower-cased words; a document is contaminated by an item
 when some stretch of it is within ``1 - similarity`` of the item's word count
-in word edits. Windows are cut at words whose hash is the least of some run of
-RUN words (winnowing), which leaks share with their item wherever they stand.
-The window size is the largest of SIZES that leaves RUN starts in the item, so
-an unchanged item always has a window in common.
+in word edits. The windows of a text start at words whose hash is the least of
+some run of RUN words (winnowing), those of an item at each of its words, so a
+leak has as many windows in common with its item as it has such words. The
+window size is the largest of SIZES up to half of the item.
 
 Each repetition draws a random walk (the CGK embedding: step j writes the word
 under the pointer and moves on or not by a random bit of word and step) and
 samples coordinates of its output. Windows with the same samples as an item's
 window are candidates; windows that already differ in the first samples are
 left at once. The repetitions are as many as reach ``recall`` for windows whose
-embeddings agree in 7 of 10 coordinates. Candidates are verified with a
-bit-parallel edit distance of the whole item against the stretch around them.
+embeddings agree in as many coordinates as the similarity says (see
+``repetitions``). Candidates are verified with a bit-parallel edit distance of
+the whole item against the stretch around them.
+
+Items of fewer than SHORT words have no room for windows that edits spare: they
+are cut into one piece more than the edits allowed, one of which every leak
+holds unchanged, and looked up by pieces, which misses none.
 
 Items are packed into chunks of bounded size; every chunk is broadcast in a
 pass over the documents.
 
 Edge cases: null and empty texts match nothing; items without words are left
-out; items with fewer than RUN words are searched from every occurrence of
-their first or second word; equal rows give equal results; an empty table gives
+out; equal rows give equal results; an empty table gives
 no rows; extra columns are not read.
 """
 
@@ -34,13 +38,19 @@ from pyspark.sql import functions as F
 
 from .common import hash_words, mix64, ship_package, stream64, text_batches
 
-#: Every RUN consecutive words hold a window start.
+#: Every RUN consecutive words of a text hold a window start.
 RUN = 8
-SIZES = (32, 16, 8, 4, 2, 1)
-SAMPLES = 4
+#: Items of fewer words are found by pieces that the edits leave.
+SHORT = 24
+SIZES = (32, 16, 8)
+SAMPLES = 5
 
 
-def repetitions(recall: float, agree: float = 0.7) -> int:
+def repetitions(recall: float, agree: float = 0.84) -> int:
+    """Repetitions that find a window, whose embedding agrees in ``agree`` of
+    its coordinates, with probability ``recall``. A leak has several windows,
+    so it is found more surely than each of them: of items with a fifth of
+    their words changed 97 % and more are, see the tests."""
     return math.ceil(math.log(1 - recall) / math.log(1 - agree ** SAMPLES))
 
 
@@ -81,16 +91,21 @@ class Walk:
         self.steps = sorted(int(i) for i in order)
         self.size = size
 
-    def keys(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray, known: list | None = None):
+    def keys(self, h: np.ndarray, start: np.ndarray, stop: np.ndarray, known: list | None = None, common: np.ndarray | None = None):
         """Sample hashes of the windows, and which windows are left: with
         ``known``, windows are dropped when their hash of the first samples is
-        not among those known. ``stop`` is the end of each window's text."""
+        not among those known; at once where the first sampled word is not
+        ``common`` (no word of any item). ``stop`` is the end of each window's text."""
         left = np.arange(len(start))
         at, end = start.copy(), np.minimum(start + self.size, stop)
         key, out, sample = np.zeros(len(start), np.uint64), [], 0
         for j in range(self.steps[-1] + 1):
             inside = at < end
-            word = np.where(inside, h[np.minimum(at, len(h) - 1)], np.uint64(0))
+            here = np.minimum(at, len(h) - 1)
+            if known is not None and j == self.steps[0]:
+                keep = common[here] | ~inside
+                left, at, end, key, inside, here = left[keep], at[keep], end[keep], key[keep], inside[keep], here[keep]
+            word = np.where(inside, h[here], np.uint64(0))
             if j == self.steps[sample]:
                 key = mix64(key * np.uint64(3) + word + np.uint64(sample))
                 sample += 1
@@ -110,6 +125,14 @@ def _among(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(at, len(table) - 1)] == x
 
 
+def _run_keys(words: np.ndarray) -> np.ndarray:
+    """A hash of each row of words."""
+    key = np.full(len(words), np.uint64(words.shape[1]))
+    for i in range(words.shape[1]):
+        key = mix64(key * np.uint64(3) + words[:, i])
+    return key
+
+
 class Index:
     """Hash tables of a chunk of items."""
 
@@ -117,12 +140,24 @@ class Index:
         self.similarity = similarity
         h, _, at = hash_words([t for _, t in items])
         self.items = [(i, h[a:b]) for (i, _), a, b in zip(items, at, at[1:], strict=False) if b > a]
-        self.anywhere = np.unique(np.concatenate([w[:2] for _, w in self.items if len(w) < RUN] + [np.zeros(0, np.uint64)]))
+        self.words = np.unique(h)
+        self.sets = [frozenset(w.tolist()) for _, w in self.items]
         groups: dict[int, list] = {}
+        pieces: dict[int, list] = {}
         for k, (_, w) in enumerate(self.items):
-            size = next(s for s in SIZES if s <= max(len(w) - RUN + 1, 1))
-            starts = np.arange(min(2, len(w))) if len(w) < RUN else window_starts(w)
-            groups.setdefault(size, []).extend((k, int(s)) for s in starts if s + size <= len(w))
+            if len(w) < SHORT:  # of allowed + 1 pieces the edits leave one as it is
+                parts = self.allowed(len(w)) + 1
+                cuts = [len(w) * i // parts for i in range(parts + 1)]
+                for x, y in zip(cuts, cuts[1:], strict=False):
+                    pieces.setdefault(y - x, []).append((k, x))
+                continue
+            size = next(s for s in SIZES if 2 * s <= len(w))
+            groups.setdefault(size, []).extend((k, s) for s in range(len(w) - size + 1))
+        self.pieces = []
+        for size, windows in sorted(pieces.items()):
+            key = _run_keys(np.stack([self.items[k][1][x:x + size] for k, x in windows]))
+            order = np.argsort(key, kind="stable")
+            self.pieces.append((size, np.unique([self.items[k][1][x] for k, x in windows]), key[order], [windows[i] for i in order]))
         self.walks = []
         flat = np.concatenate([w for _, w in self.items]) if self.items else np.zeros(0, np.uint64)
         base = np.cumsum([0, *(len(w) for _, w in self.items)])
@@ -135,31 +170,50 @@ class Index:
                 order = np.argsort(stages[-1], kind="stable")
                 self.walks.append((walk, [np.unique(s) for s in stages], stages[-1][order], [windows[i] for i in order]))
 
+    def allowed(self, words: int) -> int:
+        return int(words * (1 - self.similarity) + 1e-9)
+
+    def hits(self, h: np.ndarray, at: np.ndarray):
+        """(start of the window, item, place of the window in the item) of all candidates."""
+        common = _among(h, self.words)
+        shared = np.flatnonzero(common)
+        for size, firsts, table, windows in self.pieces:
+            start = shared[_among(h[shared], firsts)]
+            start = start[start + size <= at[np.searchsorted(at, start, side="right")]]
+            yield start, _run_keys(h[start[:, None] + np.arange(size)]), table, windows
+        if not self.walks:
+            return
+        start = all_starts(h, at[1:-1])
+        stop = at[np.searchsorted(at, start, side="right")]
+        for walk, stages, table, windows in self.walks:
+            key, left = walk.keys(h, start, stop, stages, common)
+            yield start[left], key, table, windows
+
     def search(self, h: np.ndarray, at: np.ndarray):
         """(text, item, first word, end word, edits) of texts laid end to end,
         ``at`` their offsets: the best stretch of each pair."""
         best: dict[tuple[int, int], tuple] = {}
         if not len(h) or not self.items:
             return []
-        start = all_starts(h, at[1:-1])
-        if len(self.anywhere):
-            start = np.union1d(start, np.flatnonzero(_among(h, self.anywhere)))
-        stop = at[np.searchsorted(at, start, side="right")]
         tried = set()
-        for walk, stages, table, windows in self.walks:
-            key, left = walk.keys(h, start, stop, stages)
+        for start, key, table, windows in self.hits(h, at):
             low, high = np.searchsorted(table, key), np.searchsorted(table, key, side="right")
-            for i, a, b in zip(left, low, high, strict=True):
-                text = int(np.searchsorted(at, start[i], side="right")) - 1
+            met = np.flatnonzero(high > low)
+            owner = np.searchsorted(at, start[met], side="right") - 1
+            for begin_at, text, a, b in zip(start[met].tolist(), owner.tolist(), low[met].tolist(), high[met].tolist(), strict=True):
                 for k, s in windows[a:b]:
                     item = self.items[k][1]
-                    allowed = int(len(item) * (1 - self.similarity) + 1e-9)
-                    begin = int(start[i]) - s - allowed
+                    allowed = self.allowed(len(item))
+                    begin = begin_at - s - allowed
                     if (text, k, begin) in tried:
                         continue
                     tried.add((text, k, begin))
                     begin, end = max(begin, int(at[text])), min(begin + len(item) + 2 * allowed + 1, int(at[text + 1]))
-                    found = best_stretch(item, h[begin:end])
+                    words = h[begin:end].tolist()
+                    # unchanged words of the item stand in the stretch
+                    if sum(map(self.sets[k].__contains__, words)) < len(item) - allowed:
+                        continue
+                    found = best_stretch(item, words, allowed)
                     if found[0] <= allowed:
                         row = (found[0], begin + found[1] - int(at[text]), begin + found[2] - int(at[text]))
                         if row < best.get((text, k), (1 << 60,)):
@@ -186,14 +240,17 @@ def _distances(item, words):
     return out
 
 
-def best_stretch(item, words) -> tuple[int, int, int]:
+def best_stretch(item, words, most: int | None = None) -> tuple[int, int, int]:
     """Fewest word edits between the item and a stretch of ``words``, and the
-    stretch; the earliest end, then the shortest stretch, of equals."""
-    item, words = list(item), list(words)
+    stretch; the earliest end, then the shortest stretch, of equals. Over
+    ``most`` edits the stretch is not looked for."""
+    item, words = np.asarray(item).tolist(), list(words)
     if not words:
         return len(item), 0, 0
     score = _distances(item, words)
     d = min(score)
+    if most is not None and d > most:
+        return d, 0, 0
     end = score.index(d) + 1
     back = _distances(item[::-1], words[:end][::-1])
     return d, end - 1 - back.index(min(back)), end

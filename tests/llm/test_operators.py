@@ -261,6 +261,25 @@ def test_leaks(spark, documents):
     assert decontaminate.contaminated(documents(docs), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size, least", [(6, 1), (10, 1), (16, 1), (23, 1), (24, .95), (32, .95), (40, .95), (64, .95), (100, .95)])
+def test_leaks_are_recalled_up_to_the_limit(size, least):
+    """Items with up to a fifth of their words changed; short ones are all found."""
+    from roadlens.llm.common import hash_words
+    rng = random.Random(size)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(size)] for _ in range(120)]
+    index = decontaminate.Index([(i, " ".join(w).encode()) for i, w in enumerate(items)], .8, .95)
+    for share in (0, .1, .15, .2):
+        docs = []
+        for w in items:
+            w, noise = list(w), [[f"w{rng.randrange(3000)}" for _ in range(50)] for _ in range(2)]
+            for p in rng.sample(range(size), int(size * share + 1e-9)):
+                w[p] = f"z{rng.randrange(10 ** 6)}"
+            docs.append(" ".join([*noise[0], *w, *noise[1]]).encode())
+        h, _, at = hash_words(docs)
+        found = {(t, i) for t, i, *_ in index.search(h, at)}
+        assert sum((i, i) in found for i in range(120)) >= least * 120, share
+
+
 # 6
 def test_maximal_segments():
     rng = random.Random(9)
