@@ -202,8 +202,14 @@ def workzone_model_table(spark, d):
 
 @query("workzone_features", WZ_MODEL_SQL.replace("SELECT DISTINCT", "SELECT"), ("wzcrash",))
 def workzone_features(spark, d):
-    """H2: per-zone count, means, first meta row and the q75 high-risk flag."""
-    return workzone_model_table(spark, d)
+    """H2 alone: per-zone count, means, first meta row and the q75 high-risk flag."""
+    from ..functions.cleaning import strip_brackets_to_number
+    from ..operators.aggregates import workzone_features as features
+    m = V.wzcrash(spark, d).withColumn("vis", strip_brackets_to_number("visibility_txt"))
+    means = {"severity": "avg_severity", "distance_km": "avg_distance_km", "vis": "avg_visibility_mi", "precip_in": "avg_precip_in",
+             "temperature_f": "avg_temp_f", "wind_mph": "avg_wind_mph"}
+    t = features(m, "road_event_id", "crash_id", means, ["road_name", "duration_hr", "vehicle_impact", "latitude", "longitude"], "crash_id")
+    return t.withColumns({c: r6(c) for c in means.values()})
 
 
 NEAR_ALL_SQL = SEGMENT_TABLE_SQL.split("e AS (")[0].rstrip().rstrip(",")

@@ -337,20 +337,25 @@ def map_codes(spark, d):
 
 
 @query("unit_convert", """
-SELECT event_id, round_even(p / 10, 6) AS precipitation_mm, round_even(t / 10, 6) AS temp_max_c,
-       round_even(t / 10 * 9 / 5 + 32, 6) AS temp_max_f, round_even(w / 10 * 2.237, 6) AS wind_speed_mph
+SELECT event_id, round_even(p / 10, 6) AS precipitation_mm,
+       round_even(t / 10, 6) AS temp_max_c, round_even(t / 10 * 9 / 5 + 32, 6) AS temp_max_f,
+       round_even(lo / 10, 6) AS temp_min_c, round_even(lo / 10 * 9 / 5 + 32, 6) AS temp_min_f,
+       round_even(av / 10, 6) AS temp_avg_c, round_even(av / 10 * 9 / 5 + 32, 6) AS temp_avg_f,
+       round_even(w / 10, 6) AS wind_speed_ms, round_even(w / 10 * 2.237, 6) AS wind_speed_mph
 FROM (SELECT event_id, TRY_CAST(CAST(user_id AS VARCHAR) AS DOUBLE) AS p,
              TRY_CAST(CAST(CAST(floor(value * 10) AS BIGINT) - 100 AS VARCHAR) AS DOUBLE) AS t,
+             TRY_CAST(CAST(CAST(floor(value * 10) AS BIGINT) - 150 AS VARCHAR) AS DOUBLE) AS lo,
+             CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 400 AS DOUBLE) END AS av,
              TRY_CAST(CAST(event_id % 150 AS VARCHAR) AS DOUBLE) AS w FROM events)""")
 def unit_convert(spark, d):
     e = read_table(spark, d, "events")
     prcp = F.col("user_id").cast("string")
     tmax = (F.floor(F.col("value") * 10).cast("bigint") - 100).cast("string")
     awnd = (F.col("event_id") % 150).cast("string")
-    u = D.unit_convert(prcp, tmax, tmax, tmax, awnd)
-    return e.select("event_id", r6(u["precipitation_mm"]).alias("precipitation_mm"),
-                    r6(u["temp_max_c"]).alias("temp_max_c"), r6(u["temp_max_f"]).alias("temp_max_f"),
-                    r6(u["wind_speed_mph"]).alias("wind_speed_mph"))
+    tmin = (F.floor(F.col("value") * 10).cast("bigint") - 150).cast("string")
+    tavg = F.when(F.col("event_id") % 3 > 0, (F.col("event_id") % 400).cast("string")).otherwise("n/a")  # some are no numbers
+    u = D.unit_convert(prcp, tmax, tmin, tavg, awnd)
+    return e.select("event_id", *[r6(c).alias(n) for n, c in u.items()])
 
 
 # --------------------------------------------------------------- E4, E13-E25
@@ -447,6 +452,11 @@ def segment_tier(spark, d):
 
 SERVING_SQL = """
 SELECT id, hour, temperature_f, visibility_mi, start_lat, start_lng, hpms_speed_limit, hpms_lanes,
+  day_of_week, month, is_weekend, is_junction, aadt, aadt AS hpms_aadt, CAST(adverse_weather AS DOUBLE) AS adverse_weather, CAST(low_visibility AS DOUBLE) AS low_visibility, fc AS hpms_functional_class,
+  lat_zone, lng_zone, coalesce(size, 'medium') AS city_size_category, coalesce(county, 'other') AS county_top20,
+  CASE WHEN urban > 0 OR coalesce(size, '') = 'large' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_urban,
+  0.0::DOUBLE AS is_rush_hour, 30.0::DOUBLE AS pressure_in, 60.0::DOUBLE AS humidity_pct, 5.0::DOUBLE AS wind_speed_mph, 0.0::DOUBLE AS is_major_city,
+  0.5::DOUBLE AS distance_mi, 50.0::DOUBLE AS distance_to_aadt_m, 50.0::DOUBLE AS hpms_distance_m,
   CASE WHEN adverse_weather = 1 THEN 'rain' WHEN low_visibility = 1 THEN 'fog' ELSE 'clear' END AS weather_category,
   CASE WHEN temperature_f < 32 THEN 'freezing' WHEN temperature_f < 50 THEN 'cold' WHEN temperature_f < 70 THEN 'mild'
        WHEN temperature_f < 85 THEN 'warm' ELSE 'hot' END AS temp_category,
@@ -468,7 +478,13 @@ FROM (SELECT *,
                lat AS start_lat, lng AS start_lng,
                CASE WHEN id % 5 = 0 THEN 45.0 ELSE CAST(15 + 5 * (id % 15) AS DOUBLE) END AS hpms_speed_limit,
                CASE WHEN id % 4 = 0 THEN 2.0 ELSE CAST(id % 7 AS DOUBLE) END AS hpms_lanes,
-               CASE WHEN id % 6 = 0 THEN 1.0 ELSE CAST(1 + id % 7 AS DOUBLE) END AS fc
+               CASE WHEN id % 6 = 0 THEN 1.0 ELSE CAST(1 + id % 7 AS DOUBLE) END AS fc,
+               CAST(isodow(start_time) - 1 AS DOUBLE) AS day_of_week, CAST(month(start_time) AS DOUBLE) AS month,
+               CASE WHEN isodow(start_time) >= 6 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_weekend,
+               CASE WHEN junction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_junction,
+               CASE WHEN id % 8 = 0 THEN 15000.0 ELSE CAST(id % 50000 AS DOUBLE) END AS aadt,
+               CASE id % 3 WHEN 0 THEN 'large' WHEN 1 THEN 'small' END AS size, CASE WHEN id % 5 > 0 THEN id % 5 - 2 END AS urban,
+               CASE WHEN id % 7 > 0 THEN county END AS county
         FROM crashes))"""
 
 
@@ -485,14 +501,17 @@ def serving_features(spark, d):
         F.when(F.col("visibility_mi") < 2, 1).otherwise(0).alias("lowvis"), "lat", "lng",
         F.when(k % 5 == 0, F.lit(None)).otherwise(15 + 5 * (k % 15)).alias("speed_limit"),
         F.when(k % 4 == 0, F.lit(None)).otherwise(k % 7).alias("through_lanes"),
-        F.when(k % 6 == 0, F.lit(None)).otherwise(1 + k % 7).alias("f_system"))
+        F.when(k % 6 == 0, F.lit(None)).otherwise(1 + k % 7).alias("f_system"),
+        F.weekday("start_time").alias("day_of_week"), F.month("start_time").alias("month"), (F.weekday("start_time") >= 5).cast("int").alias("is_weekend"),
+        F.col("junction").cast("int").alias("is_junction"), F.when(k % 8 > 0, k % 50000).alias("aadt"),
+        F.when(k % 3 == 0, "large").when(k % 3 == 1, "small").alias("city_size_category"), F.when(k % 5 > 0, k % 5 - 2).alias("urban_id"),
+        F.when(k % 7 > 0, F.col("county")).alias("county"))
     cols = {n: F.col(n) for n in ("hour", "temperature", "visibility", "lat", "lng", "speed_limit",
-                                  "through_lanes", "f_system")}
+                                  "through_lanes", "f_system", "day_of_week", "month", "is_weekend", "is_junction", "aadt",
+                                  "city_size_category", "urban_id", "county")}
     cols["adverse_weather"], cols["low_visibility"] = F.col("adverse"), F.col("lowvis")
     f = E.serving_features(cols)
-    keep = ["hour", "temperature_f", "visibility_mi", "start_lat", "start_lng", "hpms_speed_limit", "hpms_lanes",
-            "weather_category", "temp_category", "region", "speed_category", "lane_category", "road_class"]
-    return req.select("id", *[f[k_].alias(k_) for k_ in keep])
+    return req.select("id", *[c_.alias(n) for n, c_ in f.items()])
 
 
 @query("serving_segment_features", """

@@ -162,11 +162,11 @@ def regression_report(df: DataFrame, y: str, yhat: str, eps: float = 1e-10) -> D
 
 def class_weights(df: DataFrame, y: str, out: str = "weight") -> DataFrame:
     """Balanced weights n / (k * n_class) as a column (class counts are
-    one aggregate joined back: at most k rows)."""
+    one aggregate joined back; Spark broadcasts it if it is small)."""
     counts = df.groupBy(y).agg(F.count(F.lit(1)).alias("_nc"))
     n = df.select(F.count(F.lit(1))).scalar()
     k = counts.select(F.count(F.lit(1))).scalar()
-    return df.join(F.broadcast(counts), y).withColumn(out, n / (k * F.col("_nc"))).drop("_nc")
+    return df.join(counts, y).withColumn(out, n / (k * F.col("_nc"))).drop("_nc")
 
 
 def scale_pos_weight(df: DataFrame, y: str) -> DataFrame:

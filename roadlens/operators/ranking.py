@@ -97,11 +97,17 @@ def prefix_offsets(df: DataFrame, order: str | list[str], sums: list[str], parti
 
 
 def temporal_order_split(df: DataFrame, order: str | list[str], train_frac: float = 0.8) -> DataFrame:
-    """First ``train_frac`` of the rows by a unique order key -> train."""
-    ranked = prefix_offsets(df.withColumn("_one", F.lit(1)), order, ["_one"])
-    n = df.select(F.count(F.lit(1))).scalar()
-    return ranked.withColumn("split", F.when(F.col("before__one") < F.floor(n * train_frac), "train")
-                             .otherwise("test")).drop("_one", "before__one")
+    """First ``train_frac`` of the rows by a unique order key -> train.
+    Only the keys are ranked; the first key of the test rows is read and
+    every row compared with it."""
+    order = [order] if isinstance(order, str) else list(order)
+    ranked = prefix_offsets(df.select(*order, F.lit(1).alias("_one")), order, ["_one"])
+    first = ranked.where(F.col("before__one") == F.floor(df.select(F.count(F.lit(1))).scalar() * train_frac)).select(*order).first()
+    if first is None:  # no rows, or all of them train
+        return df.withColumn("split", F.lit("train"))
+    types = df.select(*order).schema
+    cut = F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(first, types.fields, strict=True)])
+    return df.withColumn("split", F.when(F.struct(*order) < cut, "train").otherwise("test"))
 
 
 def equal_width_edges(df: DataFrame, column: str, k: int) -> list[Column]:

@@ -108,11 +108,17 @@ def county_risk(workzones: DataFrame, counties: DataFrame, crashes: DataFrame, c
                     score.alias("work_zone_crash_risk_score"), E.risk_category(score).alias("risk_category"))
 
 
-def lighting_features(crashes: DataFrame, sun: DataFrame, time_col: str = "start_time") -> DataFrame:
+def lighting_features(crashes: DataFrame, sun: DataFrame, time_col: str = "start_time", time_zone: str | None = None) -> DataFrame:
     """Sun instants looked up once per (lat 0.1, lng 0.1, date) with
     half-even rounding (G3), then E6 class, E5 minutes, E7 flags. The sun
-    table grows with the data, so no broadcast hint: AQE decides."""
-    keys = [F.bround("lat", 1), F.bround("lng", 1), F.to_date(time_col)]
+    table grows with the data, so no broadcast hint: AQE decides. Naive crash
+    times count as UTC (Q17), or with ``time_zone`` as local times of it: the
+    sun table is looked up by the local date, instants are compared in UTC."""
+    local = time_col
+    if time_zone is not None:
+        crashes = crashes.withColumn("_utc", F.to_utc_timestamp(F.col(time_col).cast("timestamp_ntz"), time_zone).cast("timestamp_ntz"))
+        time_col = "_utc"
+    keys = [F.bround("lat", 1), F.bround("lng", 1), F.to_date(local)]
     j = G.dimension_lookup(crashes, sun, keys, ["lat_r", "lng_r", "date"])
     cond = T.lighting_condition(time_col, "sunrise", "sunset", "civil_twilight_begin", "civil_twilight_end",
                                 "nautical_twilight_begin", "nautical_twilight_end", "astronomical_twilight_begin",
@@ -120,7 +126,7 @@ def lighting_features(crashes: DataFrame, sun: DataFrame, time_col: str = "start
     j = j.withColumn("lighting_condition", cond)
     j = j.withColumns({"minutes_since_sunrise": T.minutes_between(time_col, "sunrise"),
                        "minutes_until_sunset": T.minutes_between("sunset", time_col)})
-    return j.withColumns(T.lighting_flags("lighting_condition"))
+    return j.withColumns(T.lighting_flags("lighting_condition")).drop("_utc")
 
 
 def workzone_model_table(merged: DataFrame, q: float = 0.75) -> DataFrame:
