@@ -167,7 +167,9 @@ def nearest_unbounded(left: DataFrame, right: DataFrame, left_key: str, right_ke
 
     def prune(df):
         limit = F.array_min(F.transform("_nodes", _surely)) + SLACK
-        return df.withColumn("_limit", limit).withColumn("_nodes", F.filter("_nodes", lambda b: _apart(b) <= F.col("_limit"))).drop("_limit")
+        # an array of one binds the limit, which is then computed once a row and not once a node
+        kept = F.transform(F.array(limit), lambda most: F.filter("_nodes", lambda b: _apart(b) <= most))
+        return df.withColumn("_nodes", F.element_at(kept, 1))
     ends = descend(placed, nodes, prune, [])
     met = ends.select("_row", "_lx", "_ly", F.explode("_leaves").alias("node")).join(leaves, "node")
     met = met.withColumn("_d", F.sqrt(F.pow(F.col("_lx") - F.col("x"), 2) + F.pow(F.col("_ly") - F.col("y"), 2)))
