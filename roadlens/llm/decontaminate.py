@@ -46,7 +46,7 @@ SIZES = (32, 16, 8)
 SAMPLES = 5
 
 
-def repetitions(recall: float, agree: float = 0.75) -> int:
+def repetitions(recall: float, agree: float = 0.78) -> int:
     """Repetitions that find a window, whose embedding agrees in ``agree`` of
     its coordinates, with probability ``recall``. A leak has several windows,
     so it is found more surely than each of them: of items with a fifth of
