@@ -89,3 +89,53 @@ def test_composed_plans_have_no_nested_loop_or_python(spark, name):
     import __spark_entry__ as E
     p = _plan(E.queries()[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "PythonUDF" not in p
+
+
+def test_nearest_holds_no_pairs_and_broadcasts_no_cells(spark):
+    """The search for the least distance neither sorts pairs nor builds them up, and cells are not broadcast."""
+    L, lr = _points(spark, 300, 21, "l")
+    R, rr = _points(spark, 200, 22, "r")
+    line = F.array(F.struct("x", "y"), F.struct((F.col("x") + 90).alias("x"), (F.col("y") + 40).alias("y"))).alias("g")
+    lines = R.select("r_id", line)
+    for df in (S.nearest_within(L, R, "l_id", "r_id", 200.0), S.nearest_within(L, R, "l_id", "r_id", 200.0, ties="all"),
+               S.nearest_line_within(L, lines, "l_id", "r_id", "g", 200.0)):
+        p = _plan(df)
+        assert "BroadcastHashJoin" not in p and "REPARTITION_BY_NUM" in p
+        assert "functions=[min(CASE WHEN isnotnull(_rkey" in p  # the first join ends in plain numbers
+    got = {(r.l_id, r.r_id) for r in S.nearest_within(L, R, "l_id", "r_id", 200.0, ties="all").collect()}
+    exp = set()
+    for a in lr:
+        d = [(round(math.hypot(a[1] - b[1], a[2] - b[2]), 6), b[0]) for b in rr]
+        near = [x for x in d if x[0] <= 200.0]
+        exp |= {(a[0], k) for v, k in near if v == min(near)[0]} or {(a[0], None)}
+    assert got == exp
+
+
+def test_nearest_with_repeated_and_null_keys(spark):
+    # the key 1 comes three times: its rows share a cell, so they share a least distance
+    L = spark.createDataFrame([(1, 10.0, 10.0), (1, 10.0, 10.0), (1, 12.0, 10.0), (None, 90.0, 90.0), (4, None, 5.0)], "l_id long, x double, y double")
+    R = spark.createDataFrame([(7, 12.0, 13.0), (7, 12.0, 13.0), (None, 95.0, 90.0)], "r_id long, x double, y double")
+    key = lambda r: tuple((v is not None, v or 0) for v in r)
+    first = sorted((tuple(r) for r in S.nearest_within(L, R, "l_id", "r_id", 100.0, cell=1000.0).where("distance < 4 OR distance IS NULL").collect()), key=key)
+    assert first == [(None, None, None), (1, 7, 3.0), (4, None, None)]
+    alls = sorted((tuple(r) for r in S.nearest_within(L, R.where("r_id = 7"), "l_id", "r_id", 50.0, ties="all").collect()), key=key)
+    assert alls == [(None, None, None), (1, 7, 3.0), (1, 7, 3.0), (4, None, None)]
+
+
+def test_space_time_match_sorts_no_pairs(spark):
+    P = spark.createDataFrame([(1, 0.0, 0.0, 5), (2, 900.0, 0.0, 5), (3, 0.0, 1.0, 50)], "p long, x double, y double, t int")
+    Z = spark.createDataFrame([(9, 30.0, 0.0, 1, 9), (8, 40.0, 0.0, 1, 9), (7, 1.0, 0.0, 6, 9)], "z long, x double, y double, a int, b int")
+    df = S.space_time_match(P, Z, "p", "z", 100.0, "t", "a", "b")
+    assert "SortAggregate" not in _plan(df)
+    assert sorted((r.p, r.z, r.distance) for r in df.collect()) == [(1, 8, 40.0), (2, None, None), (3, None, None)]
+
+
+def test_pairs_of_crashes_and_zones_are_not_dealt_again(spark):
+    from roadlens.plans import workzones as W
+    c = spark.createDataFrame([(1, 0.0, 0.0, True, 3), (2, 5.0, 0.0, True, 4), (3, 1.0, 0.0, False, 5)], "id long, x double, y double, junction boolean, code int")
+    z = spark.createDataFrame([(10, 3.0, 4.0), (11, 0.0, 400.0)], "road_event_id long, x double, y double")
+    pairs = W.match_crashes_to_workzones(c, z)
+    assert sorted((r.id, r.road_event_id, r.distance, r.code) for r in pairs.select("id", "road_event_id", "distance", "code").collect() if r.road_event_id == 10) == [
+        (1, 10, 5.0, 3), (2, 10, math.hypot(2, 4), 4)]
+    joins = [at for at in range(len(_plan(pairs))) if _plan(pairs).startswith("Join ", at)]
+    assert "_cx" in _plan(pairs)[joins[0]:joins[0] + 80]  # the join by cell comes last: no pair is shuffled for another
