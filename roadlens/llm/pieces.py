@@ -5,9 +5,9 @@ total score. Its piece lattice falls apart at the borders of pre-tokens (no
 piece crosses the start of a run of spaces, nor a line end), so the forward
 Viterbi scores are computed once for each distinct pre-token. They are exact
 heuristics for a backward A* search from the end of the lattice, which yields
-segmentations best first. The N best of a text combine those of its pre-tokens:
-only the N - 1 places that lose least by their second choice can differ from
-the best segmentation, and they are searched further.
+segmentations best first; every segmentation comes from that search. The N best
+of a text combine those of its pre-tokens: only the N - 1 places that lose least
+by their second choice can differ from the best segmentation.
 
 A character that no piece covers is its UTF-8 byte pieces, together at the
 lowest score less 10. The order of segmentations of equal score is fixed by the
@@ -24,7 +24,6 @@ from __future__ import annotations
 import heapq
 import zlib
 from array import array
-from itertools import chain
 from math import inf
 from operator import itemgetter
 
@@ -36,7 +35,7 @@ from pyspark.sql import types as T
 from .common import ship_package
 from .token_counts import MARK, model, pretokens
 
-CACHE_ENTRIES = 900_000
+CACHE_ENTRIES = 300_000
 _lattices: dict = {}
 
 
@@ -75,29 +74,29 @@ class Lattice:
         self.lowest = min(sp.get_score(i) for i in normal if self.pieces[i].strip(MARK)) - 10.0
         self.unknown = sp.unk_id()
         self.byte_of = {i: v for v, i in self.bytes.items()}
-        self.kept = _Kept(self.best_and_gap)
-        self.few: dict[tuple[str, int], list[float]] = {}
+        self.kept: dict[int, _Kept] = {}
 
     def edges(self, word: str):
         """Edges into each position: (start, score, ids); and the forward
         Viterbi score of every position."""
-        n, get = len(word), self.known.get
+        n, root = len(word), self.root
         into: list[list] = [[] for _ in range(n + 1)]
         best = [0.0] + [-1e300] * n
         for i in range(n):
-            here, covered = best[i], False
-            for j in range(i + 1, n + 1):
-                found = get(word[i:j], 0)
-                if not found:
-                    if found == 0:
-                        break
+            here, get, end, covered = best[i], root, i, False
+            for c in word[i:]:
+                node = get(c)
+                if node is None:
+                    break
+                end += 1
+                score, ids, get = node
+                if score is None:
                     continue
-                if j == i + 1:
+                if end == i + 1:
                     covered = True
-                score = found[0]
-                into[j].append((i, score, found[1]))  # a tuple of one id
-                if here + score > best[j]:
-                    best[j] = here + score
+                into[end].append((i, score, ids))  # a tuple of one id
+                if here + score > best[end]:
+                    best[end] = here + score
             if not covered:
                 into[i + 1].append((i, self.lowest, self.uncovered(word[i])))
                 if here + self.lowest > best[i + 1]:
@@ -129,92 +128,57 @@ class Lattice:
                 heapq.heappush(heap, (-(tail + score + best[start]), start, order, tail + score, (piece, ids)))
         return out
 
-    def best_and_gap(self, pretoken: str) -> tuple[bytes, float, float]:
-        """The best segmentation's ids and score, and what the second best
-        loses: the forward pass keeps the two best scores of each position."""
-        word = pretoken.replace(" ", MARK)
-        n, root = len(word), self.root
-        best, second, before, took = [0.0] + [-1e300] * n, [-1e300] * (n + 1), [0] * (n + 1), [()] * (n + 1)
-        for i in range(n):
-            here, other, get, end, covered = best[i], second[i], root, i, False
-            for c in word[i:]:
-                node = get(c)
-                if node is None:
-                    break
-                end += 1
-                score, ids, get = node
-                if score is None:
-                    continue
-                if end == i + 1:
-                    covered = True
-                one, top = here + score, best[end]
-                if one > top:
-                    two = other + score
-                    second[end] = top if top > two else two
-                    best[end], before[end], took[end] = one, i, ids
-                elif one > second[end]:
-                    second[end] = one
-            if not covered:  # no other edge into i + 1 has this start
-                end, one, top, two = i + 1, here + self.lowest, best[i + 1], other + self.lowest
-                if one > top:
-                    second[end] = top if top > two else two
-                    best[end], before[end], took[end] = one, i, self.uncovered(word[i])
-                elif one > second[end]:
-                    second[end] = one
-        total, gap = best[n], best[n] - second[n] if second[n] > -1e299 else inf
-        if not gap:  # equals are ordered by the search
-            return array("I", self._search(*self.edges(word), 1)[0][1]).tobytes(), total, 0.0
-        ids, at = [], n
-        while at:
-            ids.append(took[at])
-            at = before[at]
-        return array("I", chain.from_iterable(reversed(ids))).tobytes(), total, gap
-
     def uncovered(self, character: str) -> tuple[int, ...]:
         """The byte pieces of a character that no piece covers."""
         raw = character.encode("utf-8", "replace")
         return tuple(self.bytes.get(b, self.unknown) for b in raw) if self.bytes else (self.unknown,)
 
-    def encode(self, text: str, n: int) -> tuple[bytes, list[float]]:
-        """The best segmentation's ids (serialized uint32) and the scores of
-        the ``n`` best."""
+    def ways(self, pretoken: str, n: int) -> tuple[bytes, float, float, list[tuple[float, bytes]]]:
+        """The best of a pre-token's ``n`` best segmentations (ids serialized as
+        uint32, score), what the second loses, and all of them."""
+        found = [(score, array("I", ids).tobytes()) for score, ids in self.nbest(pretoken, n)]
+        return found[0][1], found[0][0], found[0][0] - found[1][0] if len(found) > 1 else inf, found
+
+    def encode_all(self, text: str, n: int) -> list[tuple[float, bytes]]:
+        """The ``n`` best segmentations of a text, best first: score and ids
+        (serialized uint32). Every pre-token is searched; the text's combine
+        the choices at the n - 1 places that lose least."""
         words = pretokens(text)
         if not words:
-            return b"", [0.0]
-        if len(self.kept) > CACHE_ENTRIES:
-            self.kept.clear()
-        found = list(map(self.kept.__getitem__, words))
+            return [(0.0, b"")]
+        kept = self.kept.setdefault(n, _Kept(lambda w: self.ways(w, n)))
+        if len(kept) > CACHE_ENTRIES:
+            kept.clear()
+        found = list(map(kept.__getitem__, words))
         total = sum(map(itemgetter(1), found))
+        parts = list(map(itemgetter(0), found))
         gaps = np.fromiter(map(itemgetter(2), found), np.float64, len(found))
         some = min(n - 1, len(gaps))
-        losses = [0.0]
-        for i in np.argpartition(gaps, some - 1)[:some].tolist() if some else ():
+        lists = [(0.0, ())]
+        # the first of equal gaps, so that the order does not hang on the partition
+        for i in np.argsort(gaps, kind="stable")[:some].tolist():
             if gaps[i] < inf:
-                own = self.first(words[i], n)
-                losses = heapq.nsmallest(n, (a + own[0] - s for a in losses for s in own))
-        return b"".join(map(itemgetter(0), found)), [total - x for x in losses]
-
-    def first(self, word: str, n: int) -> list[float]:
-        """Scores of a pre-token's ``n`` best, kept for words of small gaps."""
-        if len(self.few) > 50_000:
-            self.few.clear()
-        if (word, n) not in self.few:
-            self.few[word, n] = [s for s, _ in self.nbest(word, n)]
-        return self.few[word, n]
+                best, own = found[i][1], found[i][3]
+                lists = heapq.nsmallest(n, ((loss + best - s, (*picks, (i, k))) for loss, picks in lists for k, (s, _) in enumerate(own)))
+        out = []
+        for loss, picks in lists:
+            held = [(i, parts[i]) for i, _ in picks]
+            for i, k in picks:
+                parts[i] = found[i][3][k][1]
+            out.append((total - loss, b"".join(parts)))
+            for i, part in held:
+                parts[i] = part
+        return out
+
+    def encode(self, text: str, n: int) -> tuple[bytes, list[float]]:
+        """The best segmentation's ids (serialized uint32) and the scores of
+        the ``n`` best."""
+        found = self.encode_all(text, n)
+        return found[0][1], [score for score, _ in found]
 
     def segmentations(self, text: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations of a text with their ids, best first."""
-        words = pretokens(text)
-        choices = [self.nbest(w, n) for w in words]
-        loose = heapq.nsmallest(n - 1, ((c[0][0] - c[1][0], i) for i, c in enumerate(choices) if len(c) > 1))
-        ways = [(0.0, ())]
-        for _, i in loose:
-            ways = heapq.nsmallest(n, ((loss + choices[i][0][0] - s, (*picks, (i, k))) for loss, picks in ways for k, (s, _) in enumerate(choices[i])))
-        out = []
-        for loss, picks in ways:
-            pick = dict(picks)
-            out.append((sum(c[0][0] for c in choices) - loss, [p for i, c in enumerate(choices) for p in c[pick.get(i, 0)][1]]))
-        return out
+        return [(score, np.frombuffer(raw, np.uint32).tolist()) for score, raw in self.encode_all(text, n)]
 
     def decode(self, ids) -> str:
         """The text of ids: pieces joined, bytes put together, marks as spaces,
@@ -275,8 +239,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def encode_digest(docs: DataFrame, path: str, n: int = 4) -> DataFrame:
-    """doc_id, n_pieces, scores of the n best, ids_crc32 of the best and
-    whether its ids decode to the text: one pass, ids do not leave the task."""
+    """doc_id, n_pieces, scores of the n best, ids_crc32 of the best, whether
+    its ids decode to the text, and nbest_crc32, that of each of the n best:
+    one pass, ids do not leave the task."""
     ship_package(docs.sparkSession)
 
     def run(batches):
@@ -287,14 +252,15 @@ def encode_digest(docs: DataFrame, path: str, n: int = 4) -> DataFrame:
             out = []
             for t in batch.column(1).to_pylist():
                 t = t or ""
-                raw, scores = own.encode(t, n)
-                back = pieces.decode(raw)
-                out.append((len(raw) // 4, scores, zlib.crc32(raw), back == t.replace(MARK, " ")))
+                found = own.encode_all(t, n)
+                best, digests = found[0][1], [zlib.crc32(raw) for _, raw in found]
+                out.append((len(best) // 4, [score for score, _ in found], digests[0], pieces.decode(best) == t.replace(MARK, " "), digests))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([o[i] for o in out], t) for i, t in enumerate(
-                (pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.bool_())))], ["doc_id", "n_pieces", "scores", "ids_crc32", "round_trip"])
+                (pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.bool_(), pa.list_(pa.int64()))))],
+                                                  ["doc_id", "n_pieces", "scores", "ids_crc32", "round_trip", "nbest_crc32"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, round_trip boolean")
+        run, "doc_id long, n_pieces long, scores array<double>, ids_crc32 long, round_trip boolean, nbest_crc32 array<long>")
 
 
 class _Decoder:
