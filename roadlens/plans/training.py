@@ -27,15 +27,18 @@ def train_and_report(train: DataFrame, val: DataFrame, test: DataFrame, numeric:
     -> O1 and AUC on the test rows."""
     check_leakage([*numeric, *categorical], [*forbidden, label])
     whole = F.col(label).cast("int")
-    train = P.with_balanced_weight(train.withColumn("_y", whole), "_y").drop("_y")
+    # written once; so are the scores, which calibration, threshold and report read again
+    train, val, test = (P.spread(t.select(*dict.fromkeys([*numeric, *categorical, label]))) for t in (train, val, test))
+    train = P.spread(P.with_balanced_weight(train.withColumn("_y", whole), "_y").drop("_y"))
+    features = P.fit_features(train, numeric, categorical)
     out = None
     for c in candidates:
-        model = fit(train, numeric, categorical, label, Candidate(c.kind, {**c.params, "weight": "weight"}), seed)
-        scored = P.probability(model.transform(val)).select(label, "p")
+        model = fit(train, numeric, categorical, label, Candidate(c.kind, {**c.params, "weight": "weight"}), seed, features)
+        scored = P.spread(P.probability(model.transform(val)).select(label, "p"))
         apply = calibrate(scored, "p", label, method)
         sweep = O.threshold_sweep(apply(scored).withColumn(label, whole), label, "p_cal")
         best = O.optimal_threshold(sweep).where(F.col("metric") == "f1").first()["threshold"]
-        done = apply(P.probability(model.transform(test)).select(label, "p")).withColumn(label, whole)
+        done = P.spread(apply(P.spread(P.probability(model.transform(test)).select(label, "p"))).withColumn(label, whole))
         row = O.classification_report(done, label, "p_cal", best).select(
             F.lit(c.label).alias("model"), F.lit(float(best)).alias("chosen_threshold"), "*", O.roc_auc(done, label, "p_cal").select("auc").scalar().alias("auc"))
         out = row if out is None else out.unionByName(row)

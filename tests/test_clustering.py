@@ -99,3 +99,15 @@ def test_kmeans_finds_planted_clusters(spark):
     got = {r.id: r.cluster for r in P.assign_centres(pts, "f", [c.tolist() for c in m.clusterCenters()]).collect()}
     assert len({(i % 4, c) for i, c in got.items()}) == 4
     assert got == {r.id: r.prediction for r in m.transform(pts).collect()}
+
+
+def test_kmeans_of_many_k_is_the_best_of_its_starts(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame(list(enumerate(rng.normal(size=(60, 2)).tolist())), "id long, v array<double>")
+    pts = P.spread(df.select("id", array_to_vector("v").alias("f")))
+    many = P.kmeans_many(pts, "f", [2, 3], starts=3)
+    assert sorted(many) == [2, 3]
+    for k, m in many.items():
+        costs = [P.kmeans(pts, "f", k, starts=1, seed=42 + i).summary.trainingCost for i in range(3)]
+        assert m.summary.trainingCost == pytest.approx(min(costs))
+    assert P.each(spark, lambda j: j * 2, [3, 1, 2]) == [6, 2, 4]

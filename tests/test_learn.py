@@ -233,3 +233,32 @@ def test_folds_of_hot_strata(spark):
     df = spark.range(3000).withColumn("y", (F.col("id") % 50 == 0).cast("int"))
     sizes = {(r.y, r.fold): r["count"] for r in N.stratified_kfold(df, "y", "id", 5).groupBy("y", "fold").count().collect()}
     assert set(sizes.values()) == {12, 588} and len(sizes) == 10
+
+
+# ------------------------------------------------------------ spread of the training rows
+
+def test_training_rows_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(P, "FILE_ROWS", 100)
+    df = planted(spark).coalesce(1)
+    seen, real = [], P.Pipeline.fit
+    monkeypatch.setattr(P.Pipeline, "fit", lambda self, t, *a: seen.append(t.rdd.getNumPartitions()) or real(self, t, *a))
+    P.fit_classifier(df, ["a", "b"], ["c"], "y", "random_forest", numTrees=3, maxDepth=2)
+    assert seen[0] > 1 and P.spread(df).count() == 600
+    assert sorted(map(tuple, P.spread(df).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_models_of_a_fold_share_its_features(spark, monkeypatch):
+    fitted, real = [], P.fit_features
+    monkeypatch.setattr(P, "fit_features", lambda t, *a: fitted.append({r.fold for r in t.select("fold").distinct().collect()}) or real(t, *a))
+    c = [S.Candidate("logistic", {"maxIter": 5}), S.Candidate("random_forest", {"numTrees": 3, "maxDepth": 2})]
+    assert S.cross_val_score(planted(spark), ["a", "b"], ["c"], "y", "fold", c, 3).count() == 6
+    assert sorted(map(sorted, fitted)) == [[0, 1], [0, 2], [1, 2]]
+
+
+def test_shared_features_give_the_same_model(spark):
+    df = planted(spark).coalesce(1)
+    for kind in ("logistic", "random_forest"):
+        own = P.fit_classifier(df, ["a", "b"], ["c"], "y", kind, maxIter=20, numTrees=5, maxDepth=3)
+        shared = P.fit_classifier(df, ["a", "b"], ["c"], "y", kind, features=P.fit_features(df, ["a", "b"], ["c"]), maxIter=20, numTrees=5, maxDepth=3)
+        p, q = ([r.p for r in P.probability(m.transform(df)).orderBy("id").collect()] for m in (own, shared))
+        assert p == pytest.approx(q, abs=1e-9)
