@@ -78,3 +78,34 @@ def test_rows_meet_few_points(spark):
         return df.withColumn("_l", F.array_min(F.transform("_nodes", T._surely)) + T.SLACK).withColumn("_nodes", F.filter("_nodes", lambda b: T._apart(b) <= F.col("_l"))).drop("_l")
     met = [len(r._leaves) for r in T.descend(placed, nodes, prune, []).collect()]
     assert max(met) <= 4 * math.sqrt(4000 / T.LEAF)
+
+
+def small_parts(monkeypatch):
+    for name, value in (("LEAF", 2), ("ROWS", 4), ("MOST", 8), ("SLICE", 2), ("TOGETHER", 16)):
+        monkeypatch.setattr(T, name, value)
+
+
+@pytest.mark.parametrize("radius", [0.4, 30.0])
+def test_boxes_in_blocks_and_slices(spark, monkeypatch, radius):
+    small_parts(monkeypatch)
+    left, right = fixture(5)
+    left += [(400 + i, 500.5, 500.5) for i in range(20)] + [(500 + i, 500 + i / 40, 500.3) for i in range(40)]  # one place; a dense line
+    got = {r.l_id: r.n for r in T.count_within(frame(spark, left, "l"), frame(spark, right, "r"), "l_id", "r_id", radius, "n").collect()}
+    assert got == {p[0]: sum(dist(p, q) <= radius for q in right if sound(q)) if sound(p) else 0 for p in left}
+    near = {r.l_id: (r.r_id, r.distance) for r in T.nearest_unbounded(frame(spark, left, "l"), frame(spark, right, "r"), "l_id", "r_id").collect()}
+    for p in left:
+        d = min((round(dist(p, q), 6), q[0]) for q in right if sound(q)) if sound(p) else (None, None)
+        assert near[p[0]][0] == d[1] and (d[0] is None or near[p[0]][1] == pytest.approx(d[0], abs=1e-6))
+
+
+def test_rows_go_down_the_tree_as_boxes(spark):
+    """Far fewer boxes than rows are carried down, however dense a place is; a
+    cell of many rows is divided unless they lie in one place."""
+    rnd = random.Random(6)
+    city = [(i, rnd.random(), rnd.random()) for i in range(20_000)]
+    left = city + [(30_000 + i, 0.5, 0.5) for i in range(5000)] + [(40_000, 1000.0, 1000.0)]
+    _, placed = T._prepared(frame(spark, left, "l"), "l_id", "x", "y")
+    rows, boxes = T._boxes(placed, T._right(frame(spark, [(1, 5.0, 5.0)], "r"), "r_id", "x", "y"))
+    found = boxes.collect()
+    assert sum(b._n for b in found) == len(left) == rows.count() and len(found) < len(left) / 50
+    assert all(b._n <= T.MOST or (b._x0, b._y0) == (b._x1, b._y1) for b in found if b._n < 5000)
