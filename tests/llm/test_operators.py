@@ -422,3 +422,12 @@ def test_embeddings(spark):
     assert np.mean([got[i].component_id == low[i] for i in ids]) > .99
     assert all(got[i].n_links == 0 and got[i].kept for i in range(2002, 2007))
     assert hnsw.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_line_postings_carry_no_text(spark, documents, monkeypatch):
+    seen, real = {}, line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: seen.setdefault(name, df.columns) and real(df, name))
+    line = "a line that is long enough to be linked"
+    table = documents([f"{line}\n{line}s", f"{line}!"])
+    assert {r.node for r in line_dedup.similar_lines(table).collect()} and "line" not in seen["line-postings"]
+    assert line_dedup.line_classes(table).count() == 3
