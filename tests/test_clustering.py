@@ -80,6 +80,23 @@ def test_no_pairs_of_a_dense_group_are_listed(spark, monkeypatch):
     assert {r.cluster for r in P.dbscan(df, "id", ["a", "b"], 1.0, 5).collect()} == {0} and not seen
 
 
+def test_rows_are_sent_once_to_a_bundle_of_units(spark):
+    """In 64 dimensions every point reaches every unit: rows are sent to few
+    bundles, not to each of the units, and a bundle holds all units reached."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(size=(2400, 64)) * .1, np.repeat(rng.normal(size=(1, 64)) * .1, 600, 0)])
+    space = C.Space(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "key long, v array<double>"), 9.0, 20)
+    parts = space.parts.value
+    sent = np.concatenate([np.stack(p, 1) for p in parts.asks(x[:50], 9.0)])
+    row, part = parts.reach(x[:50], 9.0)
+    assert parts.units.sum() > 120 and len(sent) == len(np.unique(sent, axis=0)) <= 50 * 3 * C.BUNDLES
+    assert {(r, b) for r, p in zip(row, part, strict=True) for b in parts.bundle(p, np.arange(parts.units[p]))} == set(map(tuple, sent))
+    rows = {}
+    for r in space.members.groupBy("part", "unit").count().collect():
+        rows.setdefault(int(parts.bundle(r.part, r.unit)), []).append(r["count"])
+    assert all(sum(n) <= 1.5 * space.most for n in rows.values())  # units of a part are as large as its hash deals them
+
+
 def test_neighbours_is_exact_at_the_border():
     rng = np.random.default_rng(8)
     a, b = rng.integers(-9, 9, (80, 3)) / 4 + 1e6, rng.integers(-9, 9, (90, 3)) / 4 + 1e6
