@@ -6,7 +6,9 @@ average, and a pair is kept when at least T coordinates agree; T lies so far
 below K*J that a true link is missed about once in a million. The lists are
 merged with two exact shortcuts: values held by one set never collide (skip),
 and a pair with T common values shares one of the K-T+1 rarest of each side
-(prefix), so only those are posted. Kept pairs are confirmed on the full sets.
+(prefix), so only those are posted. Kept pairs are confirmed on the full sets,
+made again from the two texts: a text is shorter than its set of hashes, and only
+texts of pairs are moved.
 
 Groups of copies never become all pairs. Equal sets are one representative.
 Representatives of a list are compared with the list's hub, in two rounds with
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import as_bytes, hash_words, mix64, ship_package, stream64, text_batches, written
+from .common import among, as_bytes, hash_words, mix64, ship_package, stream64, text_batches, written
 
 #: Coordinates, and agreements that a kept pair needs. For a similarity of 0.8,
 #: P(Binomial(32, 0.8) < 14) is below 2e-6.
@@ -91,7 +93,7 @@ def _sign(batches, width: int):
             bits = _nibbles(sig)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, b - a), pa.array(n, pa.int64()), pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].view(np.int64)),
-                 pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.array([list(map(int, r)) if c else [] for r, c in zip(sig, n, strict=True)], pa.list_(pa.int64()))],
+                 pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.array([r if c else [] for r, c in zip(sig.view(np.int32).tolist(), n, strict=True)], pa.list_(pa.int32()))],
                 ["doc_id", "n", "h1", "h2", "b1", "b2", "sig"])
 
 
@@ -102,7 +104,23 @@ def _sets(batches, width: int):
         for a, b in text_batches(texts):
             h, at = shingle_sets(texts[a:b], width)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))], ["doc_id", "shingles"])
+                [ids.slice(a, b - a), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))], ["rep", "shingles"])
+
+
+def _confirm(batches, width: int, percent: int):
+    """The pairs (src, dst, their texts) whose sets are similar enough; a batch
+    makes the set of each text once."""
+    import pyarrow as pa
+    for batch in batches:
+        src, dst = as_bytes(batch.column(2)), as_bytes(batch.column(3))
+        for a, b in text_batches([x + y for x, y in zip(src, dst, strict=True)]):
+            place: dict = {}
+            pairs = [(place.setdefault(x, len(place)), place.setdefault(y, len(place))) for x, y in zip(src[a:b], dst[a:b], strict=True)]
+            h, at = shingle_sets(list(place), width)
+            sets = np.split(h, at[1:-1])
+            both = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in pairs])
+            n = np.diff(at)[np.array(pairs)].sum(1)
+            yield pa.RecordBatch.from_arrays([c.slice(a, b - a) for c in batch.columns[:2]], ["src", "dst"]).filter(pa.array(100 * both >= percent * (n - both)))
 
 
 #: Sides a and b of a pair: sizes that the similarity allows, and T agreements
@@ -124,7 +142,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ship_package(spark)
     text = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(text.mapInArrow(lambda it: _sign(it, width),
-                                     "doc_id long, n long, h1 long, h2 long, b1 long, b2 long, sig array<long>"), "minhash-signatures")
+                                     "doc_id long, n long, h1 long, h2 long, b1 long, b2 long, sig array<int>"), "minhash-signatures")
     narrow = signed.groupBy("doc_id").agg(F.min(F.struct("h1", "h2", "n")).alias("s")).select("doc_id", "s.*")
     groups = (narrow.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).checkpoint())
     # members of large groups of copies meet their group under 16 salted keys
@@ -133,14 +151,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                .join(copied.drop("copies"), ["h1", "h2", "n", "salt"], "left")
                .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
 
-    reps = signed.join(groups.select(F.col("rep").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"])
-    values = (reps.dropDuplicates(["doc_id"]).select("doc_id", "n", "b1", "b2", F.posexplode("sig").alias("k", "v"))
-              .select("doc_id", "n", "b1", "b2", (F.col("k") * (1 << 32) + F.col("v")).alias("token")))
+    reps = signed.join(groups.select(F.col("rep").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"]).dropDuplicates(["doc_id"])
+    # a row for each coordinate is narrow; sizes and bits join when the lists are cut
+    values = (reps.select("doc_id", F.posexplode("sig").alias("k", "v"))
+              .select("doc_id", (F.col("k") * (1 << 32) + F.expr("v & 4294967295L")).alias("token")))
     seen = values.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
-    ranked = (values.join(seen, "token").groupBy("doc_id", "n", "b1", "b2")
+    ranked = (values.join(seen, "token").groupBy("doc_id")
               .agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("t"))  # at most K entries
               .withColumn("t", F.expr(f"slice(t, 1, greatest(size(t) - {AGREEMENTS - 1}, 0))")))
-    postings = written(ranked.select(F.col("doc_id").alias("rep"), "n", "b1", "b2", F.explode("t.token").alias("token")), "minhash-postings")
+    postings = written(ranked.join(reps.select("doc_id", "n", "b1", "b2"), "doc_id")
+                       .select(F.col("doc_id").alias("rep"), "n", "b1", "b2", F.explode("t.token").alias("token")), "minhash-postings")
 
     agree = f"{_agree('a.b1', 'b.b1')} + {_agree('a.b2', 'b.b2')}"
     close = _CLOSE.format(s=percent, agree=agree, t=AGREEMENTS)
@@ -155,16 +175,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                 .groupBy("a.rep").agg(F.max(F.struct(F.expr(agree).alias("m"), -F.col("b.rep"))).alias("x"))
                 .select(F.col("rep").alias("src"), (-F.col("x.col2")).alias("dst")))
 
-    close_reps = postings.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").join(postings, "token").select("rep").distinct()
-    sets = written(text.join(close_reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-                   .mapInArrow(lambda it: _sets(it, width), "doc_id long, shingles array<long>"), "minhash-sets")
-
     def confirmed(pairs: DataFrame) -> DataFrame:
-        a, b = (sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"{k}_set")) for k in ("src", "dst"))
-        return (pairs.join(a, "src").join(b, "dst")
-                .withColumn("both", F.size(F.array_intersect("src_set", "dst_set")))
-                .filter(F.expr(f"100 * both >= {percent} * (size(src_set) + size(dst_set) - both)"))
-                .select("src", "dst"))
+        pairs = written(pairs, "minhash-pairs")
+        held = among(text, "doc_id", pairs.select(F.explode(F.array("src", "dst"))))
+        a, b = (held.select(F.col("doc_id").alias(k), F.col("text").alias(f"{k}_text")) for k in ("src", "dst"))
+        return (pairs.join(a, "src").join(b, "dst").select("src", "dst", "src_text", "dst_text")
+                .mapInArrow(lambda it: _confirm(it, width, percent), "src long, dst long"))
 
     def placed(links: DataFrame) -> DataFrame:
         return members_of(connected_components(links).withColumnRenamed("node", "rep"))
@@ -181,7 +197,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     lists = placed(links)
     sizes = (lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c"))
              .filter("lo < hi").select("token", "c"))
-    lists = lists.join(sizes, "token").checkpoint()
+    lists = written(lists.join(sizes, "token"), "minhash-lists")
     short = lists.filter(F.col("c") <= SHORT_LIST)
     near = (short.alias("a").join(short.alias("b"), F.expr(f"a.token = b.token AND a.rep > b.rep AND a.component <> b.component AND {close}"))
             .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
@@ -198,14 +214,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # exact prefix filter: of two sets over the similarity, the rarest
     # n - ceil(n * percent / 100) + 1 shingles of each have one in common;
     # shingles of one set only are in nobody's list
-    shingles = (sets.withColumnRenamed("doc_id", "rep").join(still, "rep", "left_semi")
+    sets = (among(text, "doc_id", still).withColumnRenamed("doc_id", "rep").join(still, "rep", "left_semi")
+            .mapInArrow(lambda it: _sets(it, width), "rep long, shingles array<long>"))
+    shingles = (sets
                 .select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))
     often = shingles.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1")
     rare = (shingles.join(often, "s").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("t"))
             .withColumn("t", F.expr(f"slice(t, 1, greatest(size(t) - cast(ceil(n * {percent} / 100) as int) + 1, 0))"))
             .select("rep", F.explode("t.s").alias("s"))
             .join(now, "rep"))
-    rare = only_mixed(rare, "s").checkpoint()
+    rare = written(only_mixed(rare, "s"), "minhash-rare")
     cross = (rare.alias("a").join(rare.alias("b"), F.expr(f"a.s = b.s AND a.rep > b.rep AND a.component <> b.component AND {close}"))
              .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
     final = connected_components(links.unionAll(confirmed(cross)))

@@ -189,6 +189,22 @@ def shingle_set(text, width):
     return {tuple(words[i:i + width]) for i in range(max(len(words) - width + 1, min(len(words), 1)))}
 
 
+def test_pairs_are_confirmed_on_their_own_texts(spark):
+    """Only texts of pairs are moved, and their sets are made again from them."""
+    import pyarrow as pa
+
+    from roadlens.llm.common import among
+    docs = spark.createDataFrame([(i, None if i == 7 else f"text {i}") for i in range(-500, 1500)], "doc_id long, text string")
+    moved = [r.doc_id for r in among(docs, "doc_id", docs.filter("doc_id in (-3, 7, 1400)").select("doc_id")).collect()]
+    assert {-3, 7, 1400} <= set(moved) and len(moved) < 10
+    base = " ".join(f"w{i}" for i in range(101))  # 100 shingles of two words
+    texts = [(base, base.upper()), (base, base.replace("w100", "x")), (base, " ".join(base.split()[:81])), (base, " ".join(base.split()[:80])), ("", base), ("one", "One")]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(range(10, 16)), *(pa.array([t[k] for t in texts]) for k in (0, 1))],
+                                       ["src", "dst", "src_text", "dst_text"])
+    got = [r for b in minhash._confirm([batch], 2, 80) for r in b.to_pylist()]
+    assert got == [{"src": i, "dst": 10 + i} for i in (0, 1, 2, 5)]
+
+
 def test_near_duplicates(spark, documents, monkeypatch):
     rng = random.Random(4)
     docs = list(ODD)
