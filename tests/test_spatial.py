@@ -139,3 +139,24 @@ def test_pairs_of_crashes_and_zones_are_not_dealt_again(spark):
         (1, 10, 5.0, 3), (2, 10, math.hypot(2, 4), 4)]
     joins = [at for at in range(len(_plan(pairs))) if _plan(pairs).startswith("Join ", at)]
     assert "_cx" in _plan(pairs)[joins[0]:joins[0] + 80]  # the join by cell comes last: no pair is shuffled for another
+
+
+def test_pairs_are_spread_over_all_tasks(spark):
+    # few bytes on both sides, but many pairs: they must not be listed by one or two tasks
+    L, _ = _points(spark, 300, 10, "l")
+    R, _ = _points(spark, 300, 11, "r")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        pairs = S.within_pairs(L, R, "l_id", "r_id", 100.0)
+        assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() == 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_rounding_many_equals_bround(spark):
+    from roadlens.catalog.base import r6, r_many
+    values = [0.0, -0.0, 0.0005, 0.0015, 0.0025, 1.0005, 2.6745, 499.9995, 12.3455, 1e6, 1e12, 1e300, -3.1415, -0.0004, float("inf"), float("nan"), None]
+    values += [math.sqrt(i) for i in range(3000)] + [i / 2000 for i in range(3000)] + [math.nextafter(i / 2000, 9e9) for i in range(3000)]
+    rows = spark.createDataFrame([(v,) for v in values], "d double").select(r6("d", 3).alias("a"), r_many("d", 3).alias("b")).collect()
+    assert [repr(r.a) for r in rows] == [repr(r.b) for r in rows]
