@@ -14,9 +14,9 @@ Groups of copies never become all pairs. Equal sets are one representative.
 Representatives of a list are compared with the list's hub, in two rounds with
 different hubs; only lists whose members are still in different components then
 are looked at further, over pairs from different components. In long lists these
-must also share one of the rarest shingles of their full sets (an exact prefix
-filter, which leaves out the many members of a large group that are near it, but
-not near enough).
+must also share one of the rarest shingles of their full sets, at places that both
+sizes allow (an exact prefix filter, which leaves out the many members of a large
+group that are near it, but not near enough).
 
 Edge cases: null or empty texts, and texts of white space only, have an empty
 set, link with nothing and are kept; with fewer words than a shingle has, the
@@ -26,6 +26,8 @@ the smallest set hash; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,8 @@ COORDINATES, AGREEMENTS = 32, 14
 #: Lists of up to so many members are joined with themselves; the longer ones,
 #: whose pairs could be many, go through the prefix filter of the full sets.
 SHORT_LIST = 64
+#: The largest set of a range of sizes has so many times the smallest one's shingles.
+SIZE_RANGE = 1.05
 
 _A, _B = stream64(COORDINATES, 101) | np.uint64(1), stream64(COORDINATES, 102)
 
@@ -211,20 +215,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     twos = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES // 2 - 1)), lambda k: F.xxhash64(k, F.get("sig", 2 * k), F.get("sig", 2 * k + 1)))
     twos = still.join(signed.select(F.col("doc_id").alias("rep"), "sig"), "rep").select("rep", "component", F.explode(twos).alias("two"))
     still = only_mixed(twos, "two").select("rep").distinct().checkpoint()
-    # exact prefix filter: of two sets over the similarity, the rarest
-    # n - ceil(n * percent / 100) + 1 shingles of each have one in common;
-    # shingles of one set only are in nobody's list
+    # exact prefix filter: sets of n and m shingles over the similarity have
+    # ``least`` in common, so of the rarest n - least + 1 and m - least + 1 of
+    # each one is common, too. Lists are by shingle and both sides' ranges of
+    # sizes, so that what a set posts hangs on the sizes it meets there: the
+    # shingles that most of a large group share are posted by those only that
+    # are near enough to its middle. Shingles of one set only take a place, but
+    # are in nobody's list.
+    least = f"(({percent} * (%s + %s) + {99 + percent}) div {100 + percent})"
     sets = (among(text, "doc_id", still).withColumnRenamed("doc_id", "rep").join(still, "rep", "left_semi")
             .mapInArrow(lambda it: _sets(it, width), "rep long, shingles array<long>"))
     shingles = (sets
                 .select("rep", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))
     often = shingles.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1")
+    step, far = math.log(SIZE_RANGE), math.log(100 / percent) + 1e-9
+    smallest = f"greatest(cast(floor(exp(r * {step})) as int), n * {percent} div 100)"
     rare = (shingles.join(often, "s").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("c", "s"))).alias("t"))
-            .withColumn("t", F.expr(f"slice(t, 1, greatest(size(t) - cast(ceil(n * {percent} / 100) as int) + 1, 0))"))
-            .select("rep", F.explode("t.s").alias("s"))
-            .join(now, "rep"))
+            .withColumn("own", F.expr(f"cast(floor(ln(n) / {step}) as int)"))
+            .withColumn("r", F.explode(F.expr(f"sequence(cast(floor((ln(n) - {far}) / {step}) as int), cast(floor((ln(n) + {far}) / {step}) as int))")))
+            .withColumn("t", F.expr(f"slice(t, 1, greatest(size(t) - cast({least % ('n', smallest)} as int) + 1, 0))"))
+            .select("rep", "own", "r", F.posexplode("t.s").alias("i", "s")))
+    before = shingles.join(often, "s", "left_anti").groupBy("rep").agg(F.count("*").alias("alone"))
+    rare = rare.join(before, "rep", "left").join(now, "rep").select(
+        "rep", "own", "component", "n", "b1", "b2", F.xxhash64("s", F.least("own", "r"), F.greatest("own", "r")).alias("s"),
+        "r", (F.col("i") + F.coalesce("alone", F.lit(0)) + 1).alias("place"))
     rare = written(only_mixed(rare, "s"), "minhash-rare")
-    cross = (rare.alias("a").join(rare.alias("b"), F.expr(f"a.s = b.s AND a.rep > b.rep AND a.component <> b.component AND {close}"))
+    meant = f"{least % ('a.n', 'b.n')}"
+    cross = (rare.alias("a").join(rare.alias("b"), F.expr(
+        f"a.s = b.s AND a.own = b.r AND a.r = b.own AND a.rep > b.rep AND a.component <> b.component AND a.place <= a.n - {meant} + 1 AND b.place <= b.n - {meant} + 1 AND {close}"))
              .select(F.col("a.rep").alias("src"), F.col("b.rep").alias("dst")).distinct())
     final = connected_components(links.unionAll(confirmed(cross)))
     return (members.join(final.withColumnRenamed("node", "rep"), "rep", "left")

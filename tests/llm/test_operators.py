@@ -226,6 +226,31 @@ def test_near_duplicates(spark, documents, monkeypatch):
     assert minhash.near_duplicates(documents([]), 2, 80).count() == 0
 
 
+def test_members_not_near_enough_are_not_paired(spark, documents, monkeypatch):
+    # 12 texts a little too far from the middle of a group of 25 near copies: no pair can be linked, so none is listed
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+
+    def copy(places):
+        words = list(base)
+        for p in places:
+            words[p] = f"x{rnd.randrange(10 ** 9)}"
+        return " ".join(words)
+    texts = [copy([rnd.randrange(2, 98)]) for _ in range(25)] + [copy(rnd.sample(range(2, 98, 3), 8)) for _ in range(12)]
+    counts, old = [], minhash.written
+
+    def seen(df, name):
+        out = old(df, name)
+        if name == "minhash-pairs":
+            counts.append(out.count())
+        return out
+    monkeypatch.setattr(minhash, "SHORT_LIST", 2)
+    monkeypatch.setattr(minhash, "written", seen)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(texts), 2, 80).collect()}
+    assert got == {i: 0 if i < 25 else i for i in range(37)}
+    assert counts[-1] <= 12
+
+
 # 4, 8
 def test_token_store_and_counts(spark, documents):
     from sentencepiece import SentencePieceProcessor
