@@ -146,7 +146,7 @@ def _segment_ml(spark, d):
                     F.col("through_lanes").cast("double").alias("through_lanes"),
                     F.col("f_system").cast("double").alias("f_system"), F.col("aadt").cast("double").alias("aadt"),
                     F.col("y").cast("double").alias("y"),
-                    F.when(N.mix("segment_id") < 800000, "train").otherwise("test").alias("split"))
+                    F.when(N.mix("segment_id") < int(0.8 * N.MIX_MOD), "train").otherwise("test").alias("split"))
 
 
 @query("count_regressors")

@@ -262,3 +262,12 @@ def test_shared_features_give_the_same_model(spark):
         shared = P.fit_classifier(df, ["a", "b"], ["c"], "y", kind, features=P.fit_features(df, ["a", "b"], ["c"]), maxIter=20, numTrees=5, maxDepth=3)
         p, q = ([r.p for r in P.probability(m.transform(df)).orderBy("id").collect()] for m in (own, shared))
         assert p == pytest.approx(q, abs=1e-9)
+
+
+def test_count_regressors_train_on_four_of_five_segments(spark, tmp_path):
+    from roadlens.catalog import learning as Q
+    n = 1000
+    spark.createDataFrame([(k, k % 50) for k in range(1, n + 1)], "p_partkey long, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1 + i % n,) for i in range(3 * n)], "l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    sizes = {r["split"]: r["count"] for r in Q._segment_ml(spark, str(tmp_path)).groupBy("split").count().collect()}
+    assert sum(sizes.values()) == n and 0.75 * n < sizes["train"] < 0.85 * n
