@@ -178,30 +178,34 @@ def _right(right: DataFrame, key: str, x: str, y: str) -> DataFrame:
     return _written(_placed(r, "x", "y").groupBy((F.col("x") + 0.0).alias("x"), (F.col("y") + 0.0).alias("y")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")), "quadtree-places")
 
 
-def _boxes(placed: DataFrame, places: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _boxes(placed: DataFrame, places: DataFrame, rows_most: int | None = None, most: int | None = None, seen: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows, boxes) of the left rows: ``_row, _lx, _ly, _box`` and ``_row`` (the
     box), ``_n`` (its rows) and the tight box. Cells of more than ``MOST`` rows
-    or right places are divided again, unless all their rows lie in one place."""
+    or right places are divided again, unless all their rows lie in one place.
+    ``rows_most, most``: other numbers than ``ROWS, MOST``; with ``seen`` also
+    the tight box ``_rx0, _rx1, _ry0, _ry1`` of the right places of the cell."""
+    rows_most, most = rows_most or ROWS, most or MOST
     ext = _extent(placed, "_lx", "_ly")
     rows = placed.select("_row", "_lx", "_ly").withColumns(_finest(ext, "_lx", "_ly"))
     side = float(ext.side or 0) or 1.0
     within = lambda c, low: F.col(c).between(float(low or 0), float(low or 0) + side)
-    beside = places.where(within("x", ext.x) & within("y", ext.y)).select(*[c.alias(k) for k, c in _finest(ext, "x", "y").items()])
-    level = min(DEPTH, math.ceil(math.log(max(ext.n / ROWS, 1), 4)))
+    beside = places.where(within("x", ext.x) & within("y", ext.y)).select("x", "y", *[c.alias(k) for k, c in _finest(ext, "x", "y").items()])
+    extra = {f"_r{c}{i}": f(c) for c in "xy" for i, f in enumerate((F.min, F.max))} if seen else {}
+    level = min(DEPTH, math.ceil(math.log(max(ext.n / rows_most, 1), 4)))
     named, boxes = None, None
     while True:
         box = _node(F.lit(level), F.col("cx"), F.col("cy"))
         own = rows.withColumn("_box", box)
         found = own.groupBy("_box").agg(F.count(F.lit(1)).alias("_n"), F.min("_lx").alias("_x0"), F.max("_lx").alias("_x1"),
                                         F.min("_ly").alias("_y0"), F.max("_ly").alias("_y1"))
-        found = found.join(beside.groupBy(box.alias("_box")).agg(F.count(F.lit(1)).alias("_load")), "_box", "left")
-        many = (F.col("_n") > MOST) | ((F.col("_n") > 1) & (F.coalesce("_load", F.lit(0)) > MOST))
+        found = found.join(beside.groupBy(box.alias("_box")).agg(F.count(F.lit(1)).alias("_load"), *[c.alias(k) for k, c in extra.items()]), "_box", "left")
+        many = (F.col("_n") > most) | ((F.col("_n") > 1) & (F.coalesce("_load", F.lit(0)) > most))
         apart = (F.col("_x1") > F.col("_x0")) | (F.col("_y1") > F.col("_y0"))
         found = _written(found.withColumn("_split", many & apart & F.lit(level < DEPTH)), "quadtree-boxes")
         split = found.where("_split").select("_box")
         last = split.isEmpty()
         own, found = (own if last else own.join(split, "_box", "left_anti")), found.where("not _split")
-        own, found = own.select("_row", "_lx", "_ly", "_box"), found.select(F.col("_box").alias("_row"), "_n", "_x0", "_x1", "_y0", "_y1")
+        own, found = own.select("_row", "_lx", "_ly", "_box"), found.select(F.col("_box").alias("_row"), "_n", "_x0", "_x1", "_y0", "_y1", *extra)
         named, boxes = (own, found) if named is None else (named.unionByName(own), boxes.unionByName(found))
         if last:
             return named, boxes
