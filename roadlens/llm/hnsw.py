@@ -1,12 +1,13 @@
 """Embedding near-duplicates over hierarchical navigable small-world graphs.
 
-Vectors are dealt to shards; each shard builds a layered graph. Every vector
-queries every shard: blocks of queries meet each shard's graph in a task of
-their own, which widens its beams until an audit of the block's queries with
-``id % 20 = 0`` against the whole shard reaches the target recall, and widens
-single queries whose beam is full of links. Links are verified in double
-precision, counted, and joined into components inside the task, so a large
-group of copies leaves rows in proportion to its members, not to its pairs.
+Vectors are dealt to shards; each shard builds a layered graph, which is a table
+with a row per vector, so no row is larger than a vector and its neighbours. Every
+vector queries every shard: bundles of blocks of queries meet each shard's graph in
+a task of their own, which for every block widens its beams until an audit of the
+block's queries with ``id % 20 = 0`` against the whole shard reaches the target
+recall, and widens single queries whose beam is full of links. Links are verified
+in double precision, counted, and joined into components inside the task, so a
+large group of copies leaves rows in proportion to its members, not to its pairs.
 
 Edge cases: null vectors, zero vectors and vectors with null or non-finite
 components link with nothing; vectors of different lengths do not link; rows
@@ -16,7 +17,6 @@ an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import io
 import math
 
 import numpy as np
@@ -24,12 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import npy, ship_package, written
+from .common import ship_package, written
 
 #: Neighbours a node keeps, candidates looked at while building, first beam.
 NEIGHBOURS, BUILD_BEAM, FIRST_BEAM = 24, 48, 48
 #: Each layer holds one in LAYER nodes of the layer below.
 LAYER = 16
+#: A shard's graph is sent to this many bundles of blocks, to more where one would have over ``BUNDLE_ROWS`` queries.
+BUNDLES, BUNDLE_ROWS = 16, 1 << 16
+#: Marks of seen nodes that searches hold together (32 MB).
+SEEN = 32_000_000
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -169,7 +173,9 @@ def build_graph(x: np.ndarray) -> list[np.ndarray]:
             q = x[have:have + take]
             entry = _entries(x, layers, q, depth)
             entry = np.where(entry < have, entry, 0)  # the entered node may not be placed in this layer yet
-            ids, sims = beam_search(adj[:have], x, q, entry, BUILD_BEAM)
+            step = max(1, SEEN // have)
+            found = [beam_search(adj[:have], x, q[a:a + step], entry[a:a + step], BUILD_BEAM) for a in range(0, take, step)]
+            ids, sims = (np.concatenate(v) for v in zip(*found, strict=True))
             own = q @ q.T
             np.fill_diagonal(own, -np.inf)
             k = min(take - 1, NEIGHBOURS)
@@ -193,7 +199,7 @@ def range_search(x, layers, q, threshold: float, beam: int):
     out: list = [None] * len(q)
     todo, width = np.arange(len(q)), min(beam, n)
     while len(todo):
-        step = max(1, min(512, 32_000_000 // n))
+        step = max(1, min(512, SEEN // n))
         again = []
         for a in range(0, len(todo), step):
             rows = todo[a:a + step]
@@ -227,52 +233,87 @@ class _Union:
             self.up[j] = i
 
 
-def _build(pdf):
-    import pandas as pd
-    pdf = pdf.sort_values("mixed")
-    full = unit_rows(np.stack(pdf["embedding"].to_numpy()).astype(np.float64))
-    layers = build_graph(full.astype(np.float32))
-    blob = io.BytesIO()
-    for part in (pdf["rep"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64), full, *layers):
-        blob.write(npy(part))
-    return pd.DataFrame({"dim": [int(pdf["dim"].iloc[0])], "shard": [int(pdf["shard"].iloc[0])], "graph": [blob.getvalue()]})
+def _units(column, order: np.ndarray, kind) -> np.ndarray:
+    """Unit rows of an Arrow list column, its row ``order[i]`` as row i, some
+    rows at a time: the column itself is not copied."""
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    out, at = None, 0
+    for chunk in column.chunks:
+        for a in range(0, len(chunk), 10_000):
+            part = chunk.slice(a, 10_000)
+            x = part.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
+            out = np.empty((len(order), x.shape[1]), kind) if out is None else out
+            out[place[at:at + len(part)]] = unit_rows(x)
+            at += len(part)
+    return out
+
+
+def _build(table):
+    """Rows ``rep, at, links``: a node's place in the graph and its neighbours in
+    the layers that it is in, the lowest first."""
+    import pyarrow as pa
+    order = np.argsort(table.column("mixed").to_numpy(), kind="stable")
+    layers = build_graph(_units(table.column("embedding"), order, np.float32))[::-1]
+    held = sum((np.arange(len(order)) < len(adj)).astype(np.int64) for adj in layers)
+    start = np.concatenate(([0], np.cumsum(held * NEIGHBOURS)))
+    flat = np.empty(start[-1], np.int32)
+    for depth, adj in enumerate(layers):
+        for c in range(NEIGHBOURS):
+            flat[start[:len(adj)] + depth * NEIGHBOURS + c] = adj[:, c]
+    links = pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(flat))
+    return pa.table([pa.array(table.column("rep").to_numpy()[order]), pa.array(np.arange(len(order), dtype=np.int32)), links], ["rep", "at", "links"])
+
+
+def _layers(column, order: np.ndarray) -> list[np.ndarray]:
+    """The adjacency that ``_build`` gave as ``links``, the top first."""
+    links = column.combine_chunks()
+    links = links if not hasattr(links, "chunks") else links.chunk(0)
+    start, values = links.offsets.to_numpy(), links.values.to_numpy(zero_copy_only=False)
+    held, start = np.diff(start)[order] // NEIGHBOURS, start[:-1][order]
+    out = []
+    for depth in range(int(held.max())):
+        n = int((held > depth).sum())  # layers nest
+        out.append(np.empty((n, NEIGHBOURS), np.int32))
+        for c in range(NEIGHBOURS):
+            out[-1][:, c] = values[start[:n] + depth * NEIGHBOURS + c]
+    return out[::-1]
 
 
 def _search(threshold: float, target: float):
-    def task(asked, graphs):
-        import pandas as pd
-        empty = pd.DataFrame({"src": [], "dst": [], "links": []}).astype("int64")
-        if not len(asked) or not len(graphs):
-            return empty
-        blob = io.BytesIO(graphs["graph"].iloc[0])
-        parts = []
-        while blob.tell() < len(blob.getbuffer()):
-            parts.append(np.load(blob, allow_pickle=False))
-        ids, copies, full, *layers = parts
+    def task(asked, nodes):
+        import pyarrow as pa
+        if not asked.num_rows or not nodes.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 3, ["src", "dst", "links"])
+        order = np.argsort(nodes.column("at").to_numpy(), kind="stable")
+        ids, copies = (nodes.column(c).to_numpy()[order] for c in ("rep", "copies"))
+        layers, full = _layers(nodes.column("links"), order), _units(nodes.column("embedding"), order, np.float64)
         x = full.astype(np.float32)
-        qid = asked["rep"].to_numpy(np.int64)
-        qfull = unit_rows(np.stack(asked["embedding"].to_numpy()).astype(np.float64))
-        q, low = qfull.astype(np.float32), threshold - 1e-5
-        audit = np.flatnonzero(qid % 20 == 0)
-        true = [np.flatnonzero(x @ q[i] >= low) for i in audit]
-        total, beam = sum(map(len, true)), FIRST_BEAM
-        while True:
-            found = range_search(x, layers, q, low, beam)
-            hit = sum(len(np.intersect1d(found[i], t)) for i, t in zip(audit, true, strict=True))
-            if hit >= target * total or beam >= len(x):
-                break
-            beam *= 2
+        qid, block = (asked.column(c).to_numpy() for c in ("query", "block"))
+        qfull, low = _units(asked.column("vector"), np.arange(len(qid)), np.float64), threshold - 1e-5
         sets = _Union(np.concatenate((qid, ids)))
-        links = np.zeros(len(q), np.int64)
-        for i, near in enumerate(found):
-            near = near[full[near] @ qfull[i] >= threshold]
-            near = near[ids[near] != qid[i]]
-            links[i] = copies[near].sum()
-            for j in near:
-                sets.join(i, len(qid) + int(j))
+        links = np.zeros(len(qid), np.int64)
+        for b in np.unique(block):
+            rows = np.flatnonzero(block == b)
+            q = qfull[rows].astype(np.float32)
+            audit = np.flatnonzero(qid[rows] % 20 == 0)
+            true = [np.flatnonzero(x @ q[i] >= low) for i in audit]
+            total, beam = sum(map(len, true)), FIRST_BEAM
+            while True:
+                found = range_search(x, layers, q, low, beam)
+                hit = sum(len(np.intersect1d(found[i], t)) for i, t in zip(audit, true, strict=True))
+                if hit >= target * total or beam >= len(x):
+                    break
+                beam *= 2
+            for i, near in zip(rows.tolist(), found, strict=True):
+                near = near[full[near] @ qfull[i] >= threshold]
+                near = near[ids[near] != qid[i]]
+                links[i] = copies[near].sum()
+                for j in near:
+                    sets.join(i, len(qid) + int(j))
         at = [k for k in range(len(sets.up)) if sets.root(k) != k or (k < len(qid) and links[k])]
-        return pd.DataFrame({"src": sets.ids[at], "dst": sets.ids[[sets.root(k) for k in at]],
-                             "links": [links[k] if k < len(qid) else 0 for k in at]}).astype("int64")
+        return pa.table([pa.array(sets.ids[at]), pa.array(sets.ids[[sets.root(k) for k in at]]),
+                         pa.array(np.array([links[k] if k < len(qid) else 0 for k in at], np.int64))], ["src", "dst", "links"])
     return task
 
 
@@ -294,14 +335,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, target_recall: f
     reps = written(reps.select("rep", "copies", "embedding", F.size("embedding").alias("dim"), F.xxhash64("rep").alias("mixed")), "vector-reps")
     n = reps.count()
     pieces, blocks = max(shards, math.ceil(n / shard_rows)), max(1, math.ceil(n / block_rows))
-    graphs = written(reps.withColumn("shard", F.pmod("mixed", F.lit(pieces)).cast("int"))
-                     .groupBy("dim", "shard").applyInPandas(_build, "dim int, shard int, graph binary"), "vector-graphs")
-    keys = ["dim", "shard", "block"]
+    bundles = max(min(blocks, BUNDLES), math.ceil(n / BUNDLE_ROWS))
+    shard = F.pmod("mixed", F.lit(pieces)).cast("int").alias("shard")
+    graphs = written(reps.select("rep", "mixed", "embedding", "dim", shard).groupBy("dim", "shard")
+                     .applyInArrow(_build, "rep long, at int, links array<int>"), "vector-graphs")
+    keys = ["dim", "shard", "bundle"]
     asked = (reps.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(blocks)).cast("int"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))))
-    spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = written(asked.groupBy(*keys).cogroup(spread.groupBy(*keys))
-                    .applyInPandas(_search(threshold, target_recall), "src long, dst long, links long"), "vector-links")
+             .select(F.col("rep").alias("query"), "block", F.col("embedding").alias("vector"), F.size("embedding").alias("dim"),
+                     F.pmod("block", F.lit(bundles)).alias("bundle"), F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("shard")))
+    nodes = (reps.select("rep", "copies", "embedding", "dim", shard).join(graphs, "rep")
+             .withColumn("bundle", F.explode(F.sequence(F.lit(0), F.lit(bundles - 1)))))
+    found = written(asked.groupBy(*keys).cogroup(nodes.groupBy(*keys))
+                    .applyInArrow(_search(threshold, target_recall), "src long, dst long, links long"), "vector-links")
     comp = connected_components(found.filter("src <> dst"))
     links = found.groupBy("src").agg(F.sum("links").alias("links"))
     per_rep = (reps.join(links.withColumnRenamed("src", "rep"), "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")

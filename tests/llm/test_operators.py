@@ -465,6 +465,26 @@ def test_embeddings(spark):
     assert hnsw.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_a_graph_is_rows_of_its_nodes(spark, monkeypatch):
+    """No row holds a shard's graph, and a bundle of blocks finds what the blocks alone find."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.repeat(rng.normal(size=(60, 8)), 6, 0) + .08 * rng.normal(size=(360, 8)), rng.normal(size=(240, 8))])
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    seen, real = {}, hnsw.written
+
+    def kept(df, name):
+        seen[name] = real(df, name)
+        return seen[name]
+    monkeypatch.setattr(hnsw, "written", kept)
+    rows = lambda: sorted(tuple(r) for r in hnsw.near_duplicates(table, shards=2, block_rows=50).collect())
+    first = rows()
+    graph = seen["vector-graphs"]
+    assert graph.count() == 600 and "binary" not in {t for _, t in graph.dtypes}
+    assert max(len(r.links) for r in graph.collect()) <= 4 * hnsw.NEIGHBOURS
+    monkeypatch.setattr(hnsw, "BUNDLES", 3)
+    assert rows() == first
+
+
 def test_line_postings_carry_no_text(spark, documents, monkeypatch):
     seen, real = {}, line_dedup.written
     monkeypatch.setattr(line_dedup, "written", lambda df, name: seen.setdefault(name, df.columns) and real(df, name))
