@@ -51,7 +51,10 @@ def zone_crash_stats(pairs: DataFrame, zone: str = "road_event_id", severity: st
     columns that are not there are left out) and the distances."""
     aggs = [F.count(F.lit(1)).alias("crash_count")]
     aggs += [F.count_if(F.col(severity) == k).alias(f"{name}_count") for k, name in SEVERITY_NAMES.items()]
-    aggs += [F.sum(D.safe_number(F.col(c), 0.0)).alias(out) for c, out in ((deaths, "death_cnt_sum"), (injuries, "injury_cnt_sum")) if c is not None and c in pairs.columns]
+    # numbers need no parsing, and there may be very many pairs
+    plain = {f.name for f in pairs.schema.fields if f.dataType.typeName() in ("byte", "short", "integer", "long")}
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in plain else D.safe_number(F.col(c), 0.0)
+    aggs += [F.sum(number(c)).alias(out) for c, out in ((deaths, "death_cnt_sum"), (injuries, "injury_cnt_sum")) if c is not None and c in pairs.columns]
     aggs += [f(distance).alias(f"distance_{name}") for f, name in ((F.min, "min"), (F.avg, "mean"), (F.max, "max"))]
     return pairs.groupBy(zone).agg(*aggs)
 

@@ -121,3 +121,23 @@ def test_combine_pages_reads_past_a_short_page(spark):
     rows = [(p, i) for p, n in enumerate((5, 2, 5)) for i in range(n)]
     spark.createDataFrame(rows, "page int, i int").write.partitionBy("page").parquet(path)
     assert readers.combine_pages(spark, path).count() == 12
+
+
+def test_numbers_of_text_and_words_are_those_of_a_cast(spark):
+    from roadlens.functions import cleaning as D
+    texts = ["NULL", "null", "", " ", "3", " 4.5 ", "-1e3", "+7", ".5", "NaN", "nan", "nAn ", " nan", "nanx", "inf", "-Infinity", "INF", "infinite", "1d", "2f", "0x1p3", "abc", "Zed",
+             "n", "N/A", "é1", "1é", "\t8", "e5", "d", "f1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    own = D.safe_number("s", -1.0)
+    rows = df.select(own.alias("a"), F.coalesce(F.col("s").try_cast("double"), F.lit(-1.0)).alias("b")).collect()
+    assert [repr(r.a) for r in rows] == [repr(r.b) for r in rows]
+    assert "CASE WHEN" in df.select(own)._jdf.queryExecution().optimizedPlan().toString()  # words are not parsed
+
+
+def test_zone_sums_parse_no_numbers(spark):
+    from roadlens.plans import workzones as W
+    pairs = spark.createDataFrame([(1, 4, 3.0, "2", 5), (1, 1, 5.0, "NULL", None), (1, 9, 7.0, None, 2)], "road_event_id long, severity int, distance double, d string, i long")
+    s = W.zone_crash_stats(pairs, deaths="d", injuries="i")
+    r = s.first()
+    assert (r.crash_count, r.death_cnt_sum, r.injury_cnt_sum, r.distance_mean) == (3, 2.0, 7.0, 5.0)
+    assert "try_cast(cast(i" not in s._jdf.queryExecution().optimizedPlan().toString()

@@ -160,3 +160,13 @@ def test_rounding_many_equals_bround(spark):
     values += [math.sqrt(i) for i in range(3000)] + [i / 2000 for i in range(3000)] + [math.nextafter(i / 2000, 9e9) for i in range(3000)]
     rows = spark.createDataFrame([(v,) for v in values], "d double").select(r6("d", 3).alias("a"), r_many("d", 3).alias("b")).collect()
     assert [repr(r.a) for r in rows] == [repr(r.b) for r in rows]
+
+
+def test_pairs_at_the_radius_and_without_a_place(spark):
+    rows = [(1, 0.0, 0.0), (2, float("nan"), 0.0), (3, None, 0.0), (4, float("inf"), 0.0)]
+    L = spark.createDataFrame(rows, "l_id long, x double, y double")
+    R = spark.createDataFrame([(10, 30.0, 40.0), (11, 30.0, math.nextafter(40.0, 41)), (12, 30.0, math.nextafter(40.0, 39)), (13, 0.0, 0.0)] + [(i + 20, x, y) for i, x, y in rows[1:3]],
+                              "r_id long, x double, y double")
+    got = {(r.l_id, r.r_id) for r in S.within_pairs(L, R, "l_id", "r_id", 50.0).collect()}
+    exact = {k for k, x, y in [(10, 30.0, 40.0), (11, 30.0, math.nextafter(40.0, 41)), (12, 30.0, math.nextafter(40.0, 39)), (13, 0.0, 0.0)] if math.sqrt(x ** 2 + y ** 2) <= 50.0}
+    assert got == {(1, k) for k in exact}
